@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from quarrymill.llm import packing
+from quarrymill.llm import packing, substring_dedup
 
 QUERIES = {
+    "op7_substring_dedup": substring_dedup.op7_substring_dedup,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_substring_dedup": substring_dedup.ORACLE,
+}
