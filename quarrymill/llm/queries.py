@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from quarrymill.llm import packing, substring_dedup
+from quarrymill.llm import near_dedup, packing, substring_dedup
 
 QUERIES = {
+    "op5_minhash_near_dedup": near_dedup.op5_minhash_near_dedup,
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {
+    "op5_minhash_near_dedup": near_dedup.ORACLE,
     "op7_substring_dedup": substring_dedup.ORACLE,
 }
