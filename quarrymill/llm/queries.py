@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from quarrymill.llm import near_dedup, packing, substring_dedup
+from quarrymill.llm import media, near_dedup, packing, sharding, substring_dedup
 
 QUERIES = {
+    "op2_mpeg_audio": media.op2_mpeg_audio,
+    "op4_extendible_sharding": sharding.op4_extendible_sharding,
     "op5_minhash_near_dedup": near_dedup.op5_minhash_near_dedup,
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {
+    "op4_extendible_sharding": sharding.ORACLE,
     "op5_minhash_near_dedup": near_dedup.ORACLE,
     "op7_substring_dedup": substring_dedup.ORACLE,
 }
