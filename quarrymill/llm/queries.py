@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from quarrymill.llm import media, near_dedup, packing, sharding, substring_dedup
+from quarrymill.llm import chat, media, near_dedup, packing, sharding, substring_dedup, topk
 
 QUERIES = {
+    "op1_norm_bucketed_topk": topk.op1_norm_bucketed_topk,
     "op2_mpeg_audio": media.op2_mpeg_audio,
     "op4_extendible_sharding": sharding.op4_extendible_sharding,
     "op5_minhash_near_dedup": near_dedup.op5_minhash_near_dedup,
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,
+    "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_norm_bucketed_topk": topk.ORACLE,
     "op4_extendible_sharding": sharding.ORACLE,
     "op5_minhash_near_dedup": near_dedup.ORACLE,
     "op7_substring_dedup": substring_dedup.ORACLE,
+    "op9_chat_formatting": chat.ORACLE,
 }
