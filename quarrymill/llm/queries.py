@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quarrymill.llm import chat, media, near_dedup, packing, sharding, substring_dedup, topk
+from quarrymill.llm import chat, media, near_dedup, packing, quality, sharding, substring_dedup, topk
 
 QUERIES = {
     "op1_norm_bucketed_topk": topk.op1_norm_bucketed_topk,
     "op2_mpeg_audio": media.op2_mpeg_audio,
+    "op3_attention_mil_quality": quality.op3_attention_mil_quality,
     "op4_extendible_sharding": sharding.op4_extendible_sharding,
     "op5_minhash_near_dedup": near_dedup.op5_minhash_near_dedup,
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,
