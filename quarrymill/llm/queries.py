@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarrymill.llm import chat, media, near_dedup, packing, quality, sharding, substring_dedup, topk
+from quarrymill.llm import chat, media, mixing, near_dedup, packing, quality, sharding, substring_dedup, topk, toxicity
 
 QUERIES = {
     "op1_norm_bucketed_topk": topk.op1_norm_bucketed_topk,
@@ -10,7 +10,9 @@ QUERIES = {
     "op3_attention_mil_quality": quality.op3_attention_mil_quality,
     "op4_extendible_sharding": sharding.op4_extendible_sharding,
     "op5_minhash_near_dedup": near_dedup.op5_minhash_near_dedup,
+    "op6_toxicity_chain": toxicity.op6_toxicity_chain,
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,
+    "op8_ipf_mixing": mixing.op8_ipf_mixing,
     "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
