@@ -1,12 +1,61 @@
-"""The corpus pipeline over documents, stage by stage."""
+"""The corpus pipeline: documents to packed training sequences.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the last return the columns of
+documents. A caller writes a stage's result before it runs the next one, as ``run`` does.
+"""
 
 from __future__ import annotations
 
-from quarrymill.llm import packing
+from pyspark.sql import DataFrame, SparkSession
+
+from quarrymill.llm import mixing, near_dedup, packing, quality, substring_dedup
+from quarrymill.llm.common import Scratch, read
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model accepts; it learns from the labelled documents of the corpus."""
+    return quality.keep_good(docs, quality.train(docs, read(spark, sf_dir, "labels")))
+
+
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five words, similarity 0.8)."""
+    return near_dedup.keep_one(docs, percent=80)
+
+
+def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of 50 words and more that a document of smaller id has."""
+    return substring_dedup.remove_repeats(docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample by calibrated probabilities: raked source, language and topic shares."""
+    return mixing.sample(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their sequences and offsets."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("MinHash near-dedup", minhash_near_dedup),
+    ("substring dedup", substring_dedup_stage),
+    ("mixing sources to target weights", source_mixing),
+    ("best-fit packing", best_fit_packing),
+]
 
-STAGES = [("best-fit packing", lambda spark, docs, sf_dir: packing.pack_documents(docs))]
+# A fitted model and a tokenizer are beyond SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; returns the last one's rows."""
+    scratch, docs = Scratch(spark), read(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        out = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = scratch.put(out, f"stage{i}")
+            if i:
+                scratch.drop(f"stage{i - 1}")
+    return out
