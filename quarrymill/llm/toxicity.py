@@ -81,14 +81,16 @@ class Linear:
         return np.full(len(x), self.constant) if self.constant is not None else _sigmoid(x @ self.w + self.b)
 
 
-def fit_linear(x: np.ndarray, y: np.ndarray, l2: float = 2e-4, steps: int = 80) -> Linear:
+def fit_linear(x: np.ndarray, y: np.ndarray, l2: float = 2e-5, steps: int = 120, miss: float = 3.0) -> Linear:
+    """miss: how much worse a missed positive is than a false one."""
     if not len(y) or y.min() == y.max():
         return Linear(np.zeros(x.shape[1]), 0.0, float(y.mean()) if len(y) else 0.0)
     x = x.astype(np.float32)
     w, m, v = (np.zeros(x.shape[1] + 1, np.float64) for _ in range(3))
     w[-1] = np.log(y.mean() / (1 - y.mean()))
+    cost = np.where(y > 0.5, miss, 1.0) / len(y)
     for i in range(1, steps + 1):
-        d = (_sigmoid(x @ w[:-1].astype(np.float32) + w[-1]) - y).astype(np.float32) / len(y)
+        d = ((_sigmoid(x @ w[:-1].astype(np.float32) + w[-1]) - y) * cost).astype(np.float32)
         g = np.append(x.T @ d, d.sum()) + l2 * np.append(w[:-1], 0)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w = w - 0.25 * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.99**i)) + 1e-9)
@@ -138,13 +140,11 @@ def choose_terms(docs: list[np.ndarray], y: np.ndarray, most: int = TERMS) -> di
     return {int(t): i for i, t in enumerate(np.sort(names[good]).tolist())}
 
 
-def design(term_sets: list[set[int]], words: list[int], size: int) -> np.ndarray:
-    """Presence of each known term, how many there are, and their share of the words."""
-    x = np.zeros((len(term_sets), size + 2), np.float32)
-    for i, (s, n) in enumerate(zip(term_sets, words)):
+def design(term_sets: list[set[int]], size: int) -> np.ndarray:
+    """Presence of each known term. Not their number: one telling word is enough, in a text of any length."""
+    x = np.zeros((len(term_sets), size), np.float32)
+    for i, s in enumerate(term_sets):
         x[i, list(s)] = 1
-        x[i, size] = np.log1p(len(s))
-        x[i, size + 1] = min(1.0, 10 * len(s) / max(10, n))
     return x
 
 
@@ -158,24 +158,22 @@ def graded(x: np.ndarray, y: np.ndarray, known: dict[int, int]) -> np.ndarray:
 
 def _training(batch: pa.RecordBatch) -> pa.RecordBatch:
     sets = []
-    words = []
     for t in texts_of(batch):
         own = t.lower().split()
-        words.append(len(own))
         sets.append(np.array(sorted({x for w in set(own) for x in terms_of(w)}), np.uint64).view(np.int64))
     get = lambda n: batch.column(batch.schema.get_field_index(n))
-    return pa.RecordBatch.from_arrays([get("doc_id"), get("y"), pa.array(words, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "y", "words", "terms"])
+    return pa.RecordBatch.from_arrays([get("doc_id"), get("y"), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "y", "terms"])
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most: int = TERMS) -> Chain:
     ids = F.broadcast(training_ids(labels, "toxic", rows))  # ``rows`` rows at most
     sample = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids, "doc_id")
-    table = sample.mapInArrow(map_slices(_training), "doc_id long, y double, words long, terms array<long>").toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")])
+    table = sample.mapInArrow(map_slices(_training), "doc_id long, y double, terms array<long>").toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")])
     y = np.round(table["y"].to_numpy())
     docs_terms = [np.asarray(v.values, np.int64).view(np.uint64) for v in table["terms"]]
     known = choose_terms(docs_terms, y, most)
     sets = [{known[t] for t in d.tolist() if t in known} for d in docs_terms]
-    x = design(sets, table["words"].to_pylist(), len(known))
+    x = design(sets, len(known))
     fold = np.array([xxhash.xxh3_64_intdigest(str(i)) % FOLDS for i in table["doc_id"].to_pylist()])
     return Chain(known, CATEGORIES, fit_chain(x, graded(x, y, known), fold))
 
@@ -189,12 +187,8 @@ def _scored(batch: pa.RecordBatch, chain) -> pa.RecordBatch:
     if cache is None:
         _terms.clear()
         cache = _terms[id(model)] = Terms(model.known)
-    sets, words = [], []
-    for t in texts_of(batch):
-        own = t.lower().split()
-        words.append(len(own))
-        sets.append({x for places in map(cache.__getitem__, own) if places for x in places})
-    p = model.probabilities(design(sets, words, len(model.known)))
+    sets = [{x for places in map(cache.__getitem__, t.lower().split()) if places for x in places} for t in texts_of(batch)]
+    p = model.probabilities(design(sets, len(model.known)))
     ids = batch.column(batch.schema.get_field_index("doc_id"))
     return pa.RecordBatch.from_arrays([ids, *(pa.array(p[:, i].astype(np.float64)) for i in range(p.shape[1]))], ["doc_id", *(f"p_{n}" for n in model.names)])
 
