@@ -52,13 +52,13 @@ def passages(texts: list[bytes], size: int = PASSAGE) -> tuple[np.ndarray, np.nd
     total = int(first[-1])
     doc = np.repeat(np.arange(len(texts)), words)
     of_word = first[doc] + (np.arange(len(h)) - ends[doc]) // size
-    data = np.frombuffer(b"\n".join(texts), np.uint8)
+    data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)  # one line end after each text
     kind = _CLASS[data]
     blank = kind < 2
     start = ~blank
     start[1:] &= blank[:-1]
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    doc_of_byte = np.repeat(np.arange(len(texts)), sizes + 1)[: len(data)]
+    doc_of_byte = np.repeat(np.arange(len(texts)), sizes + 1)
     word = np.cumsum(start) - 1
     # Bytes before a document's first word belong to its first passage.
     of_byte = first[doc_of_byte] if not len(h) else np.maximum(first[doc_of_byte], np.where(word >= 0, of_word[np.maximum(word, 0)], 0))
@@ -94,7 +94,8 @@ class Model:
     def score(self, x: np.ndarray, first: np.ndarray) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(first) - 1, self.constant)
-        return forward(self.weights, (x - self.mean) / self.scale, first)["p"]
+        # Rounded, since products in batches of different sizes may differ in the last bits.
+        return np.round(forward(self.weights, (x - self.mean) / self.scale, first)["p"], 9)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:

@@ -178,15 +178,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most: int
     return Chain(known, CATEGORIES, fit_chain(x, graded(x, y, known), fold))
 
 
-_terms: dict[int, Terms] = {}
+_last: list = [None, None]  # the model that this worker scores with, and its terms by word
 
 
 def _scored(batch: pa.RecordBatch, chain) -> pa.RecordBatch:
     model: Chain = chain.value
-    cache = _terms.get(id(model))
-    if cache is None:
-        _terms.clear()
-        cache = _terms[id(model)] = Terms(model.known)
+    if _last[0] is not model:
+        _last[:] = [model, Terms(model.known)]
+    cache = _last[1]
     sets = [{x for places in map(cache.__getitem__, t.lower().split()) if places for x in places} for t in texts_of(batch)]
     p = model.probabilities(design(sets, len(model.known)))
     ids = batch.column(batch.schema.get_field_index("doc_id"))
