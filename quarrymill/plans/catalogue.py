@@ -105,9 +105,9 @@ _filter("q_between_halfopen", EVENTS, "events", (("value", "between", [10, 50]),
 
 _W = ["ring", "anch"]
 for _name, _op, _v, _where in (
-    ("q_str_eq", "==", "small part 1", "p_name = 'small part 1'"),
-    ("q_str_ne", "!=", "small part 1", "p_name <> 'small part 1'"),
-    ("q_str_in", "in", ["small part 1", "small ring 1"], "p_name IN ('small part 1', 'small ring 1')"),
+    ("q_str_eq", "==", "red plate", "p_name = 'red plate'"),
+    ("q_str_ne", "!=", "red plate", "p_name <> 'red plate'"),
+    ("q_str_in", "in", ["red plate", "hot ring"], "p_name IN ('red plate', 'hot ring')"),
     ("q_contain", "contain", "ring", "contains(p_name, 'ring')"),
     ("q_not_contain", "not contain", "ring", "NOT contains(p_name, 'ring')"),
     ("q_mcontain", "mcontain", _W, "contains(p_name, 'ring') OR contains(p_name, 'anch')"),
@@ -116,10 +116,10 @@ for _name, _op, _v, _where in (
     ("q_not_startswith", "not startswith", "small", "NOT starts_with(p_name, 'small')"),
     ("q_mstartswith", "mstartswith", ["small", "red"], "starts_with(p_name, 'small') OR starts_with(p_name, 'red')"),
     ("q_not_mstartswith", "not mstartswith", ["small", "red"], "NOT (starts_with(p_name, 'small') OR starts_with(p_name, 'red'))"),
-    ("q_endswith", "endswith", "1", "ends_with(p_name, '1')"),
-    ("q_not_endswith", "not endswith", "1", "NOT ends_with(p_name, '1')"),
-    ("q_mendswith", "mendswith", ["1", "ring"], "ends_with(p_name, '1') OR ends_with(p_name, 'ring')"),
-    ("q_not_mendswith", "not mendswith", ["1", "ring"], "NOT (ends_with(p_name, '1') OR ends_with(p_name, 'ring'))"),
+    ("q_endswith", "endswith", "late", "ends_with(p_name, 'late')"),
+    ("q_not_endswith", "not endswith", "late", "NOT ends_with(p_name, 'late')"),
+    ("q_mendswith", "mendswith", ["late", "ring"], "ends_with(p_name, 'late') OR ends_with(p_name, 'ring')"),
+    ("q_not_mendswith", "not mendswith", ["late", "ring"], "NOT (ends_with(p_name, 'late') OR ends_with(p_name, 'ring'))"),
 ):
     _filter(_name, PART, "part", (("p_name", _op, _v),), _where)
 
