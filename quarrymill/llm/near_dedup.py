@@ -8,11 +8,14 @@ sets agree in a bin with the probability of their Jaccard similarity, and the nu
 like that of independent ones, which single-hash bin placement doesn't give for small sets.
 
 Bins are read in bands of ``rows``; classes (documents of one and the same set) that share a band are candidates.
-Every link is confirmed on full sets. Candidates of a band are not paired with each other: in each round a band
-names a few centres, which are compared with its members; links join components, and members of one
-component need no further comparison. Centres leave a band once compared, so that after the last round each pair of
-classes in a band is in one component or has been compared. So no link that a band shows is lost, and
-a group of thousands of near copies costs about one comparison a member.
+Every link is confirmed on full sets, without pairing a band's candidates with each other. First each class goes to
+the family of its hub, the class among its bands' members that shares most with others: the original of a group of near
+copies is in more bands with its copies than they are with one another. A family's full sets meet in tasks of
+bounded size (large families in pairs of blocks), which compare bit sets and emit a spanning forest of the links, one row a member
+at most. Pairs of a band in different families and components are left, few of them: in each round a band names some centres,
+from all but its largest family, which are compared with its members and then leave the band. After the last round each
+pair of classes in a band is in one component, or has met in a family or as centre and member. So no link that a band
+shows is lost.
 
 With 252 bins in 42 bands of 6, a pair of similarity s shares no band with probability (1 - s**6)**42: 3e-9 at
 0.85, 3e-6 at 0.8.
@@ -39,6 +42,8 @@ from quarrymill.llm.words import WordHashes, gram_hashes, mix, word_hashes
 SHINGLE = 5
 BANDS = 42
 ROWS = 6
+#: Classes of a family that one task compares with as many others, or with each other.
+BLOCK = 512
 
 U = np.uint64
 _cache = WordHashes()
@@ -109,7 +114,8 @@ def _sketches(batch: pa.RecordBatch, k: int, bands: int, rows: int, seed: int) -
         nodes.append(node), checks.append(check), sizes.append(n), keys.append(known[node, check])
     long = lambda v: pa.array([None if x is None else x - (x >> 63 << 64) for x in v], pa.int64())
     ids = batch.column(batch.schema.get_field_index("doc_id"))
-    return pa.RecordBatch.from_arrays([ids, long(nodes), long(checks), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "node", "chk", "n_shingles", "bands"])
+    copy = batch.column(batch.schema.get_field_index("copy"))
+    return pa.RecordBatch.from_arrays([ids, copy, long(nodes), long(checks), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "copy", "node", "chk", "n_shingles", "bands"])
 
 
 def _sets(batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
@@ -119,40 +125,116 @@ def _sets(batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
 
 
 def _two(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    """doc_id, the text, and copy, which tells texts of one doc_id apart."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("copy"), text.alias("text"))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, k: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, k: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row; links are pairs of sets with
     100 * intersection >= percent * union."""
     scratch = Scratch(docs.sparkSession)
     text = _two(docs)
     seed = 0
     while True:
-        schema = "doc_id long, node long, chk long, n_shingles long, bands array<long>"
+        schema = "doc_id long, copy long, node long, chk long, n_shingles long, bands array<long>"
         marks = scratch.put(text.mapInArrow(map_slices(partial(_sketches, k=k, bands=bands, rows=rows, seed=seed)), schema), "marks")
         # One row a class; all rows of a class have the same bands.
         classes = scratch.put(marks.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), (F.min("chk") != F.max("chk")).alias("clash"), F.first("bands").alias("bands")), "classes")
         if classes.where("clash").isEmpty():
             break
         seed += 1  # two sets had one name; others under another seed
-    sizes = classes.select("node", "n")
     members = scratch.put(_shared_bands(classes), "members")
-    labels = _linked(docs, text, marks, members, sizes, percent, k, scratch)
+    labels = _linked(text, marks, members, percent, k, block, scratch)
     least = labels.join(classes.select("node", "rep"), "node", "right").withColumn("label", F.coalesce("label", "node"))
     least = least.groupBy("label").agg(F.min("rep").alias("component_id")).join(least.select("node", "label"), "label").select("node", "component_id")
     out = marks.select("doc_id", "node", "n_shingles").join(least, "node", "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     out = scratch.put(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))), "result")
-    scratch.drop("marks", "classes", "members", "links", "items")
+    scratch.drop("marks", "classes", "members", "families", "items")
     return out
 
 
 def _shared_bands(classes: DataFrame) -> DataFrame:
-    """(band, node, lead) for bands with two classes at least; lead is the band's least class."""
-    cells = classes.select("node", F.explode("bands").alias("band"))
-    shared = cells.groupBy("band").agg(F.min("node").alias("lead"), F.max("node").alias("_hi")).where("lead < _hi").drop("_hi")
-    return cells.join(shared, "band")
+    """(band, node, n, shared) for bands with two classes at least; shared is the number of the band's classes."""
+    cells = classes.select("node", "n", F.explode("bands").alias("band"))
+    counts = cells.groupBy("band").agg(F.count(F.lit(1)).alias("shared")).where("shared > 1")
+    return cells.join(counts, "band")
+
+
+def _families(members: DataFrame) -> DataFrame:
+    """(node, family): the hub of each class, the one of its bands' classes with the largest bands in all."""
+    weighed = members.join(members.groupBy("node").agg(F.sum("shared").alias("w")), "node").select("band", "node", "w")
+    hubs = weighed.groupBy("band").agg(F.max(F.struct("w", "node")).alias("hub"))
+    return members.select("band", "node").join(hubs, "band").groupBy("node").agg(F.max("hub").alias("hub")).select("node", F.col("hub.node").alias("family"))
+
+
+def links_within(sets: list[np.ndarray], percent: int, split: int | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the links between sets, as positions; with ``split`` only of those across that position.
+
+    Items in one set only can't be shared, so that bits are kept for the others; bits go in pieces of bounded
+    size, whatever the vocabulary.
+    """
+    n = np.array([len(s) for s in sets])
+    _, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = count > 1
+    bit = (np.cumsum(common) - 1)[place]
+    row = np.repeat(np.arange(len(sets)), n)
+    at = common[place]
+    row, bit = row[at], bit[at]
+    words = max(1, -(-int(common.sum()) // 64))
+    step = max(1, 16_000_000 // (8 * len(sets)))  # 16 MB of bits
+    order = np.argsort(bit, kind="stable")
+    row, bit = row[order], bit[order]
+    shared = np.zeros((len(sets), len(sets)), np.int32)
+    for w in range(0, words, step):
+        a, b = np.searchsorted(bit, [w * 64, (w + step) * 64])
+        x = np.zeros((len(sets), min(step, words - w)), np.uint64)
+        np.bitwise_or.at(x, (row[a:b], bit[a:b] // 64 - w), U(1) << (bit[a:b] % 64).astype(np.uint64))
+        for i in range(len(sets) - 1 if split is None else split):
+            lo = i + 1 if split is None else split
+            shared[i, lo:] += np.bitwise_count(x[lo:] & x[i]).sum(1, dtype=np.int32)
+    parent = list(range(len(sets)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    out = []
+    for i in range(len(sets) - 1 if split is None else split):
+        lo = i + 1 if split is None else split
+        s = shared[i, lo:].astype(np.int64)
+        for j in (np.flatnonzero((s > 0) & (100 * s >= percent * (n[lo:] + n[i] - s))) + lo).tolist():
+            a, b = root(i), root(j)
+            if a != b:
+                parent[b] = a
+                out.append((i, j))
+    return out
+
+
+def _family_links(table: pa.Table, percent: int) -> pa.Table:
+    """Links in one family, or between two blocks of it."""
+    table = table.combine_chunks().sort_by([("side", "ascending"), ("node", "ascending")])
+    nodes = table["node"].to_numpy()
+    items = table["items"].combine_chunks()
+    flat, offsets = items.flatten().to_numpy().view(np.uint64), items.offsets.to_numpy()
+    offsets = offsets - offsets[0]
+    sets = [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+    sides = table["side"].to_numpy()
+    split = int((sides == 0).sum()) if len(sides) and sides[-1] == 1 else None
+    found = links_within(sets, percent, split) if len(sets) > 1 else []
+    return pa.table([pa.array(nodes[[i for i, _ in found]] if found else [], pa.int64()), pa.array(nodes[[j for _, j in found]] if found else [], pa.int64())], ["u", "v"])
+
+
+def _in_families(families: DataFrame, items: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links (u, v) between the classes of a family, in groups of at most two blocks."""
+    all_ = families.union(families.select(F.col("family").alias("node"), "family").distinct()).distinct()
+    sized = all_.join(all_.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")), "family")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    sent = sized.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keyed = sent.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", (F.col("own") > F.col("other")).cast("int").alias("side"))
+    return keyed.join(items, "node").groupBy("family", "i", "j").applyInArrow(lambda table: _family_links(table, percent), "u long, v long")
 
 
 def _verified(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
@@ -163,46 +245,43 @@ def _verified(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
     return both.where((F.lit(100) * F.col("_i")) >= F.lit(percent) * (F.size("_x") + F.size("_y") - F.col("_i"))).select("a", "b")
 
 
-def _linked(docs, text, marks, members, sizes, percent, k, scratch) -> DataFrame:
+def _linked(text: DataFrame, marks: DataFrame, members: DataFrame, percent: int, k: int, block: int, scratch: Scratch) -> DataFrame:
     """(node, label) of the classes that have links."""
-    spark = docs.sparkSession
-    nodes = members.select("node").distinct()
-    # Full sets of the candidates only. A class is read from one document: its least doc_id, or any without one.
-    at = marks.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    found = text.join(at, text["doc_id"].eqNullSafe(at["doc_id"])).select("node", "text")
-    items = scratch.put(found.mapInArrow(map_slices(partial(_sets, k=k)), "node long, items array<long>"), "items")
-
-    empty = spark.createDataFrame([], "node long, label long")
-    links, labels, tested = None, empty, None
-    turn, centres = 0, 1
+    # Full sets of the candidates only, each read from one document of the class.
+    families = scratch.put(_families(members), "families")
+    at = marks.join(families, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "copy")).alias("at")).select("node", F.col("at.doc_id").alias("_doc"), F.col("at.copy").alias("_copy"))
+    found = text.join(at, text["doc_id"].eqNullSafe(at["_doc"]) & (text["copy"] == at["_copy"])).select("node", "text")
+    items = scratch.put(found.mapInArrow(map_slices(partial(_sets, k=k)), "node long, items array<long>").dropDuplicates(["node"]), "items")
+    links = scratch.put(_in_families(families, items, percent, block), "links0")
+    labels = connected_components(links, scratch, "cc0")
+
+    open_ = members.select("band", "node", "n").join(families, "node")
+    tested, turn, centres = None, 0, 64
     while True:
-        if turn == 0:
-            # Each class with the least lead of its bands: joins most of a group of near copies at once.
-            pairs = members.groupBy("node").agg(F.min("lead").alias("lead")).where("lead < node").select(F.col("lead").alias("a"), F.col("node").alias("b"))
-            open_ = members.select("band", "node")
-        else:
-            state = members_now.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-            mixed = state.groupBy("band").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo < _hi").select("band")
-            open_ = scratch.put(state.join(mixed, "band", "left_semi"), f"open{turn}")
-            if open_.isEmpty():
-                break
-            spread = open_.withColumn("_g", F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(centres)))
-            heads = spread.groupBy("band", "_g").agg(F.min_by(F.struct("node", "label"), "node").alias("_c")).select("band", F.col("_c.node").alias("centre"), F.col("_c.label").alias("centre_label"))
-            pairs = open_.join(heads, "band").where("label <> centre_label").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-            if tested is not None:
-                pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        na, nb = (sizes.select(F.col("node").alias(c), F.col("n").alias(f"_n{c}")) for c in "ab")
-        pairs = scratch.put(pairs.join(na, "a").join(nb, "b").where(F.lit(100) * F.least("_na", "_nb") >= F.lit(percent) * F.greatest("_na", "_nb")).select("a", "b"), f"pairs{turn}")
-        new = scratch.put(_verified(pairs, items, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), f"links{turn}")
+        turn += 1
+        state = open_.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        differ = lambda c: F.min(c) != F.max(c)
+        mixed = state.groupBy("band").agg(differ("label").alias("_l"), differ("family").alias("_f")).where("_l and _f").select("band")
+        state = scratch.put(state.join(mixed, "band", "left_semi"), f"open{turn}")
+        if state.isEmpty():
+            return labels
+        # Centres come from the smaller families of a band, which soon leave it to one family.
+        counts = state.groupBy("band", "family").agg(F.count(F.lit(1)).alias("_c"))
+        largest = counts.groupBy("band").agg(F.max(F.struct("_c", "family"))["family"].alias("_most"))
+        group = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(centres))
+        heads = state.join(largest, "band").where("family <> _most").groupBy("band", group.alias("_g")).agg(F.min(F.struct("node", "n", "family", "label")).alias("c"))
+        heads = scratch.put(heads.select("band", "c"), f"heads{turn}")
+        fits = F.lit(100) * F.least("n", "c.n") >= F.lit(percent) * F.greatest("n", "c.n")
+        pairs = state.join(heads, "band").where((F.col("label") != F.col("c.label")) & (F.col("family") != F.col("c.family")) & fits)
+        pairs = pairs.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
+        pairs = scratch.put(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, f"pairs{turn}")
         tested = pairs if tested is None else tested.union(pairs)
-        links = new if links is None else links.union(new)
-        labels = scratch.put(connected_components(links, scratch, f"cc{turn}_"), f"labels{turn}")
-        if turn == 0:
-            members_now = open_
-        else:
-            members_now = scratch.put(open_.select("band", "node").join(heads.select("band", F.col("centre").alias("node")), ["band", "node"], "left_anti"), f"members{turn}")
-        turn, centres = turn + 1, 4 if turn == 0 else centres * 4
-    return labels
+        new = scratch.put(_verified(pairs, items, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), f"links{turn}")
+        links = links.union(new)
+        labels = connected_components(links, scratch, f"cc{turn}")
+        gone = heads.select("band", F.col("c.node").alias("node"))
+        open_ = state.drop("label").join(gone, ["band", "node"], "left_anti")
+        centres *= 4
 
 
 def keep_one(docs: DataFrame, percent: int = 80, k: int = SHINGLE) -> DataFrame:
