@@ -290,7 +290,7 @@ def keep_one(docs: DataFrame, percent: int = 80, k: int = SHINGLE) -> DataFrame:
     Documents without a doc_id can't be told apart by id, so they pass unchanged. Of rows that repeat a kept doc_id one stays.
     """
     kept = near_duplicates(docs, percent, k).where("kept").select("doc_id").distinct()
-    named = docs.join(kept.withColumnRenamed("doc_id", "_kept_id"), F.col("doc_id").cast("long") == F.col("_kept_id"), "left_semi")
+    named = docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").cast("long") == F.col("k.doc_id"), "left_semi")
     return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
 
 

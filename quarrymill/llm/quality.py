@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import map_slices, read, texts_of
+from quarrymill.llm.common import map_slices, read, text_slices, texts_of
 from quarrymill.llm.words import WordHashes, mix, word_hashes
 
 PASSAGE = 100
@@ -191,19 +191,15 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
 
 
 def _accepted(batches, model, threshold):
-    from quarrymill.llm.common import text_slices
-
-    for batch in text_slices(batches, "_t"):
-        x, first = passages(texts_of(batch, "_t"))
-        keep = model.value.score(x, first) >= threshold
-        names = [n for n in batch.schema.names if n != "_t"]
-        yield batch.filter(pa.array(keep)).select(names)
+    for batch in text_slices(batches):
+        x, first = passages(texts_of(batch))
+        yield batch.filter(pa.array(model.value.score(x, first) >= threshold))
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the model accepts, in their own columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.withColumn("_t", F.col("text").cast("string")).mapInArrow(partial(_accepted, model=shared, threshold=threshold), docs.schema)
+    return docs.mapInArrow(partial(_accepted, model=shared, threshold=threshold), docs.schema)
 
 
 def op3_attention_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,7 +92,7 @@ def _paged(left: DataFrame, limit: int, scratch: Scratch) -> DataFrame:
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> None:
     """Writes the documents under one folder a shard."""
     ids = assign(docs, limit).groupBy("doc_id").agg(F.min("shard_id").alias("shard_id"))
-    named = docs.join(ids.withColumnRenamed("doc_id", "_id"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))).drop("_id")
+    named = docs.alias("d").join(ids.alias("i"), F.col("d.doc_id").cast("long").eqNullSafe(F.col("i.doc_id"))).select("d.*", "i.shard_id")
     named.repartition("shard_id").write.partitionBy("shard_id").mode("overwrite").parquet(path)
 
 
