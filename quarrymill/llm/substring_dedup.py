@@ -97,7 +97,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER, scra
     edges = scratch.put(keyed.mapInArrow(map_slices(partial(_edges, window=window, kmer=kmer)), "kmer long, body long, doc long, copy long, start int, n int"), "edges")
 
     # Repeated k-mers: in two documents at least. branching: more than one edge holds it.
+    # Written, as the minima below, so that the join reads both sides by shuffles of its own and a common k-mer can be split.
     shared = edges.groupBy("kmer").agg(F.min("doc").alias("_lo"), F.max("doc").alias("_hi"), (F.min("body") != F.max("body")).alias("branching")).where("_lo < _hi").drop("_lo", "_hi")
+    shared = scratch.put(shared, "shared")
     own = Window.partitionBy("doc", "copy").orderBy("start")
     key = F.struct("kmer", "body")
     end = F.col("start") + F.col("n")
@@ -106,7 +108,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER, scra
         "after": F.when(F.lead("start").over(own) == end, F.lead(key).over(own)),
     })
     occurrences = scratch.put(occurrences, "occurrences")
-    scratch.drop("edges")
+    scratch.drop("edges", "shared")
 
     # An edge continues a path if all its occurrences have one and the same edge before, which always goes on to it.
     n = F.count(F.lit(1))
@@ -123,11 +125,12 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER, scra
     windows = keyed.join(wanted, ["doc", "copy"]).select("doc", "copy", "text", "wanted")
     windows = scratch.put(windows.mapInArrow(map_slices(partial(_windows, window=window)), "kmer long, body long, doc long, copy long, start int"), "windows")
     least = windows.groupBy("kmer", "body").agg(F.min("doc").alias("_lo"), F.max("doc").alias("_hi")).where("_lo < _hi").drop("_hi")
+    least = scratch.put(least, "least")
     single = windows.join(least, ["kmer", "body"]).where("doc > _lo").select("doc", "copy", "start", F.lit(1).alias("n"))
     # Runs of single windows become one span each.
     single = single.distinct().withColumn("_run", F.col("start") - F.row_number().over(own)).groupBy("doc", "copy", "_run").agg(F.min("start").alias("start"), F.sum("n").cast("int").alias("n")).drop("_run")
     spans = scratch.put(whole.unionByName(single), "spans")
-    scratch.drop("occurrences", "kinds", "windows")
+    scratch.drop("occurrences", "kinds", "windows", "least")
     return spans
 
 
