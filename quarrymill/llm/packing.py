@@ -13,6 +13,8 @@ are ignored, whatever their names; null doc_id stays null.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from functools import partial
 from itertools import chain
@@ -30,6 +32,16 @@ END_ID = 0
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+def added_tokens(json_file: str) -> dict[str, int]:
+    """The added tokens of a ``tokenizers`` file with their ids."""
+    with open(json_file, encoding="utf-8") as f:
+        spec = json.load(f)
+    added = spec.get("added_tokens") or []
+    if any(t.get(flag) for t in added for flag in ("single_word", "lstrip", "rstrip")) or (added and spec.get("normalizer")):
+        raise ValueError("added tokens that take in white space, whole words or normalised text aren't supported")
+    return {t["content"]: t["id"] for t in added if t["content"]}
+
+
 def vocabulary_paths() -> tuple[str, str]:
     """The rank file and the JSON file of the same public byte-level vocabulary."""
     import public_tokenizers
@@ -43,12 +55,13 @@ class ChunkEncoder:
     The vocabulary's split pattern never joins text over a single space between two other characters: the
     space always opens the next part. So a text falls into chunks that encode on their own, and
     a bounded cache keeps the ids of chunks. Where white space stands together, the chunks around it stay
-    one chunk. Special tokens' strings in a text are ordinary text.
+    one chunk. The strings of the added tokens are cut out first, the longest where several begin, and have the
+    token's own id; without ``json_file`` there are none, and such strings are ordinary text.
     """
 
     LIMIT = 250_000
 
-    def __init__(self, rank_file: str):
+    def __init__(self, rank_file: str, json_file: str | None = None):
         import base64
 
         import public_tokenizers
@@ -57,6 +70,9 @@ class ChunkEncoder:
         with open(rank_file, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encode_ordinary = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        added = added_tokens(json_file) if json_file else {}
+        self.added = {t: np.array([i], "<u4").tobytes() for t, i in added.items()}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")").split if added else None
         outer = self
 
         class Chunks(dict):
@@ -73,6 +89,12 @@ class ChunkEncoder:
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
+        if any(t in text for t in self.added):
+            return b"".join(self.added[part] if i % 2 else self._between(part) for i, part in enumerate(self.cut(text)))
+        return self._between(text)
+
+    def _between(self, text: str) -> bytes:
+        """The ids of a text without added tokens."""
         first, *rest = text.split(" ")
         parts = [self.chunks[c] for c in rest] if rest else []
         if None in parts or (rest and (not first or first[-1].isspace())):
@@ -80,18 +102,19 @@ class ChunkEncoder:
         return np.array(self.encode_ordinary(first), "<u4").tobytes() + b"".join(parts)
 
 
-_encoders: dict[str, ChunkEncoder] = {}
+_encoders: dict[tuple[str, str | None], ChunkEncoder] = {}
 
 
-def encoder(rank_file: str) -> ChunkEncoder:
-    """One encoder a worker process."""
-    if rank_file not in _encoders:
-        _encoders[rank_file] = ChunkEncoder(rank_file)
-    return _encoders[rank_file]
+def encoder(rank_file: str, json_file: str | None = None) -> ChunkEncoder:
+    """One encoder a worker process; added tokens are those of ``json_file``."""
+    key = rank_file, json_file
+    if key not in _encoders:
+        _encoders[key] = ChunkEncoder(rank_file, json_file)
+    return _encoders[key]
 
 
-def _pieces(batch: pa.RecordBatch, rank_file: str, capacity: int, end_id: int) -> pa.RecordBatch:
-    enc = encoder(rank_file)
+def _pieces(batch: pa.RecordBatch, rank_file: str, json_file: str | None, capacity: int, end_id: int) -> pa.RecordBatch:
+    enc = encoder(rank_file, json_file)
     end = np.array([end_id], "<u4").tobytes()
     ids = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
     rows = []
@@ -110,9 +133,12 @@ def _pieces(batch: pa.RecordBatch, rank_file: str, capacity: int, end_id: int) -
 
 
 def token_pieces(docs: DataFrame, rank_file: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """One row per piece: its place in the document, length and the checksum of its ids."""
-    rank_file = rank_file or vocabulary_paths()[0]
-    make = map_slices(partial(_pieces, rank_file=rank_file, capacity=capacity, end_id=end_id))
+    """One row per piece: its place in the document, length and the checksum of its ids.
+
+    Added tokens are those of the default vocabulary; a ``rank_file`` of the caller's own has none.
+    """
+    rank_file, json_file = (rank_file, None) if rank_file else vocabulary_paths()
+    make = map_slices(partial(_pieces, rank_file=rank_file, json_file=json_file, capacity=capacity, end_id=end_id))
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(make, PIECES)
 
 

@@ -22,6 +22,26 @@ def test_ids_are_the_tokenizers_ids(tokenizer):
         assert np.frombuffer(enc.encode(t), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+@pytest.fixture(scope="module")
+def default_tokenizer():
+    return tokenizers.Tokenizer.from_file(op.vocabulary_paths()[1])
+
+
+SPECIAL = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "end  <|endoftext|>  \n b", "one two<|endoftext|>three four", "<|endoftext|", "<|endoftext<|endoftext|>|>", " <|endoftext|> ", "no token here"]
+
+
+def test_added_tokens_have_their_own_ids(default_tokenizer):
+    enc = op.encoder(*op.vocabulary_paths())
+    for t in SPECIAL:
+        assert np.frombuffer(enc.encode(t), "<u4").tolist() == default_tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_pieces_with_added_tokens(spark, default_tokenizer):
+    out = op.pack_documents(spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id bigint, text string").repartition(2)).collect()
+    ids = [np.array([*default_tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4") for t in SPECIAL]
+    assert sorted((r.doc_id, r.length, r.ids_crc32) for r in out) == [(i, len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(ids)]
+
+
 @pytest.mark.parametrize("capacity", [16, 2048])
 def test_pieces_and_bins(spark, tokenizer, capacity):
     rows = cases.rows()
