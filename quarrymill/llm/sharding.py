@@ -41,10 +41,18 @@ def _leaves(sums: DataFrame, low: int, high: int, limit: int) -> DataFrame:
 
 def assign(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, depth, prefix (the leading bits as text), page, shard_id and shard_bytes of every row."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
-    sized = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long").alias("n_bytes")).withColumn("_h", hash_bits())
-    sized = scratch.put(sized, "sized")
+    scratch = Scratch(docs.sparkSession)
+    return _assigned(scratch.put(_sized(docs), "sized"), limit, scratch)
+
+
+def _sized(docs: DataFrame, *more: F.Column) -> DataFrame:
+    """doc_id, n_bytes, the hash and further columns of every row."""
+    own = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long").alias("n_bytes"), *more)
+    return own.withColumn("_h", hash_bits())
+
+
+def _assigned(sized: DataFrame, limit: int, scratch: Scratch, keys: tuple[str, ...] = ()) -> DataFrame:
+    """The columns of ``assign`` and ``keys`` (columns that name a row) of every row of ``sized``, a written table."""
     total = sized.agg(F.sum("n_bytes")).first()[0] or 0
     low, high = 0, min(BITS, max(0, (total // limit).bit_length()) + SPREAD_BITS)
     leaves, left = None, sized
@@ -64,36 +72,44 @@ def assign(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
         part = sized.withColumn("fine", F.shiftright(F.col("_h"), BITS - bits)).join(leaves.where(F.col("_bits") == bits).drop("_bits"), "fine").drop("fine").withColumn("page", F.lit(0).cast("long"))
         out = part if out is None else out.unionByName(part)
     if high == BITS and not left.isEmpty():
-        paged = _paged(left, limit, scratch)
+        paged = _paged(left, limit, scratch, keys)
         out = paged if out is None else out.unionByName(paged)
     if out is None:
         out = sized.withColumns({"depth": F.lit(0), "shard_bytes": F.lit(0).cast("long"), "page": F.lit(0).cast("long")})
     bits = F.lpad(F.bin("_h"), BITS, "0").substr(F.lit(1), F.col("depth"))
     return out.withColumn("prefix", bits).select(
-        "doc_id", "n_bytes", F.col("depth").cast("int").alias("depth"), "prefix", "page", F.concat(F.lit("s"), "prefix", F.when(F.col("page") > 0, F.concat(F.lit("-"), F.col("page").cast("string"))).otherwise("")).alias("shard_id"), "shard_bytes"
+        "doc_id", "n_bytes", F.col("depth").cast("int").alias("depth"), "prefix", "page", F.concat(F.lit("s"), "prefix", F.when(F.col("page") > 0, F.concat(F.lit("-"), F.col("page").cast("string"))).otherwise("")).alias("shard_id"), "shard_bytes", *keys
     )
 
 
-def _paged(left: DataFrame, limit: int, scratch: Scratch) -> DataFrame:
+def _paged(left: DataFrame, limit: int, scratch: Scratch, keys: tuple[str, ...]) -> DataFrame:
     """Rows of equal hashes on pages. Each input partition fills pages of its own, so that no task holds a whole hash."""
     left = scratch.put(left.withColumn("_part", F.spark_partition_id()), "paged")
-    run = Window.partitionBy("_h", "_part").orderBy("doc_id", "n_bytes").rowsBetween(Window.unboundedPreceding, 0)
+    run = Window.partitionBy("_h", "_part").orderBy("doc_id", "n_bytes", *keys).rowsBetween(Window.unboundedPreceding, 0)
     # The first-fit of a running sum: a page starts where a row would pass a multiple of half the limit, so a page holds
     # at most the limit, or one larger row.
     filled = left.withColumn("_page", F.floor((F.sum("n_bytes").over(run) - 1) / F.lit(limit // 2 or 1)).cast("long"))
     big = F.col("n_bytes") > limit // 2
-    alone = F.when(big, F.row_number().over(Window.partitionBy("_h", "_part").orderBy("doc_id", "n_bytes")))
+    alone = F.when(big, F.row_number().over(Window.partitionBy("_h", "_part").orderBy("doc_id", "n_bytes", *keys)))
     filled = filled.withColumn("_alone", F.coalesce(alone, F.lit(0)))
     pages = filled.groupBy("_h", "_part", "_page", "_alone").agg(F.sum("n_bytes").alias("shard_bytes"))
     pages = pages.withColumn("page", F.row_number().over(Window.partitionBy("_h").orderBy("_part", "_page", "_alone")).cast("long"))
-    return filled.join(pages, ["_h", "_part", "_page", "_alone"]).select("doc_id", "n_bytes", "_h", F.lit(BITS).alias("depth"), "shard_bytes", "page")
+    return filled.join(pages, ["_h", "_part", "_page", "_alone"]).select("doc_id", "n_bytes", "_h", F.lit(BITS).alias("depth"), "shard_bytes", "page", *keys)
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> None:
-    """Writes the documents under one folder a shard."""
-    ids = assign(docs, limit).groupBy("doc_id").agg(F.min("shard_id").alias("shard_id"))
-    named = docs.alias("d").join(ids.alias("i"), F.col("d.doc_id").cast("long").eqNullSafe(F.col("i.doc_id"))).select("d.*", "i.shard_id")
+    """Writes the documents under one folder a shard.
+
+    Rows are numbered in a written table and find their shard by number, so that those of one doc_id, or of none,
+    go to the pages that they were dealt to.
+    """
+    scratch = Scratch(docs.sparkSession)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc")
+    numbered = scratch.put(_sized(docs, row, F.monotonically_increasing_id().alias("_row")), "numbered")
+    ids = scratch.put(_assigned(numbered.drop("_doc"), limit, scratch, ("_row",)).select("_row", "shard_id"), "ids")
+    named = numbered.select("_row", "_doc").join(ids, "_row").select("_doc.*", "shard_id")
     named.repartition("shard_id").write.partitionBy("shard_id").mode("overwrite").parquet(path)
+    scratch.drop("numbered", "ids")
 
 
 def op4_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,6 +47,18 @@ def test_write_shards(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).count() == docs.count()
 
 
+def test_written_shards_keep_the_limit(spark, tmp_path):
+    rows = [(1, "x" * 30, i) for i in range(40)] + [(None, "y" * 20, i) for i in range(30)] + [(2, "z" * 500, 0), (3, "", 0), (3, None, 1), (4, "w" * 60, 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _h int").repartition(4)
+    sharding.write_shards(docs, str(tmp_path / "s"), 100)
+    out = spark.read.parquet(str(tmp_path / "s")).collect()
+    assert sorted(map(repr, rows)) == sorted(repr((r.doc_id, r.text, r["_h"])) for r in out)
+    sums = {}
+    for r in out:
+        sums.setdefault(r.shard_id, []).append(len(r.text or ""))
+    assert all(sum(v) <= 100 or len(v) == 1 for v in sums.values())
+
+
 def test_rake_meets_every_margin():
     r = np.random.default_rng(0)
     counts = r.integers(1, 100, 60).astype(float)
