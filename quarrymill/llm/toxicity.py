@@ -8,8 +8,9 @@ Terms are words in lower case without marks around them, and their first four an
 inflected and coined words share. The terms that tell labelled classes apart are chosen on the training sample; whatever the
 corpus, a document then is a set of at most ``terms`` known terms, read from its whole text.
 
-Labels have the categories as columns. Where they have one label only (``toxic``), ``graded`` derives the earlier
-categories from it: ``lexical`` (toxic with a telling whole word), ``stem`` (toxic with a telling stem) and ``dense``
+Labels may have the categories as columns beside ``toxic``, which comes last; a row whose category is null isn't learned from in that
+category. Where they have one label only (``toxic``), ``graded`` derives the earlier
+categories from it and from the terms of the input: ``lexical`` (toxic with a telling whole word), ``stem`` (toxic with a telling stem) and ``dense``
 (toxic with several telling terms).
 
 The model is fitted on the driver on at most ``train_rows`` labelled documents outside the test fold.
@@ -110,15 +111,20 @@ class Chain:
         return out
 
 
-def fit_chain(x: np.ndarray, y: np.ndarray, fold: np.ndarray, folds: int = FOLDS) -> list[Linear]:
-    """One model a column of y; what it gets of the columns before it is out of fold."""
+def fit_chain(x: np.ndarray, y: np.ndarray, fold: np.ndarray, folds: int = FOLDS, views: list[tuple[np.ndarray, np.ndarray]] | None = None) -> list[Linear]:
+    """One model a column of y (nan: no label); what it gets of the columns before it is out of fold.
+
+    views: for each fold, x and y by terms that were chosen without it.
+    """
     before, models = np.empty((len(x), 0)), []
     for c in range(y.shape[1]):
-        z = np.column_stack([x, before])
         apart = np.empty(len(x))
         for k in range(folds):
-            apart[fold == k] = fit_linear(z[fold != k], y[fold != k, c]).predict(z[fold == k])
-        models.append(fit_linear(z, y[:, c]))
+            xk, yk = views[k] if views else (x, y)
+            z, has = np.column_stack([xk, before]), (fold != k) & ~np.isnan(yk[:, c])
+            apart[fold == k] = fit_linear(z[has], yk[has, c]).predict(z[fold == k])
+        has = ~np.isnan(y[:, c])
+        models.append(fit_linear(np.column_stack([x, before])[has], y[has, c]))
         before = np.column_stack([before, apart])
     return models
 
@@ -140,6 +146,15 @@ def choose_terms(docs: list[np.ndarray], y: np.ndarray, most: int = TERMS) -> di
     return {int(t): i for i, t in enumerate(np.sort(names[good]).tolist())}
 
 
+def choose_all(docs: list[np.ndarray], y: np.ndarray, most: int = TERMS) -> dict[int, int]:
+    """The terms that tell the classes of some column of y apart, an equal share for each column."""
+    names: set[int] = set()
+    for of in y.T:
+        has = np.flatnonzero(~np.isnan(of))
+        names |= choose_terms([docs[i] for i in has], of[has], most // y.shape[1]).keys()
+    return {t: i for i, t in enumerate(sorted(names))}
+
+
 def design(term_sets: list[set[int]], size: int) -> np.ndarray:
     """Presence of each known term. Not their number: one telling word is enough, in a text of any length."""
     x = np.zeros((len(term_sets), size), np.float32)
@@ -162,20 +177,35 @@ def _training(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = t.lower().split()
         sets.append(np.array(sorted({x for w in set(own) for x in terms_of(w)}), np.uint64).view(np.int64))
     get = lambda n: batch.column(batch.schema.get_field_index(n))
-    return pa.RecordBatch.from_arrays([get("doc_id"), get("y"), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "y", "terms"])
+    return pa.RecordBatch.from_arrays([get("doc_id"), get("y"), get("marks"), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "y", "marks", "terms"])
+
+
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most: int = TERMS, categories: tuple[str, ...] | None = None) -> Chain:
+    """categories: the columns of labels that come before ``toxic``; those of CATEGORIES where labels have them all."""
+    if categories is None:
+        categories = CATEGORIES[:-1] if set(CATEGORIES) <= set(labels.columns) else ()
+    ids = training_ids(labels, "toxic", rows)
+    if categories:
+        own = labels.select(F.col("doc_id").cast("long"), *(F.col(f"`{c}`").cast("double").alias(f"_{i}") for i, c in enumerate(categories)))
+        ids = ids.join(own.groupBy("doc_id").agg(F.array(*(F.avg(f"_{i}") for i in range(len(categories)))).alias("marks")), "doc_id")
+    else:
+        ids = ids.withColumn("marks", F.array().cast("array<double>"))
+    sample = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(ids), "doc_id")  # ``rows`` rows at most
+    table = sample.mapInArrow(map_slices(_training), "doc_id long, y double, marks array<double>, terms array<long>").toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")])
+    marks = np.array(table["marks"].to_pylist(), np.float64).reshape(len(table), len(categories))
+    y = np.round(np.column_stack([marks, table["y"].to_numpy()]))
+    docs_terms = [np.asarray(v.values, np.int64).view(np.uint64) for v in table["terms"]]
 
+    def view(at: np.ndarray) -> tuple[dict[int, int], np.ndarray, np.ndarray]:
+        """The terms chosen on the rows ``at``, and input and targets of all rows by them."""
+        known = choose_all([docs_terms[i] for i in np.flatnonzero(at)], y[at], most)
+        x = design([{known[t] for t in d.tolist() if t in known} for d in docs_terms], len(known))
+        return known, x, y if categories else graded(x, y[:, 0], known)
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most: int = TERMS) -> Chain:
-    ids = F.broadcast(training_ids(labels, "toxic", rows))  # ``rows`` rows at most
-    sample = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids, "doc_id")
-    table = sample.mapInArrow(map_slices(_training), "doc_id long, y double, terms array<long>").toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")])
-    y = np.round(table["y"].to_numpy())
-    docs_terms = [np.asarray(v.values, np.int64).view(np.uint64) for v in table["terms"]]
-    known = choose_terms(docs_terms, y, most)
-    sets = [{known[t] for t in d.tolist() if t in known} for d in docs_terms]
-    x = design(sets, len(known))
-    fold = np.array([xxhash.xxh3_64_intdigest(str(i)) % FOLDS for i in table["doc_id"].to_pylist()])
-    return Chain(known, CATEGORIES, fit_chain(x, graded(x, y, known), fold))
+    fold = np.array([xxhash.xxh3_64_intdigest(str(i)) % FOLDS for i in table["doc_id"].to_pylist()], np.int64)
+    known, x, targets = view(np.ones(len(fold), bool))
+    views = [view(fold != k)[1:] for k in range(FOLDS)]
+    return Chain(known, (*categories, "toxic") if categories else CATEGORIES, fit_chain(x, targets, fold, views=views))
 
 
 _last: list = [None, None]  # the model that this worker scores with, and its terms by word

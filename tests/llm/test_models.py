@@ -92,3 +92,21 @@ def test_chain_sees_out_of_fold():
     assert [len(m.w) for m in models] == [3, 4]
     p = toxicity.Chain({}, ("a", "b"), models).probabilities(x)
     assert ((p > 0.5) == y).mean() > 0.9
+
+
+def test_chain_learns_category_columns(spark):
+    rows = [(i, " ".join(["plain", "words"] + ["filthy"] * (i % 3 == 0) + ["dreadful"] * (i % 4 == 0))) for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, None if i % 7 == 1 else int(i % 3 == 0), int(i % 4 == 0)) for i in range(240)], "doc_id bigint, obscene int, toxic int")
+    chain = toxicity.train(docs, labels, categories=("obscene",))
+    assert chain.names == ("obscene", "toxic")
+    for r in toxicity.score_documents(docs, chain).collect():
+        assert (r.p_obscene > 0.5) == (r.doc_id % 3 == 0) and r.predicted == (r.doc_id % 4 == 0)
+
+
+def test_terms_are_chosen_inside_the_folds(spark, monkeypatch):
+    docs, labels = corpus(spark)
+    sizes, choose = [], toxicity.choose_terms
+    monkeypatch.setattr(toxicity, "choose_terms", lambda d, y, most: sizes.append(len(d)) or choose(d, y, most))
+    toxicity.train(docs, labels)
+    assert len(sizes) == toxicity.FOLDS + 1 and sum(sizes) == toxicity.FOLDS * max(sizes)
