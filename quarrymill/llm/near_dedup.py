@@ -133,6 +133,11 @@ def _two(docs: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, percent: int = 80, k: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row; links are pairs of sets with
     100 * intersection >= percent * union."""
+    return _components(docs, percent, k, bands, rows, block).drop("copy", "label")
+
+
+def _components(docs: DataFrame, percent: int, k: int, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
+    """The columns of ``near_duplicates``, copy, and label (the component, also where ids repeat or are null; null for an empty set)."""
     scratch = Scratch(docs.sparkSession)
     text = _two(docs)
     seed = 0
@@ -147,9 +152,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = SHINGLE, bands:
     members = scratch.put(_shared_bands(classes), "members")
     labels = _linked(text, marks, members, percent, k, block, scratch)
     least = labels.join(classes.select("node", "rep"), "node", "right").withColumn("label", F.coalesce("label", "node"))
-    least = least.groupBy("label").agg(F.min("rep").alias("component_id")).join(least.select("node", "label"), "label").select("node", "component_id")
-    out = marks.select("doc_id", "node", "n_shingles").join(least, "node", "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    least = least.groupBy("label").agg(F.min("rep").alias("component_id")).join(least.select("node", "label"), "label").select("node", "label", "component_id")
+    out = marks.select("doc_id", "copy", "node", "n_shingles").join(least, "node", "left")
+    out = out.select("doc_id", "copy", "label", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     out = scratch.put(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))), "result")
     scratch.drop("marks", "classes", "members", "families", "items")
     return out
@@ -287,11 +292,17 @@ def _linked(text: DataFrame, marks: DataFrame, members: DataFrame, percent: int,
 def keep_one(docs: DataFrame, percent: int = 80, k: int = SHINGLE) -> DataFrame:
     """One document of each group of near duplicates, in the documents' own columns.
 
-    Documents without a doc_id can't be told apart by id, so they pass unchanged. Of rows that repeat a kept doc_id one stays.
+    The kept row is the least by (doc_id, copy). Rows without a doc_id have a group of their own: one of those of a component
+    stays, besides one that has an id. Rows with empty sets link with nothing: one stays for each doc_id and text, and all of null doc_id.
     """
-    kept = near_duplicates(docs, percent, k).where("kept").select("doc_id").distinct()
-    named = docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").cast("long") == F.col("k.doc_id"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    rows = _components(docs, percent, k)
+    least = rows.where("label is not null").groupBy("label", F.col("doc_id").isNull().alias("_none")).agg(F.min(F.struct("doc_id", "copy")).alias("at"))
+    kept = least.select("at.doc_id", "at.copy").union(rows.where("label is null and doc_id is not null").select("doc_id", "copy"))
+    named = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_copy"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+    of = named["_id"].eqNullSafe(kept["doc_id"]) & (named["_copy"] == kept["copy"])
+    one = named.join(kept, of, "left_semi").dropDuplicates(["_id", "_copy"]).select("_row.*")
+    blank = ~F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return one.unionByName(docs.where(F.col("doc_id").isNull() & blank))
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

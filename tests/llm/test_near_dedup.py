@@ -70,6 +70,15 @@ def test_one_of_each_group_stays(spark):
     assert ids.count(None) == 2 and ids.count(4) == 1 and {1, 5, 6, 7, 8, 10, 12} <= set(ids) and not {2, 3, 9, 11} & set(ids)
 
 
+def test_repeated_and_null_ids_keep_a_row_of_each_component(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(1, a, "x"), (1, b, "x"), (1, b, "y"), (2, a, "x"), (3, b + " tail", "x"), (4, c, "x"), (None, d, "x"), (None, d, "y"), (None, d + " tail", "z"), (None, " ", "x"), (None, None, "x"), (5, "", "x"), (5, "", "y")]
+    out = op.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string, label string").repartition(3)).collect()
+    assert sorted((r.doc_id, r.text) for r in out if r.doc_id) == [(1, a), (1, b), (4, c), (5, "")]
+    none = [r.text for r in out if r.doc_id is None]
+    assert len(none) == 3 and len([t for t in none if t and t.strip()]) == 1
+
+
 def test_sketch_agrees_as_often_as_sets():
     r = np.random.default_rng(3)
     for n in (1, 3, 40, 800):
