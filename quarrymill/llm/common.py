@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -16,25 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 SLICE_BYTES = 2_000_000
 SLICE_ROWS = 2_000
 
-_own_root: str | None = None
+#: Spark deletes an execution's shuffle files at its end where this is set.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a temporary one only where that is unset."""
-    global _own_root
+    """The cluster's shared folder (``spark.checkpoint.dir``); where that is unset, a folder of the warehouse, which is shared as well."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if root:
-        return root.rstrip("/")
-    if _own_root is None:
-        _own_root = tempfile.mkdtemp(prefix="quarrymill-")
-    return _own_root
+    return root.rstrip("/") if root else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
 
 
 class Scratch:
     """Intermediate Parquet tables in the shared folder.
 
-    A written table cuts the lineage: a lost executor repeats at most the step after it. ``keep_only``
-    deletes the tables that the result doesn't read.
+    A written table cuts the lineage: a lost executor repeats at most the step after it. ``drop`` deletes tables that
+    the result doesn't read; those that it reads go when the driver exits.
     """
 
     def __init__(self, spark: SparkSession):
@@ -44,15 +38,17 @@ class Scratch:
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         at = f"{self.path}/{name}"
-        df.write.mode("overwrite").parquet(at)
+        before = self.spark.conf.get(_CLEAN, None)
+        self.spark.conf.set(_CLEAN, "true")  # nothing reads a write's shuffle files after it
+        try:
+            df.write.mode("overwrite").parquet(at)
+        finally:
+            self.spark.conf.set(_CLEAN, before) if before is not None else self.spark.conf.unset(_CLEAN)
         return self.spark.read.schema(df.schema).parquet(at)
 
     def drop(self, *names: str) -> None:
         for name in names:
             self._delete(f"{self.path}/{name}")
-        # Shuffle files go when the JVM collects the plans that made them.
-        gc.collect()
-        self.spark._jvm.System.gc()
 
     def _delete(self, at: str) -> None:
         try:
@@ -83,12 +79,22 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [x or b"" for x in text.cast(pa.binary() if pa.types.is_string(text.type) else pa.large_binary()).to_pylist()]
 
 
-def map_slices(make: Callable[[pa.RecordBatch], pa.RecordBatch], column: str = "text"):
-    """A function for mapInArrow that applies ``make`` to each text slice."""
+def map_slices(make: Callable[[pa.RecordBatch], pa.RecordBatch], column: str = "text", once: tuple[str, ...] = ()):
+    """A function for mapInArrow that applies ``make`` to each text slice.
+
+    once: of rows that are equal in these columns, a task hands only the first to ``make`` (a task's keys are as many
+    as its rows, whose number the partition's size bounds).
+    """
 
     def run(batches):
+        seen: set[tuple] = set()
         for part in text_slices(batches, column):
-            yield make(part)
+            if once:
+                keys = zip(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in once))
+                fresh = [not (k in seen or seen.add(k)) for k in keys]
+                part = part if all(fresh) else part.filter(pa.array(fresh))
+            if part.num_rows:
+                yield make(part)
 
     return run
 

@@ -2,67 +2,36 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrymill.llm.common import Scratch
 
 
-#: Up to so many edges (16 bytes each) one task joins them; more go through rounds of shuffles. Both are exact.
-ONE_TASK_EDGES = 500_000
-
-
-def union_find(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(nodes, least node that each reaches)."""
-    nodes, place = np.unique(np.concatenate([u, v]), return_inverse=True)
-    parent = list(range(len(nodes)))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    for a, b in zip(place[: len(u)].tolist(), place[len(u) :].tolist()):
-        a, b = root(a), root(b)
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-    return nodes, nodes[[root(x) for x in range(len(nodes))]] if len(nodes) else nodes
-
-
-def _joined(batches):
-    tables = list(batches)
-    get = lambda n: np.concatenate([t.column(t.schema.get_field_index(n)).to_numpy() for t in tables]) if tables else np.empty(0, np.int64)
-    node, label = union_find(get("u"), get("v"))
-    yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(label, pa.int64())], ["node", "label"])
-
-
-def connected_components(edges: DataFrame, scratch: Scratch, name: str = "cc", one_task: int = ONE_TASK_EDGES) -> DataFrame:
+def connected_components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
     """(node, label) for every end of an edge (u, v): label is the least node that it reaches.
 
-    A number of edges under the bound is joined in one task. Beyond it each round rewires every node to the least of its neighbours (Kiveris and others, 2014); the number of
+    Each round rewires every node to the least of its neighbours (Kiveris and others, 2014); the number of
     rounds grows with the logarithm of the longest path. Rows never exceed twice the edges. No row
-    of the graph leaves the executors: the driver sees a count and a checksum a round.
+    of the graph leaves the executors: the driver sees a count and a checksum a round. The least neighbours are written
+    tables, so that the edges of a node with very many of them can be dealt to several tasks.
     """
-    if edges.count() <= one_task:
-        return scratch.put(edges.select("u", "v").coalesce(1).mapInArrow(_joined, "node long, label long"), f"{name}_labels")
-    now = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    seen, turn = None, 0
-    while True:
+    mark = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    now = scratch.put(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), f"{name}_")
+    seen, turn = mark(now), 0
+    while seen[0]:
         both = now.union(now.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("m"))
+        low = scratch.put(low, f"{name}_low{turn}")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        # Now every row is (u, v) with v < u.
+        # Now every row is (u, v) with v < u, and few have one u.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        now = scratch.put(small, f"{name}{turn}")
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if turn:
-            scratch.drop(f"{name}{turn - 1}")
-        if mark == seen:
+        now = scratch.put(small, f"{name}_{turn}")
+        scratch.drop(f"{name}_low{turn}", f"{name}_{turn - 1 if turn else ''}")
+        if (found := mark(now)) == seen:
             break
-        seen, turn = mark, turn + 1
+        seen, turn = found, turn + 1
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return stars.union(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -8,14 +8,14 @@ sets agree in a bin with the probability of their Jaccard similarity, and the nu
 like that of independent ones, which single-hash bin placement doesn't give for small sets.
 
 Bins are read in bands of ``rows``; classes (documents of one and the same set) that share a band are candidates.
-Every link is confirmed on full sets, without pairing a band's candidates with each other. First each class goes to
-the family of its hub, the class among its bands' members that shares most with others: the original of a group of near
-copies is in more bands with its copies than they are with one another. A family's full sets meet in tasks of
-bounded size (large families in pairs of blocks), which compare bit sets and emit a spanning forest of the links, one row a member
-at most. Pairs of a band in different families and components are left, few of them: in each round a band names some centres,
-from all but its largest family, which are compared with its members and then leave the band. After the last round each
-pair of classes in a band is in one component, or has met in a family or as centre and member. So no link that a band
-shows is lost.
+Every link is confirmed on full sets, without listing a band's pairs. In a round each class goes to
+the family of one hub among its bands' members: at first the one that shares most with others (the original of a group of near
+copies is in more bands with its copies than they are with one another), in later rounds one by chance. A family is dealt into parts of
+bounded number and bytes, each part gets the hub, and a task compares the sets of a part by bit sets and emits a spanning forest of the
+links, one row a member at most. So a round sends every set once, whatever the size of the family. A band whose classes
+are in one component, or have all met, is done; a hub that has met all others of a band leaves it. What some rounds leave open (many
+classes of one band that aren't similar enough) is compared in pairs of blocks by band, so that after it every pair of
+classes that shares a band is in one component or has met, and no link that a band shows is lost.
 
 With 252 bins in 42 bands of 6, a pair of similarity s shares no band with probability (1 - s**6)**42: 3e-9 at
 0.85, 3e-6 at 0.8.
@@ -42,8 +42,11 @@ from quarrymill.llm.words import WordHashes, gram_hashes, mix, word_hashes
 SHINGLE = 5
 BANDS = 42
 ROWS = 6
-#: Classes of a family that one task compares with as many others, or with each other.
+#: Classes, and bytes of their sets, that one task compares with each other (or, in pairs of blocks, with as many others).
 BLOCK = 512
+BLOCK_BYTES = 16_000_000
+#: Rounds of families before pairs of blocks.
+ROUNDS = 2
 
 U = np.uint64
 _cache = WordHashes()
@@ -130,13 +133,13 @@ def _two(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("copy"), text.alias("text"))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, k: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, k: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row; links are pairs of sets with
     100 * intersection >= percent * union."""
-    return _components(docs, percent, k, bands, rows, block).drop("copy", "label")
+    return _components(docs, percent, k, bands, rows, block, rounds).drop("copy", "label")
 
 
-def _components(docs: DataFrame, percent: int, k: int, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
+def _components(docs: DataFrame, percent: int, k: int, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK, rounds: int = ROUNDS) -> DataFrame:
     """The columns of ``near_duplicates``, copy, and label (the component, also where ids repeat or are null; null for an empty set)."""
     scratch = Scratch(docs.sparkSession)
     text = _two(docs)
@@ -149,29 +152,49 @@ def _components(docs: DataFrame, percent: int, k: int, bands: int = BANDS, rows:
         if classes.where("clash").isEmpty():
             break
         seed += 1  # two sets had one name; others under another seed
-    members = scratch.put(_shared_bands(classes), "members")
-    labels = _linked(text, marks, members, percent, k, block, scratch)
+    members = _shared_bands(classes, scratch)
+    labels = _linked(text, marks, members, percent, k, block, rounds, scratch)
     least = labels.join(classes.select("node", "rep"), "node", "right").withColumn("label", F.coalesce("label", "node"))
-    least = least.groupBy("label").agg(F.min("rep").alias("component_id")).join(least.select("node", "label"), "label").select("node", "label", "component_id")
+    ids = scratch.put(least.groupBy("label").agg(F.min("rep").alias("component_id")), "ids")
+    least = least.select("node", "label").join(ids, "label").select("node", "label", "component_id")
     out = marks.select("doc_id", "copy", "node", "n_shingles").join(least, "node", "left")
     out = out.select("doc_id", "copy", "label", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     out = scratch.put(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))), "result")
-    scratch.drop("marks", "classes", "members", "families", "items")
+    scratch.drop("marks", "classes", "counts", "members", "items", "ids")
     return out
 
 
-def _shared_bands(classes: DataFrame) -> DataFrame:
+def _shared_bands(classes: DataFrame, scratch: Scratch) -> DataFrame:
     """(band, node, n, shared) for bands with two classes at least; shared is the number of the band's classes."""
     cells = classes.select("node", "n", F.explode("bands").alias("band"))
-    counts = cells.groupBy("band").agg(F.count(F.lit(1)).alias("shared")).where("shared > 1")
-    return cells.join(counts, "band")
+    # Written, so that the join has shuffles of its own on both sides and a common band can be dealt to several tasks.
+    counts = scratch.put(cells.groupBy("band").agg(F.count(F.lit(1)).alias("shared")).where("shared > 1"), "counts")
+    return scratch.put(cells.join(counts, "band"), "members")
 
 
-def _families(members: DataFrame) -> DataFrame:
-    """(node, family): the hub of each class, the one of its bands' classes with the largest bands in all."""
-    weighed = members.join(members.groupBy("node").agg(F.sum("shared").alias("w")), "node").select("band", "node", "w")
-    hubs = weighed.groupBy("band").agg(F.max(F.struct("w", "node")).alias("hub"))
-    return members.select("band", "node").join(hubs, "band").groupBy("node").agg(F.max("hub").alias("hub")).select("node", F.col("hub.node").alias("family"))
+def _families(open_: DataFrame, turn: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """((band, hub), (node, n, family)): the family of a class is the greatest of its bands' hubs."""
+    if turn:
+        weighed = open_.select("band", "node", F.xxhash64("node", F.lit(turn)).alias("w"))
+    else:
+        weighed = open_.select("band", "node").join(open_.groupBy("node").agg(F.sum("shared").alias("w")), "node")
+    hubs = scratch.put(weighed.groupBy("band").agg(F.max(F.struct("w", "node")).alias("hub")), f"hubs{turn}")
+    families = open_.select("band", "node", "n").join(hubs, "band").groupBy("node").agg(F.max("n").alias("n"), F.max("hub").alias("hub"))
+    return hubs.select("band", F.col("hub.node").alias("hub")), scratch.put(families.select("node", "n", F.col("hub.node").alias("family")), f"families{turn}")
+
+
+def _blocks(n: str, block: int) -> F.Column:
+    """How many blocks the rows of a group make, by number and bytes."""
+    return F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum(n) * 8 / BLOCK_BYTES)).cast("int")
+
+
+def _parts(families: DataFrame, turn: int, block: int, scratch: Scratch) -> DataFrame:
+    """(node, family, part) of every class, and of the hubs one row for each part of their family."""
+    sizes = scratch.put(families.groupBy("family").agg(_blocks("n", block).alias("parts")), f"sizes{turn}")
+    own = F.pmod(F.xxhash64("node", F.lit(turn)), F.col("parts")).cast("int").alias("part")
+    dealt = families.where("node <> family").join(sizes, "family").select("node", "family", own)
+    hubs = sizes.select(F.col("family").alias("node"), "family", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    return scratch.put(dealt.union(hubs), f"parts{turn}")
 
 
 def links_within(sets: list[np.ndarray], percent: int, split: int | None = None) -> list[tuple[int, int]]:
@@ -229,64 +252,61 @@ def _family_links(table: pa.Table, percent: int) -> pa.Table:
     sides = table["side"].to_numpy()
     split = int((sides == 0).sum()) if len(sides) and sides[-1] == 1 else None
     found = links_within(sets, percent, split) if len(sets) > 1 else []
-    return pa.table([pa.array(nodes[[i for i, _ in found]] if found else [], pa.int64()), pa.array(nodes[[j for _, j in found]] if found else [], pa.int64())], ["u", "v"])
-
-
-def _in_families(families: DataFrame, items: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links (u, v) between the classes of a family, in groups of at most two blocks."""
-    all_ = families.union(families.select(F.col("family").alias("node"), "family").distinct()).distinct()
-    sized = all_.join(all_.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")), "family")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    sent = sized.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keyed = sent.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", (F.col("own") > F.col("other")).cast("int").alias("side"))
-    return keyed.join(items, "node").groupBy("family", "i", "j").applyInArrow(lambda table: _family_links(table, percent), "u long, v long")
+    # As stars around the least node of each tree, which leaves the components fewer rounds.
+    least = {}
 
+    def root(i: int) -> int:
+        while (up := least.get(i, i)) != i:
+            i = up
+        return i
 
-def _verified(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    left = items.select(F.col("node").alias("a"), F.col("items").alias("_x"))
-    right = items.select(F.col("node").alias("b"), F.col("items").alias("_y"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("_i", F.size(F.array_intersect("_x", "_y")))
-    return both.where((F.lit(100) * F.col("_i")) >= F.lit(percent) * (F.size("_x") + F.size("_y") - F.col("_i"))).select("a", "b")
+    for i, j in found:
+        a, b = sorted((root(i), root(j)), key=lambda x: nodes[x])
+        least[b] = a
+    u = [i for i in least if i != root(i)]
+    take = lambda at: pa.array(nodes[at] if at else [], pa.int64())
+    return pa.table([take(u), take([root(i) for i in u])], ["u", "v"])
 
 
-def _linked(text: DataFrame, marks: DataFrame, members: DataFrame, percent: int, k: int, block: int, scratch: Scratch) -> DataFrame:
+def _linked(text: DataFrame, marks: DataFrame, members: DataFrame, percent: int, k: int, block: int, rounds: int, scratch: Scratch) -> DataFrame:
     """(node, label) of the classes that have links."""
     # Full sets of the candidates only, each read from one document of the class.
-    families = scratch.put(_families(members), "families")
-    at = marks.join(families, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "copy")).alias("at")).select("node", F.col("at.doc_id").alias("_doc"), F.col("at.copy").alias("_copy"))
+    at = marks.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "copy")).alias("at")).select("node", F.col("at.doc_id").alias("_doc"), F.col("at.copy").alias("_copy"))
     found = text.join(at, text["doc_id"].eqNullSafe(at["_doc"]) & (text["copy"] == at["_copy"])).select("node", "text")
-    items = scratch.put(found.mapInArrow(map_slices(partial(_sets, k=k)), "node long, items array<long>").dropDuplicates(["node"]), "items")
-    links = scratch.put(_in_families(families, items, percent, block), "links0")
-    labels = connected_components(links, scratch, "cc0")
-
-    open_ = members.select("band", "node", "n").join(families, "node")
-    tested, turn, centres = None, 0, 64
-    while True:
-        turn += 1
-        state = open_.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        differ = lambda c: F.min(c) != F.max(c)
-        mixed = state.groupBy("band").agg(differ("label").alias("_l"), differ("family").alias("_f")).where("_l and _f").select("band")
-        state = scratch.put(state.join(mixed, "band", "left_semi"), f"open{turn}")
-        if state.isEmpty():
+    items = scratch.put(found.mapInArrow(map_slices(partial(_sets, k=k), once=("node",)), "node long, items array<long>").dropDuplicates(["node"]), "items")
+    compare = lambda sent, *key: sent.join(items, "node").groupBy(*key).applyInArrow(lambda table: _family_links(table, percent), "u long, v long")
+
+    open_, links = members, None
+    for turn in range(rounds):
+        hubs, families = _families(open_, turn, scratch)
+        parts = _parts(families, turn, block, scratch)
+        new = scratch.put(compare(parts.withColumn("side", F.lit(0)), "family", "part"), f"links{turn}")
+        if links is None or not new.isEmpty():
+            links = new if links is None else links.union(new)
+            labels = connected_components(links, scratch, f"cc{turn}")
+        # A hub has a part of its own only as a member of another's family.
+        placed = families.join(parts, ["node", "family"], "left").groupBy("node").agg(F.first("family").alias("family"), F.min("part").alias("part"))
+        state = open_.select("band", "node", "n").join(placed, "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        state = scratch.put(state.join(hubs, "band"), f"state{turn}")
+        other = F.col("node") != F.col("hub")
+        part = F.when(other, F.col("part"))
+        bands = state.groupBy("band").agg(
+            F.count(F.lit(1)).alias("shared"), (F.min("label") != F.max("label")).alias("mixed"), F.min(~other | (F.col("family") == F.col("hub"))).alias("star"), F.coalesce(F.min(part) == F.max(part), F.lit(True)).alias("met")
+        )
+        # In a star the hub has met all others of its band; if they were in one part, they have met each other.
+        bands = scratch.put(bands.where("mixed and not (star and met)").select("band", "shared", "star"), f"bands{turn}")
+        open_ = scratch.put(state.select("band", "node", "n", "hub").join(bands, "band").where("not star or node <> hub").select("band", "node", "n", "shared"), f"open{turn}")
+        scratch.drop(f"hubs{turn}", f"families{turn}", f"sizes{turn}", f"parts{turn}", f"state{turn}", f"bands{turn}", *([f"open{turn - 1}"] if turn else []))
+        if open_.isEmpty():
             return labels
-        # Centres come from the smaller families of a band, which soon leave it to one family.
-        counts = state.groupBy("band", "family").agg(F.count(F.lit(1)).alias("_c"))
-        largest = counts.groupBy("band").agg(F.max(F.struct("_c", "family"))["family"].alias("_most"))
-        group = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(centres))
-        heads = state.join(largest, "band").where("family <> _most").groupBy("band", group.alias("_g")).agg(F.min(F.struct("node", "n", "family", "label")).alias("c"))
-        heads = scratch.put(heads.select("band", "c"), f"heads{turn}")
-        fits = F.lit(100) * F.least("n", "c.n") >= F.lit(percent) * F.greatest("n", "c.n")
-        pairs = state.join(heads, "band").where((F.col("label") != F.col("c.label")) & (F.col("family") != F.col("c.family")) & fits)
-        pairs = pairs.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
-        pairs = scratch.put(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, f"pairs{turn}")
-        tested = pairs if tested is None else tested.union(pairs)
-        new = scratch.put(_verified(pairs, items, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), f"links{turn}")
-        links = links.union(new)
-        labels = connected_components(links, scratch, f"cc{turn}")
-        gone = heads.select("band", F.col("c.node").alias("node"))
-        open_ = state.drop("label").join(gone, ["band", "node"], "left_anti")
-        centres *= 4
+
+    sizes = scratch.put(open_.groupBy("band").agg(_blocks("n", block).alias("blocks")), "blocks")
+    sent = open_.select("band", "node").join(sizes, "band").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sent = sent.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", (F.col("own") > F.col("other")).cast("int").alias("side"))
+    new = scratch.put(compare(sent, "band", "i", "j"), "links")
+    if links is not None and new.isEmpty():
+        return labels
+    return connected_components(new if links is None else links.union(new), scratch, "cc")
 
 
 def keep_one(docs: DataFrame, percent: int = 80, k: int = SHINGLE) -> DataFrame:

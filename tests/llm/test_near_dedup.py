@@ -62,6 +62,45 @@ def test_groups_of_copies(spark, percent, block):
     assert got(op.near_duplicates(df, percent, block=block)) == brute(rows, percent)
 
 
+def copies_of(base, n, r, changes):
+    rows = []
+    for i in range(n):
+        text = list(base)
+        for _ in range(changes):
+            text[r.randrange(len(text))] = f"e{i}x{r.randint(0, 10**6)}"
+        rows.append(" ".join(text))
+    return rows
+
+
+def test_pairs_of_blocks_decide_what_the_rounds_leave(spark):
+    """Copies too far apart to link with most others, and no round of families at all."""
+    r = random.Random(8)
+    base = [f"b{i}" for i in range(150)]
+    rows = list(enumerate([*copies_of(base, 30, r, 2), *copies_of(base, 30, r, 5)]))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert got(op.near_duplicates(df, 85, block=8, rounds=0)) == brute(rows, 85)
+    assert got(op.near_duplicates(df, 85, block=4, rounds=1)) == brute(rows, 85)
+
+
+def test_a_large_family_sends_rows_in_proportion(spark, monkeypatch):
+    """Near copies of one text: the rows sent to comparisons grow with their number, not with its square."""
+    sent = {}
+    for n in (500, 4000):
+        r = random.Random(n)
+        base = [f"b{i}" for i in range(60)]
+        df = spark.createDataFrame(list(enumerate([" ".join(base), *copies_of(base, n, r, 1)])), "doc_id bigint, text string").repartition(4)
+        made, put = {}, Scratch.put
+        with monkeypatch.context() as m:
+            m.setattr(Scratch, "put", lambda self, df, name: made.setdefault(name, put(self, df, name)))
+            m.setattr(Scratch, "drop", lambda self, *names: None)
+            out = op.near_duplicates(df, 80, block=64)
+            assert {row.component_id for row in out.collect()} == {0}
+            sent[n] = {k: v.count() for k, v in made.items() if k.startswith(("parts", "links", "open", "blocks"))}
+    rows = {n: sum(c for k, c in v.items() if k.startswith(("parts", "links"))) for n, v in sent.items()}
+    assert rows[4000] <= 12 * rows[500] and rows[4000] <= 4 * 4001, sent
+    assert "blocks" not in sent[4000], sent
+
+
 def test_one_of_each_group_stays(spark):
     docs = cases.documents(spark)
     out = op.keep_one(docs)
@@ -109,9 +148,8 @@ def test_links_within():
     assert set(across) <= {(i, j) for i, j in want if i < 15 <= j}
 
 
-@pytest.mark.parametrize("one_task", [0, 1000])
-def test_components(spark, one_task):
+def test_components(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, 101), (105, 101), (7, 7), (300, 299)]
     df = spark.createDataFrame(edges, "u bigint, v bigint")
-    out = {r.node: r.label for r in components.connected_components(df, Scratch(spark), "t", one_task).collect()}
+    out = {r.node: r.label for r in components.connected_components(df, Scratch(spark), "t").collect()}
     assert all(out[i] == 0 for i in range(21)) and out[105] == out[100] == 100 and out[300] == 299
