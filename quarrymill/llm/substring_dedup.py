@@ -94,7 +94,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER, scra
     """(doc, copy, start, n): n consecutive windows from word ``start`` that a smaller document has too."""
     scratch = scratch or Scratch(docs.sparkSession)
     keyed = _keyed(docs).where(F.col("doc").isNotNull())
-    edges = scratch.put(keyed.mapInArrow(map_slices(partial(_edges, window=window, kmer=kmer)), "kmer long, body long, doc long, copy long, start int, n int"), "edges")
+    # A row's repeats (the same in doc and copy) have the same edges; a task makes them once, and what several tasks made is gathered as sets.
+    edges = scratch.put(keyed.mapInArrow(map_slices(partial(_edges, window=window, kmer=kmer), once=("doc", "copy")), "kmer long, body long, doc long, copy long, start int, n int"), "edges")
 
     # Repeated k-mers: in two documents at least. branching: more than one edge holds it.
     # Written, as the minima below, so that the join reads both sides by shuffles of its own and a common k-mer can be split.
@@ -103,7 +104,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER, scra
     own = Window.partitionBy("doc", "copy").orderBy("start")
     key = F.struct("kmer", "body")
     end = F.col("start") + F.col("n")
-    occurrences = edges.join(shared, "kmer").withColumns({
+    occurrences = edges.join(shared, "kmer").distinct().withColumns({
         "before": F.when(F.lag(end).over(own) == F.col("start"), F.lag(key).over(own)),
         "after": F.when(F.lead("start").over(own) == end, F.lead(key).over(own)),
     })
@@ -122,15 +123,16 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER, scra
 
     # Where the graph branches, an edge's first document may still share windows with another edge.
     wanted = known.where("branching and doc = first").groupBy("doc", "copy").agg(F.collect_list(F.struct("kmer", "start", "n")).alias("wanted"))
+    wanted = scratch.put(wanted, "wanted")
     windows = keyed.join(wanted, ["doc", "copy"]).select("doc", "copy", "text", "wanted")
-    windows = scratch.put(windows.mapInArrow(map_slices(partial(_windows, window=window)), "kmer long, body long, doc long, copy long, start int"), "windows")
+    windows = scratch.put(windows.mapInArrow(map_slices(partial(_windows, window=window), once=("doc", "copy")), "kmer long, body long, doc long, copy long, start int"), "windows")
     least = windows.groupBy("kmer", "body").agg(F.min("doc").alias("_lo"), F.max("doc").alias("_hi")).where("_lo < _hi").drop("_hi")
     least = scratch.put(least, "least")
     single = windows.join(least, ["kmer", "body"]).where("doc > _lo").select("doc", "copy", "start", F.lit(1).alias("n"))
     # Runs of single windows become one span each.
     single = single.distinct().withColumn("_run", F.col("start") - F.row_number().over(own)).groupBy("doc", "copy", "_run").agg(F.min("start").alias("start"), F.sum("n").cast("int").alias("n")).drop("_run")
     spans = scratch.put(whole.unionByName(single), "spans")
-    scratch.drop("occurrences", "kinds", "windows", "least")
+    scratch.drop("occurrences", "kinds", "wanted", "windows", "least")
     return spans
 
 
@@ -181,8 +183,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
     """
     spans = repeated_spans(docs, window, kmer)
     gathered, _ = _with_spans(docs, spans)
-    hit = _keyed(docs).join(gathered, ["doc", "copy"]).dropDuplicates(["doc", "copy"]).select("doc", "copy", "text", "spans")
-    kept = hit.mapInArrow(map_slices(partial(_kept_text, window=window)), "_doc long, _copy long, _kept string")
+    hit = _keyed(docs).join(gathered, ["doc", "copy"]).select("doc", "copy", "text", "spans")
+    kept = hit.mapInArrow(map_slices(partial(_kept_text, window=window), once=("doc", "copy")), "_doc long, _copy long, _kept string").dropDuplicates(["_doc", "_copy"])
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     d = docs.alias("d")
     joined = d.join(kept.alias("k"), (F.col("d.doc_id").cast("long") == F.col("k._doc")) & (F.xxhash64(F.coalesce(F.col("d.text").cast("string"), F.lit(""))) == F.col("k._copy")), "left")

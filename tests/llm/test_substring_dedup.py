@@ -4,6 +4,7 @@ import random
 import cases
 import pytest
 from quarrymill.llm import substring_dedup as op
+from quarrymill.llm.common import Scratch
 
 
 def brute(rows, window=50):
@@ -57,3 +58,22 @@ def test_texts_keep_their_columns(spark):
     ids = {t[0] for t in texts}
     assert 2 not in ids and {1, 3, 4, 5, 6, 8, 10, None} <= ids  # 2 has nothing left; the empty ones stay
     assert (11, "tail", 4) in texts and out.where("doc_id = 4").count() == 3
+
+
+def test_repeats_of_a_row_add_no_windows(spark, monkeypatch):
+    r = random.Random(4)
+    shared = [f"s{i}" for i in range(80)]
+    texts = [" ".join([f"a{r.random()}" for _ in range(30)] + shared + [f"b{r.random()}" for _ in range(30)]) for _ in range(2)]
+    sizes = {}
+    for copies in (1, 250):
+        made, put = {}, Scratch.put
+        with monkeypatch.context() as m:
+            m.setattr(Scratch, "put", lambda self, df, name: made.setdefault(name, put(self, df, name)))
+            m.setattr(Scratch, "drop", lambda self, *names: None)
+            rows = [(i, texts[i]) for i in range(2) for _ in range(copies)]
+            out = op.removed_words(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4))
+            assert got(out) == brute(rows)
+            sizes[copies] = {k: v.count() for k, v in made.items()}
+    once, often = sizes[1], sizes[250]
+    assert often["occurrences"] == once["occurrences"] and often["wanted"] == once["wanted"] and often["spans"] == once["spans"]
+    assert often["windows"] <= 4 * once["windows"] and often["edges"] <= 4 * once["edges"]  # once a task
