@@ -87,17 +87,54 @@ def crc16(data: bytes) -> int:
     return c
 
 
-def protected_part(frame: bytes, layer: int, one: bool, mono: bool, extension: int) -> bytes | None:
-    """What a frame's checksum covers; None for Layer II, whose allocation tables aren't read here."""
+# Fixed values of ISO 11172-3 (tables B.2a to B.2d) and 13818-3: the bits of Layer II's allocation by subband, as (subbands, bits).
+ALLOCATION = {
+    "a": ((11, 4), (12, 3), (4, 2)),
+    "b": ((11, 4), (12, 3), (7, 2)),
+    "c": ((2, 4), (6, 3)),
+    "d": ((2, 4), (10, 3)),
+    "low": ((4, 4), (7, 3), (19, 2)),
+}
+
+
+def _allocation_bits(frame: bytes, one: bool, mono: bool) -> list[int]:
+    """The width of each subband's allocation in a Layer II frame."""
+    if not one:
+        table = "low"
+    else:
+        hz, each = SAMPLE_RATES[3][frame[2] >> 2 & 3], BITRATES[True, 2][frame[2] >> 4] // (1 if mono else 2)
+        table = ("d" if hz == 32000 else "c") if each < 56 else "a" if hz == 48000 or each <= 80 else "b"
+    return [bits for n, bits in ALLOCATION[table] for _ in range(n)]
+
+
+def protected_part(frame: bytes, layer: int, one: bool, mono: bool, extension: int) -> tuple[bytes, str]:
+    """What a frame's checksum covers: whole bytes, and the bits after them."""
+    joint = frame[3] >> 6 == 1
     if layer == 3:
         side = (17 if mono else 32) if one else (9 if mono else 17)
-        return frame[2:4] + frame[6 : 6 + side]
+        return frame[2:4] + frame[6 : 6 + side], ""
     if layer == 1:
-        joint = frame[3] >> 6 == 1
         bound = 4 * (extension + 1) if joint else 32
         nibbles = 32 if mono else 2 * bound + (32 - bound)
-        return frame[2:4] + frame[6 : 6 + nibbles // 2]
-    return None
+        return frame[2:4] + frame[6 : 6 + nibbles // 2], ""
+    # Layer II: the allocation, and two bits of scale factor choice for each channel of a subband that has one.
+    widths = _allocation_bits(frame, one, mono)
+    bound = min(4 * (extension + 1), len(widths)) if joint else len(widths)
+    bits, at, chosen = "".join(f"{b:08b}" for b in frame[6:70]), 0, 0
+    for sb, width in enumerate(widths):
+        for _ in range(1 if mono or sb >= bound else 2):
+            used = "1" in bits[at : at + width]
+            chosen += used * (2 if not mono and sb >= bound else 1)
+            at += width
+    at += 2 * chosen
+    return frame[2:4] + frame[6 : 6 + at // 8], bits[at - at % 8 : at]
+
+
+def checksum(part: tuple[bytes, str]) -> int:
+    c = crc16(part[0])
+    for bit in part[1]:
+        c = (c << 1 ^ 0x8005 if (c >> 15) ^ (bit == "1") else c << 1) & 0xFFFF
+    return c
 
 
 @dataclass
@@ -194,9 +231,9 @@ def parse(data: bytes | None) -> Audio:
         if h and (key := (h[2], h[3], h[4])) and h[0] >= 8 and at + h[0] <= n and (stream == key or stream is None and _followed(data, at + h[0], key)):
             size, samples, rate, layer, one, protected, mono, extension = h
             frame = data[at : at + size]
-            if protected and (part := protected_part(frame, layer, one, mono, extension)) is not None:
+            if protected:
                 out.checked += 1
-                out.broken += crc16(part) != frame[4] << 8 | frame[5]
+                out.broken += checksum(protected_part(frame, layer, one, mono, extension)) != frame[4] << 8 | frame[5]
             found = _vbr_table(frame, layer, one, protected, mono) if stream is None else None
             stream = key
             if found:
@@ -349,9 +386,9 @@ def _digest(batch: pa.RecordBatch) -> pa.RecordBatch:
     for data in texts_of(batch, "media"):
         audio = parse(data)
         payload = decode(data, audio)
-        rows.append((int(audio.tags["TXXX:length"]), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(data), hashlib.sha256(data).hexdigest(), features(audio)))
-    names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+        rows.append((int(audio.tags["TXXX:length"]), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(data), hashlib.sha256(data).hexdigest(), features(audio), audio.micros, audio.offsets))
+    names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "duration_micros", "seek_offsets"]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64())]
     return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(zip(*rows), kinds))], ["doc_id", *names])
 
 
@@ -360,6 +397,9 @@ def stored_documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(map_slices(_encoded), "doc_id long, media binary")
 
 
+DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, duration_micros long, seek_offsets array<long>"
+
+
 def op2_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = stored_documents(read(spark, sf_dir, "documents"))
-    return stored.mapInArrow(map_slices(_digest, "media"), "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    """What is read back from the stored media, with each stream's exact duration and the byte offset of every frame."""
+    return stored_documents(read(spark, sf_dir, "documents")).mapInArrow(map_slices(_digest, "media"), DIGEST)
