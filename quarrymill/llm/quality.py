@@ -5,11 +5,12 @@ shapes, repetition; then a learned tanh layer), a gated attention network weighs
 labels alone, and the weighted mean of the passages' codes gets the score (Ilse, Tomczak, Welling: Attention-based deep
 multiple instance learning). Only the text enters a score.
 
-The model is fitted on the driver on at most ``train_rows`` labelled documents, chosen by a hash of their ids, with at
-most ``train_passages`` passages each, evenly spaced; scoring reads every passage of every document.
+The model is fitted on the driver on a bounded sample: at most ``rows`` labelled documents, chosen by a hash of their ids, of which those
+are taken in turn whose passages, all of them, still fit in ``most`` passages together. Scoring reads every passage of every document.
 
 Defined results: null text is empty text, one passage without words, and has a score; equal texts have equal scores;
-labels that are null are ignored, and repeated labels of one document are averaged; without labels, or with one class
+labels that are null are ignored, and repeated labels of one document are averaged; of different texts under one labelled id the one of least hash is
+learned from; without labels, or with one class
 only, every score is the mean label (0.5 without any); null doc_id is not held out; empty tables give no rows;
 other columns are ignored, whatever their names.
 """
@@ -24,13 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import map_slices, read, text_slices, texts_of
+from quarrymill.llm.common import Scratch, map_slices, read, text_slices, texts_of
 from quarrymill.llm.words import WordHashes, mix, word_hashes
 
 PASSAGE = 100
 THRESHOLD = 0.7
+#: Bounds of the sample that the model is fitted on: documents, and their passages together (76 bytes each).
 TRAIN_ROWS = 3_000
-TRAIN_PASSAGES = 64
+TRAIN_PASSAGES = 200_000
 HIDDEN, GATE, EPOCHS = 16, 8, 200
 
 _cache = WordHashes()
@@ -158,21 +160,45 @@ def training_ids(labels: DataFrame, target: str, rows: int) -> DataFrame:
     return own.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(rows)
 
 
-def _training(batch: pa.RecordBatch, most: int) -> pa.RecordBatch:
+def labelled_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The columns of ``ids`` (a bounded table with one row for a doc_id) and the text of each id; one row for each, however often it repeats."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    rows = docs.select(F.col("doc_id").cast("long"), text).join(F.broadcast(ids.select("doc_id")), "doc_id")
+    one = rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("_t")).select("doc_id", F.col("_t.text").alias("text"))
+    return one.join(F.broadcast(ids), "doc_id")
+
+
+def within(sample: DataFrame, most: int) -> DataFrame:
+    """The rows of a written sample (doc_id, size, ...) that are taken in order of their ids' hashes while the sum of their sizes is at most ``most``.
+
+    The driver gets a number for each row of the sample, whose rows are bounded.
+    """
+    sizes = sample.select("doc_id", "size", F.md5(F.col("doc_id").cast("string")).alias("h")).collect()
+    taken, left = [], most
+    for r in sorted(sizes, key=lambda r: (r["h"], r["doc_id"])):
+        if r["size"] <= left:
+            taken.append((r["doc_id"],))
+            left -= r["size"]
+    if len(taken) == len(sizes):
+        return sample
+    return sample.join(F.broadcast(sample.sparkSession.createDataFrame(taken, "doc_id long")), "doc_id", "left_semi")
+
+
+def _training(batch: pa.RecordBatch) -> pa.RecordBatch:
     x, first = passages(texts_of(batch))
-    rows = []
-    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-        at = np.arange(a, b) if b - a <= most else a + np.arange(most) * (b - a) // most
-        rows.append(x[at].ravel())
+    rows = [x[a:b].ravel() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
     get = lambda n: batch.column(batch.schema.get_field_index(n))
-    return pa.RecordBatch.from_arrays([get("doc_id"), get("y"), pa.array(rows, pa.list_(pa.float32()))], ["doc_id", "y", "x"])
+    return pa.RecordBatch.from_arrays([get("doc_id"), get("y"), pa.array(np.diff(first), pa.int64()), pa.array(rows, pa.list_(pa.float32()))], ["doc_id", "y", "size", "x"])
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most: int = TRAIN_PASSAGES) -> Model:
-    ids = F.broadcast(training_ids(labels, "quality", rows))  # ``rows`` rows at most
-    sample = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids, "doc_id").mapInArrow(map_slices(partial(_training, most=most)), "doc_id long, y double, x array<float>")
-    table = sample.toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")])
-    bags = [np.asarray(v, np.float32).reshape(-1, FEATURES) for v in table["x"].to_pylist()]
+    scratch = Scratch(docs.sparkSession)
+    ids = scratch.put(training_ids(labels, "quality", rows), "ids")
+    sample = labelled_texts(docs, ids).select("doc_id", "y", "text")
+    sample = scratch.put(sample.mapInArrow(map_slices(_training), "doc_id long, y double, size long, x array<float>"), "sample")
+    table = within(sample, most).toArrow().sort_by([("doc_id", "ascending")])
+    scratch.drop("ids", "sample")
+    bags = [np.asarray(v.values, np.float32).reshape(-1, FEATURES) for v in table["x"]]
     first = np.cumsum([0, *map(len, bags)])
     return fit(np.concatenate(bags) if bags else np.empty((0, FEATURES)), first, table["y"].to_numpy())
 

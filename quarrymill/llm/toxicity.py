@@ -8,21 +8,22 @@ Terms are words in lower case without marks around them, and their first four an
 inflected and coined words share. The terms that tell labelled classes apart are chosen on the training sample; whatever the
 corpus, a document then is a set of at most ``terms`` known terms, read from its whole text.
 
-Labels may have the categories as columns beside ``toxic``, which comes last; a row whose category is null isn't learned from in that
-category. Where they have one label only (``toxic``), ``graded`` derives the earlier
-categories from it and from the terms of the input: ``lexical`` (toxic with a telling whole word), ``stem`` (toxic with a telling stem) and ``dense``
-(toxic with several telling terms).
+Categories come from labels only. Labels may have them as columns beside ``toxic``, which comes last; a row whose category is null isn't learned
+from in that category. Where labels have no such columns but a mark of quality, the categories are two kinds of toxic
+documents by that annotation: ``junk`` (toxic, in a document marked as low) and ``prose`` (toxic, in a good one); with ``toxic`` alone
+the chain has that one category. No category is made from the terms that the models read.
 
-The model is fitted on the driver on at most ``train_rows`` labelled documents outside the test fold.
+The model is fitted on the driver on a bounded sample: at most ``rows`` labelled documents outside the test fold, of which those are taken in turn
+whose distinct terms still fit in ``terms_in_all`` together. The terms of the out-of-fold models are chosen without the fold.
 
 Defined results: null and empty texts have no terms and get the scores of such; equal texts have equal scores; null labels are
-ignored, repeated ones averaged; a category of one class only has its mean as probability (0 without labels);
+ignored, repeated ones averaged; of different texts under one labelled id the one of least hash is learned from; a category of one class only has its mean as probability (0 without labels);
 empty tables give no rows; null doc_id stays null; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import partial
 
 import numpy as np
@@ -31,14 +32,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import map_slices, read, texts_of
-from quarrymill.llm.quality import held_out, training_ids
+from quarrymill.llm.common import Scratch, map_slices, read, texts_of
+from quarrymill.llm.quality import held_out, labelled_texts, training_ids, within
 
+#: Bounds of the sample that the models are fitted on: documents, and their distinct terms together (8 bytes each).
 TRAIN_ROWS = 4_000
+TRAIN_TERMS = 4_000_000
 TERMS = 1_024
 FOLDS = 4
 THRESHOLD = 0.5
-CATEGORIES = ("lexical", "stem", "dense", "toxic")
+CATEGORIES = ("junk", "prose", "toxic")
 _MARKS = b".,;:!?\"'()[]{}<>*_-/\\|#%&$+="
 
 
@@ -103,6 +106,8 @@ class Chain:
     known: dict[int, int] = field(default_factory=dict)
     names: tuple[str, ...] = CATEGORIES
     models: list[Linear] = field(default_factory=list)
+    #: Out-of-fold probabilities of the last category and its labels, of the rows that were learned from.
+    apart: tuple[np.ndarray, np.ndarray] | None = None
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         out = np.empty((len(x), 0))
@@ -111,22 +116,20 @@ class Chain:
         return out
 
 
-def fit_chain(x: np.ndarray, y: np.ndarray, fold: np.ndarray, folds: int = FOLDS, views: list[tuple[np.ndarray, np.ndarray]] | None = None) -> list[Linear]:
-    """One model a column of y (nan: no label); what it gets of the columns before it is out of fold.
+def fit_chain(x: np.ndarray, y: np.ndarray, fold: np.ndarray, folds: int = FOLDS, views: list[np.ndarray] | None = None) -> tuple[list[Linear], np.ndarray]:
+    """One model a column of y (nan: no label), and the out-of-fold probabilities of all columns; each model gets those of the columns before its own.
 
-    views: for each fold, x and y by terms that were chosen without it.
+    views: for each fold, x by terms that were chosen without it.
     """
-    before, models = np.empty((len(x), 0)), []
+    apart, models = np.empty((len(x), 0)), []
     for c in range(y.shape[1]):
-        apart = np.empty(len(x))
+        has, own = ~np.isnan(y[:, c]), np.empty(len(x))
         for k in range(folds):
-            xk, yk = views[k] if views else (x, y)
-            z, has = np.column_stack([xk, before]), (fold != k) & ~np.isnan(yk[:, c])
-            apart[fold == k] = fit_linear(z[has], yk[has, c]).predict(z[fold == k])
-        has = ~np.isnan(y[:, c])
-        models.append(fit_linear(np.column_stack([x, before])[has], y[has, c]))
-        before = np.column_stack([before, apart])
-    return models
+            z, train = np.column_stack([views[k] if views else x, apart]), (fold != k) & has
+            own[fold == k] = fit_linear(z[train], y[train, c]).predict(z[fold == k])
+        models.append(fit_linear(np.column_stack([x, apart])[has], y[has, c]))
+        apart = np.column_stack([apart, own])
+    return models, apart
 
 
 def choose_terms(docs: list[np.ndarray], y: np.ndarray, most: int = TERMS) -> dict[int, int]:
@@ -147,11 +150,13 @@ def choose_terms(docs: list[np.ndarray], y: np.ndarray, most: int = TERMS) -> di
 
 
 def choose_all(docs: list[np.ndarray], y: np.ndarray, most: int = TERMS) -> dict[int, int]:
-    """The terms that tell the classes of some column of y apart, an equal share for each column."""
+    """The terms that tell the classes of some column of y apart: half of them for the last one, an equal share for each other."""
     names: set[int] = set()
-    for of in y.T:
+    others = y.shape[1] - 1
+    for c, of in enumerate(y.T):
         has = np.flatnonzero(~np.isnan(of))
-        names |= choose_terms([docs[i] for i in has], of[has], most // y.shape[1]).keys()
+        share = most if not others else most // 2 if c == others else most // 2 // others
+        names |= choose_terms([docs[i] for i in has], of[has], share).keys()
     return {t: i for i, t in enumerate(sorted(names))}
 
 
@@ -163,49 +168,50 @@ def design(term_sets: list[set[int]], size: int) -> np.ndarray:
     return x
 
 
-def graded(x: np.ndarray, y: np.ndarray, known: dict[int, int]) -> np.ndarray:
-    """Columns lexical, stem, dense, toxic from the one label."""
-    stem = np.array([bool(t & 1) for t in known], bool)
-    own = x[:, : len(known)] > 0
-    parts = [own[:, ~stem].any(1), own[:, stem].any(1), own.sum(1) >= 3] if len(known) else [np.zeros(len(y), bool)] * 3
-    return np.column_stack([*(y * p for p in parts), y])
-
-
 def _training(batch: pa.RecordBatch) -> pa.RecordBatch:
     sets = []
     for t in texts_of(batch):
         own = t.lower().split()
         sets.append(np.array(sorted({x for w in set(own) for x in terms_of(w)}), np.uint64).view(np.int64))
     get = lambda n: batch.column(batch.schema.get_field_index(n))
-    return pa.RecordBatch.from_arrays([get("doc_id"), get("y"), get("marks"), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "y", "marks", "terms"])
+    return pa.RecordBatch.from_arrays([get("doc_id"), get("y"), get("marks"), pa.array([len(v) for v in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "y", "marks", "size", "terms"])
+
+
+def category_columns(labels: DataFrame, categories: tuple[str, ...] | None = None) -> dict[str, F.Column]:
+    """The categories before ``toxic``, each as a column over labels."""
+    number = lambda c: F.col(f"`{c}`").cast("double")
+    own = CATEGORIES[:-1] if categories is None and set(CATEGORIES[:-1]) <= set(labels.columns) else categories
+    if own is not None:
+        return {c: number(c) for c in own}
+    if "quality" not in labels.columns:
+        return {}
+    return {"junk": number("toxic") * (1 - number("quality")), "prose": number("toxic") * number("quality")}
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most: int = TERMS, categories: tuple[str, ...] | None = None) -> Chain:
-    """categories: the columns of labels that come before ``toxic``; those of CATEGORIES where labels have them all."""
-    if categories is None:
-        categories = CATEGORIES[:-1] if set(CATEGORIES) <= set(labels.columns) else ()
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most: int = TERMS, categories: tuple[str, ...] | None = None, terms_in_all: int = TRAIN_TERMS) -> Chain:
+    """categories: the columns of labels that come before ``toxic``; by default those of ``category_columns``."""
+    found = category_columns(labels, categories)
     ids = training_ids(labels, "toxic", rows)
-    if categories:
-        own = labels.select(F.col("doc_id").cast("long"), *(F.col(f"`{c}`").cast("double").alias(f"_{i}") for i, c in enumerate(categories)))
-        ids = ids.join(own.groupBy("doc_id").agg(F.array(*(F.avg(f"_{i}") for i in range(len(categories)))).alias("marks")), "doc_id")
-    else:
-        ids = ids.withColumn("marks", F.array().cast("array<double>"))
-    sample = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(ids), "doc_id")  # ``rows`` rows at most
-    table = sample.mapInArrow(map_slices(_training), "doc_id long, y double, marks array<double>, terms array<long>").toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")])
-    marks = np.array(table["marks"].to_pylist(), np.float64).reshape(len(table), len(categories))
-    y = np.round(np.column_stack([marks, table["y"].to_numpy()]))
+    own = labels.select(F.col("doc_id").cast("long"), *(c.alias(f"_{i}") for i, c in enumerate(found.values())))
+    marks = own.groupBy("doc_id").agg(F.array(*(F.avg(f"_{i}") for i in range(len(found)))).cast("array<double>").alias("marks"))
+    scratch = Scratch(docs.sparkSession)
+    ids = scratch.put(ids.join(marks, "doc_id"), "ids")
+    sample = labelled_texts(docs, ids).select("doc_id", "y", "marks", "text")
+    sample = scratch.put(sample.mapInArrow(map_slices(_training), "doc_id long, y double, marks array<double>, size long, terms array<long>"), "sample")
+    table = within(sample, terms_in_all).toArrow().sort_by([("doc_id", "ascending")])
+    scratch.drop("ids", "sample")
+    y = np.round(np.column_stack([np.array(table["marks"].to_pylist(), np.float64).reshape(len(table), len(found)), table["y"].to_numpy()]))
     docs_terms = [np.asarray(v.values, np.int64).view(np.uint64) for v in table["terms"]]
 
-    def view(at: np.ndarray) -> tuple[dict[int, int], np.ndarray, np.ndarray]:
-        """The terms chosen on the rows ``at``, and input and targets of all rows by them."""
+    def view(at: np.ndarray) -> tuple[dict[int, int], np.ndarray]:
+        """The terms chosen on the rows ``at``, and all rows by them."""
         known = choose_all([docs_terms[i] for i in np.flatnonzero(at)], y[at], most)
-        x = design([{known[t] for t in d.tolist() if t in known} for d in docs_terms], len(known))
-        return known, x, y if categories else graded(x, y[:, 0], known)
+        return known, design([{known[t] for t in d.tolist() if t in known} for d in docs_terms], len(known))
 
     fold = np.array([xxhash.xxh3_64_intdigest(str(i)) % FOLDS for i in table["doc_id"].to_pylist()], np.int64)
-    known, x, targets = view(np.ones(len(fold), bool))
-    views = [view(fold != k)[1:] for k in range(FOLDS)]
-    return Chain(known, (*categories, "toxic") if categories else CATEGORIES, fit_chain(x, targets, fold, views=views))
+    known, x = view(np.ones(len(fold), bool))
+    models, apart = fit_chain(x, y, fold, views=[view(fold != k)[1] for k in range(FOLDS)])
+    return Chain(known, (*found, "toxic"), models, (apart[:, -1], y[:, -1]))
 
 
 _last: list = [None, None]  # the model that this worker scores with, and its terms by word
@@ -224,7 +230,7 @@ def _scored(batch: pa.RecordBatch, chain) -> pa.RecordBatch:
 
 def score_documents(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, a probability for each category, score (the last one) and predicted."""
-    shared = docs.sparkSession.sparkContext.broadcast(chain)  # ``terms`` weights a category at most
+    shared = docs.sparkSession.sparkContext.broadcast(replace(chain, apart=None))  # ``terms`` weights a category at most
     schema = ", ".join(["doc_id long", *(f"p_{n} double" for n in chain.names)])
     scored = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(map_slices(partial(_scored, chain=shared)), schema)
     score = F.col(f"p_{chain.names[-1]}")

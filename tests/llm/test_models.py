@@ -84,16 +84,92 @@ def test_toxicity_held_out(spark):
     assert {r.score for r in toxicity.score_documents(docs, none).collect()} == {0.0}
 
 
+def auc(score, y):
+    order = np.argsort(score, kind="stable")
+    rank = np.empty(len(y))
+    rank[order] = np.arange(1, len(y) + 1)
+    for v in np.unique(score):  # ties share their rank
+        rank[score == v] = rank[score == v].mean()
+    n = y.sum()
+    return (rank[y > 0].sum() - n * (n + 1) / 2) / (n * (len(y) - n))
+
+
 def test_chain_sees_out_of_fold():
     r = np.random.default_rng(1)
     x = r.normal(size=(200, 3)).astype(np.float32)
     y = np.column_stack([x[:, 0] > 0, (x[:, 0] > 0) & (x[:, 1] > 0)]).astype(float)
-    models = toxicity.fit_chain(x, y, np.arange(200) % 4)
-    assert [len(m.w) for m in models] == [3, 4]
+    models, apart = toxicity.fit_chain(x, y, np.arange(200) % 4)
+    assert [len(m.w) for m in models] == [3, 4] and apart.shape == (200, 2)
     p = toxicity.Chain({}, ("a", "b"), models).probabilities(x)
     assert ((p > 0.5) == y).mean() > 0.9
 
 
+def test_shuffled_labels_teach_nothing(spark):
+    """Terms, categories and earlier probabilities are out of fold: labels dealt by chance can't be told."""
+    docs, labels = corpus(spark)
+    rows = [r for r in labels.collect() if r.doc_id is not None and r.toxic is not None]
+    real, found = toxicity.train(docs, labels).apart, []
+    for seed in range(3):
+        marks = [(r.quality, r.toxic) for r in rows]
+        random.Random(seed).shuffle(marks)
+        dealt = spark.createDataFrame([(r.doc_id, q, t) for r, (q, t) in zip(rows, marks)], "doc_id bigint, quality int, toxic int")
+        found.append(auc(*toxicity.train(docs, dealt).apart))
+    assert auc(*real) > 0.97 and abs(np.mean(found) - 0.5) < 0.1, found
+
+
+def test_a_labelled_id_that_repeats_is_one_row(spark):
+    docs, labels = corpus(spark)
+    more = docs.union(spark.range(2000).selectExpr("8L", "'some other text ' || id % 3", "'en'", "'s'", "1L")).repartition(4)
+    ids = quality.training_ids(labels, "quality", 100)
+    assert quality.labelled_texts(more, ids).count() == ids.count()
+    a, b = (quality.labelled_texts(more.repartition(n), ids).where("doc_id = 8").collect() for n in (2, 5))
+    assert a == b
+    kept = quality.within(spark.createDataFrame([(1, 5), (2, 3), (3, 9)], "doc_id bigint, size bigint"), 8).collect()
+    assert sum(r["size"] for r in kept) <= 8 and kept
+    assert len(toxicity.train(docs, labels, terms_in_all=600).apart[0]) < len(toxicity.train(docs, labels).apart[0])
+
+
+def plain_score(m, text):
+    """A document's score by a loop over its passages, from their features."""
+    code, raw = [], []
+    for x in quality.passages([text])[0]:
+        z = np.tanh(((x - m.mean) / m.scale) @ m.weights["E"] + m.weights["e"])
+        gate = 1 / (1 + np.exp(-(z @ m.weights["U"])))
+        code.append(z), raw.append(float((np.tanh(z @ m.weights["V"]) * gate) @ m.weights["a"]))
+    share = np.exp(np.array(raw) - max(raw))
+    bag = sum(s * z for s, z in zip(share / share.sum(), code))
+    return 1 / (1 + np.exp(-(bag @ m.weights["c"] + m.weights["b"][0])))
+
+
+def test_query_scores_equal_plain_loops(spark):
+    """op3: the attention one text and one passage at a time."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = quality.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    out = quality.op3_attention_mil_quality(spark, sf).collect()
+    assert sorted(r.doc_id for r in out) == sorted(texts) and max(len(t.split()) for t in texts.values()) > 5 * quality.PASSAGE
+    for r in out:
+        assert abs(plain_score(model, texts[r.doc_id]) - r.score) < 1e-6 and r.predicted == (r.score >= 0.7)
+
+
+def test_query_probabilities_equal_plain_loops(spark):
+    """op6: the chain by a loop over each text's terms."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    chain = toxicity.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    assert chain.names == ("junk", "prose", "toxic")
+    out = {r.doc_id: r for r in toxicity.op6_toxicity_chain(spark, sf).collect()}
+    for d in docs.collect():
+        terms = {t for w in (d.text or "").encode().lower().split() for t in toxicity.terms_of(w)}
+        p = []
+        for m in chain.models:
+            z = m.b + sum(m.w[i] for t, i in chain.known.items() if t in terms) + sum(m.w[len(chain.known) + j] * q for j, q in enumerate(p))
+            p.append(m.constant if m.constant is not None else 1 / (1 + np.exp(-z)))
+        r = out[d.doc_id]
+        assert np.allclose([r.p_junk, r.p_prose, r.p_toxic], p, atol=1e-6) and r.predicted == (r.score >= 0.5)
+
+
 def test_chain_learns_category_columns(spark):
     rows = [(i, " ".join(["plain", "words"] + ["filthy"] * (i % 3 == 0) + ["dreadful"] * (i % 4 == 0))) for i in range(240)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
@@ -109,4 +185,5 @@ def test_terms_are_chosen_inside_the_folds(spark, monkeypatch):
     sizes, choose = [], toxicity.choose_terms
     monkeypatch.setattr(toxicity, "choose_terms", lambda d, y, most: sizes.append(len(d)) or choose(d, y, most))
     toxicity.train(docs, labels)
-    assert len(sizes) == toxicity.FOLDS + 1 and sum(sizes) == toxicity.FOLDS * max(sizes)
+    n = len(toxicity.CATEGORIES)
+    assert len(sizes) == n * (toxicity.FOLDS + 1) and sum(sizes) == n * toxicity.FOLDS * max(sizes)
