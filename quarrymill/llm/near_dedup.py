@@ -148,12 +148,12 @@ def _components(docs: DataFrame, percent: int, k: int, bands: int = BANDS, rows:
         schema = "doc_id long, copy long, node long, chk long, n_shingles long, bands array<long>"
         marks = scratch.put(text.mapInArrow(map_slices(partial(_sketches, k=k, bands=bands, rows=rows, seed=seed)), schema), "marks")
         # One row a class; all rows of a class have the same bands.
-        classes = scratch.put(marks.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), (F.min("chk") != F.max("chk")).alias("clash"), F.first("bands").alias("bands")), "classes")
+        classes = scratch.put(marks.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), (F.min("chk") != F.max("chk")).alias("clash"), F.first("bands").alias("bands"), F.min(F.struct("doc_id", "copy")).alias("at")), "classes")
         if classes.where("clash").isEmpty():
             break
         seed += 1  # two sets had one name; others under another seed
     members = _shared_bands(classes, scratch)
-    labels = _linked(text, marks, members, percent, k, block, rounds, scratch)
+    labels = _linked(text, classes, members, percent, k, block, rounds, scratch)
     least = labels.join(classes.select("node", "rep"), "node", "right").withColumn("label", F.coalesce("label", "node"))
     ids = scratch.put(least.groupBy("label").agg(F.min("rep").alias("component_id")), "ids")
     least = least.select("node", "label").join(ids, "label").select("node", "label", "component_id")
@@ -268,10 +268,10 @@ def _family_links(table: pa.Table, percent: int) -> pa.Table:
     return pa.table([take(u), take([root(i) for i in u])], ["u", "v"])
 
 
-def _linked(text: DataFrame, marks: DataFrame, members: DataFrame, percent: int, k: int, block: int, rounds: int, scratch: Scratch) -> DataFrame:
+def _linked(text: DataFrame, classes: DataFrame, members: DataFrame, percent: int, k: int, block: int, rounds: int, scratch: Scratch) -> DataFrame:
     """(node, label) of the classes that have links."""
     # Full sets of the candidates only, each read from one document of the class.
-    at = marks.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "copy")).alias("at")).select("node", F.col("at.doc_id").alias("_doc"), F.col("at.copy").alias("_copy"))
+    at = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("at.doc_id").alias("_doc"), F.col("at.copy").alias("_copy"))
     found = text.join(at, text["doc_id"].eqNullSafe(at["_doc"]) & (text["copy"] == at["_copy"])).select("node", "text")
     items = scratch.put(found.mapInArrow(map_slices(partial(_sets, k=k), once=("node",)), "node long, items array<long>").dropDuplicates(["node"]), "items")
     compare = lambda sent, *key: sent.join(items, "node").groupBy(*key).applyInArrow(lambda table: _family_links(table, percent), "u long, v long")
