@@ -15,6 +15,9 @@ QUERIES = {
     "op8_ipf_mixing": mixing.op8_ipf_mixing,
     "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
+    # Operator 4 at a limit that parts small tables into many shards, and its directory.
+    "shards_of_64k": sharding.small_shards,
+    "shard_directory_of_64k": sharding.small_directory,
 }
 
 ORACLES: dict[str, str] = {
@@ -23,4 +26,6 @@ ORACLES: dict[str, str] = {
     "op5_minhash_near_dedup": near_dedup.ORACLE,
     "op7_substring_dedup": substring_dedup.ORACLE,
     "op9_chat_formatting": chat.ORACLE,
+    "shards_of_64k": sharding.SMALL_ORACLE,
+    "shard_directory_of_64k": sharding.DIRECTORY_ORACLE,
 }
