@@ -59,6 +59,24 @@ def test_written_shards_keep_the_limit(spark, tmp_path):
     assert all(sum(v) <= 100 or len(v) == 1 for v in sums.values())
 
 
+def test_a_column_of_the_folders_name(spark, tmp_path):
+    rows = [(i, "x" * 40, f"own{i}", i) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, Shard_id string, shard_id_ int")
+    assert sharding.write_shards(docs, str(tmp_path / "s"), 200) == "shard_id__"
+    out = spark.read.parquet(str(tmp_path / "s"))
+    assert sorted((r[0], r[1], r[2], r[3]) for r in out.select(*docs.columns).collect()) == rows and out.select("shard_id__").distinct().count() > 1
+
+
+def test_directory_covers_every_slot_once(spark):
+    rows = [(i, "x" * (i * 37 % 200)) for i in range(300)]
+    out = sharding.directory(sharding.assign(spark.createDataFrame(rows, "doc_id bigint, text string"), 900)).collect()
+    depth = out[0].global_depth
+    slots = [s for r in out for s in range(r.first_slot, r.first_slot + r.slots)]
+    assert depth > 2 and len(slots) == len(set(slots)) and set(slots) <= set(range(2**depth)) and sum(r.n_docs for r in out) == 300
+    assert all(r.prefix == f"{r.first_slot:0{depth}b}"[: r.depth] and r.shard_bytes <= 900 for r in out)
+    assert sharding.directory(sharding.assign(cases.empty(spark))).count() == 0
+
+
 def test_rake_meets_every_margin():
     r = np.random.default_rng(0)
     counts = r.integers(1, 100, 60).astype(float)
@@ -93,6 +111,63 @@ def test_mixing(spark):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {r.doc_id for r in out if r.kept}
 
 
+def brute_mix(rows, targets, budget, temper=mixing.TEMPER):
+    """(weight, probability) of each (source, lang, topic, tokens) row, by plain loops and bisection."""
+    n = {}
+    for *cell, tokens in rows:
+        n[tuple(cell)] = n.get(tuple(cell), 0) + tokens
+    total = sum(n.values())
+    w = {c: m / total for c, m in n.items() if m}
+    wish = []
+    for a, axis in enumerate(mixing.AXES):
+        seen = {}
+        for c, m in n.items():
+            if m:
+                seen[c[a]] = seen.get(c[a], 0) + m / total
+        t = targets.get(axis, temper)
+        want = {k: t.get(k, v) if isinstance(t, dict) else v**t for k, v in seen.items()}
+        wish.append({k: v / sum(want.values()) for k, v in want.items()})
+    for _ in range(400):
+        for a in range(3):
+            now = {}
+            for c, v in w.items():
+                now[c[a]] = now.get(c[a], 0) + v
+            w = {c: v * wish[a][c[a]] / now[c[a]] for c, v in w.items()}
+    low, high = 0.0, 1e12
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if sum(min(n[c], w[c] * mid) for c in w) < budget * total else (low, mid)
+    return [(w.get((s, g, t), 0.0), min(1.0, w[s, g, t] * low / n[s, g, t]) if (s, g, t) in w else budget) for s, g, t, _ in rows]
+
+
+def test_query_equals_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    out = mixing.op8_ipf_mixing(spark, "/root/testdata/sf0.001").collect()
+    texts = {r.doc_id: r for r in docs.collect()}
+    assert len(out) == len(texts) and all(r.tokens == len((texts[r.doc_id].text or "").encode().split()) for r in out)
+    assert all((r.source, r.lang) == (texts[r.doc_id].source or "", texts[r.doc_id].lang or "") for r in out)
+    topics = mixing.fit_topics(docs)
+    for r in out[:40]:  # the nearest centre, one text at a time
+        words, x = mixing.profiles([(texts[r.doc_id].text or "").encode()])
+        far = ((x[0] - topics.means[r.lang] - topics.centres) ** 2).sum(1)
+        assert far[int(r.topic[5:])] <= far.min() + 1e-6
+    assert len({r.topic for r in out}) > 2
+    want = brute_mix([(r.source, r.lang, r.topic, r.tokens) for r in out], mixing.TARGETS, mixing.BUDGET)
+    u = lambda i: int(hashlib.md5(f"{i}/mix".encode()).hexdigest()[:13], 16) / 2**52
+    for r, (w, p) in zip(out, want):
+        assert abs(r.weight - w) < 1e-6 and abs(r.probability - p) < 1e-4 and r.kept == (u(r.doc_id) < r.probability)
+
+
+def test_many_cells_are_raked_on_the_executors(spark):
+    rows = [(i, "word " * (1 + i % 7), ["en", "fr"][i % 5 == 0], f"s{i % 9 if i % 2 else 0}") for i in range(600)] + [(700, "", "en", "s0"), (701, "", "xx", "s0")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(4)
+    targets, topics = {"lang": {"en": 0.5, "fr": 0.5}, "source": 0.3}, mixing.fit_topics(df)
+    near = {r.doc_id: r for r in mixing.mixing_weights(df, targets, topics=topics).collect()}
+    far = mixing.mixing_weights(df, targets, topics=topics, max_cells=1).collect()
+    assert len(far) == len(near) == 602
+    assert all(abs(r.weight - near[r.doc_id].weight) < 1e-5 and abs(r.probability - near[r.doc_id].probability) < 1e-4 for r in far)
+
+
 def test_odd_cases(spark):
     out = mixing.mixing_weights(cases.documents(spark)).collect()
     assert len(out) == len(cases.rows()) and {r.tokens for r in out if r.doc_id in (5, 6, 7)} == {0}
