@@ -6,7 +6,6 @@ import ipaddress
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _V4 = r"^\s*(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)\s*$"
 
@@ -18,31 +17,29 @@ def ipv4_number(ip: Column) -> Column:
     return F.when(ip.rlike(_V4), value)
 
 
-def _v6_udf(networks: list[str]):
-    @F.pandas_udf(T.BooleanType())
-    def inside(ip):
-        nets = [ipaddress.ip_network(n, strict=False) for n in networks]
-
-        def one(x):
-            try:
-                at = ipaddress.ip_address((x or "").strip())
-            except ValueError:
-                return False
-            return any(at in n for n in nets if n.version == at.version)
-
-        return ip.map(one)
-
-    return inside
+def ipv6_digits(ip: Column) -> Column:
+    """A colon address as 32 hexadecimal digits, which order as addresses do; null if it isn't one."""
+    text = F.lower(F.trim(ip))
+    dotted = F.regexp_extract(text, r":(\d+\.\d+\.\d+\.\d+)$", 1)  # the last 32 bits may be written as in IPv4
+    last = ipv4_number(dotted)
+    hexes = lambda n: F.lower(F.hex(n))
+    text = F.when(dotted != "", F.concat(F.regexp_replace(text, r"\d+\.\d+\.\d+\.\d+$", ""), hexes(F.shiftright(last, 16)), F.lit(":"), hexes(last.bitwiseAND(F.lit(65535))))).otherwise(text)
+    sides = F.split(text, "::", -1)
+    groups = lambda side: F.filter(F.split(F.coalesce(side, F.lit("")), ":"), lambda x: x != "")
+    left, right = groups(F.get(sides, F.lit(0))), groups(F.get(sides, F.lit(1)))
+    gap = F.lit(8) - F.size(left) - F.size(right)
+    form = text.rlike("^(?:[0-9a-f]{1,4}(?::[0-9a-f]{1,4})*)?(?:::)?(?:[0-9a-f]{1,4}(?::[0-9a-f]{1,4})*)?$") & text.contains(":")
+    whole = F.when(F.size(sides) == 2, gap >= 1).otherwise(gap == 0)
+    padded = F.transform(F.concat(left, F.array_repeat(F.lit("0"), F.greatest(F.lit(0), gap)), right), lambda x: F.lpad(x, 4, "0"))
+    return F.when(form & whole, F.array_join(padded, ""))
 
 
 def in_ranges(ip: Column, cidrs: list[str]) -> Column:
-    """True if the address lies in one of the ranges. IPv4 stays in the JVM; IPv6 goes through Arrow."""
+    """True if the address lies in one of the ranges; what is no address lies in none."""
     nets = [ipaddress.ip_network(c.strip(), strict=False) for c in cidrs]
-    four = [n for n in nets if n.version == 4]
-    six = [n for n in nets if n.version == 6]
-    number, hit = ipv4_number(ip), F.lit(False)
-    for n in four:
-        low = int(n.network_address)
-        hit = hit | ((number >= low) & (number <= low + n.num_addresses - 1))
-    hit = F.coalesce(hit, F.lit(False))
-    return hit | F.coalesce(_v6_udf([str(n) for n in six])(ip), F.lit(False)) if six else hit
+    number, digits, hit = ipv4_number(ip), ipv6_digits(ip), F.lit(False)
+    for n in nets:
+        low, high = int(n.network_address), int(n.broadcast_address)
+        inside = (number >= low) & (number <= high) if n.version == 4 else (digits >= f"{low:032x}") & (digits <= f"{high:032x}")
+        hit = hit | F.coalesce(inside, F.lit(False))
+    return hit

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import inspect
 from collections.abc import Callable
+from datetime import datetime
+from functools import partial
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 REGISTRY: dict[str, Callable[..., Column]] = {}
@@ -16,15 +18,46 @@ def transformer(f: Callable[..., Column]) -> Callable[..., Column]:
     return f
 
 
+#: How parameters that are given as text become values, by the annotation of the transformer's parameter.
+DECODERS: dict[str, Callable] = {"int": int, "float": float, "bool": lambda v: v.strip().lower() in ("true", "1", "yes", "on"), "datetime": datetime.fromisoformat}
+
+
+def _check(f: Callable) -> dict[str, inspect.Parameter]:
+    """The parameters after the value; a transformer needs the value alone."""
+    params = list(inspect.signature(f).parameters.values())
+    if not params or params[0].kind not in (params[0].POSITIONAL_ONLY, params[0].POSITIONAL_OR_KEYWORD):
+        raise ValueError("a transformer takes the value as its first parameter")
+    more = [p.name for p in params[1:] if p.default is p.empty and p.kind in (p.POSITIONAL_ONLY, p.POSITIONAL_OR_KEYWORD) and p.name != "record"]
+    if more:
+        raise ValueError(f"parameters without a default: {', '.join(more)}")
+    return {p.name: p for p in params[1:]}
+
+
+def _decoded(f: Callable, kw: dict) -> dict:
+    params = _check(f)
+    if unknown := [k for k in kw if k not in params and not any(p.kind == p.VAR_KEYWORD for p in params.values())]:
+        raise ValueError(f"no such parameters: {', '.join(unknown)}")
+    kind = lambda k: str(getattr(a := params[k].annotation, "__name__", a)).split(" |")[0] if k in params else ""
+    return {k: DECODERS[kind(k)](v) if isinstance(v, str) and kind(k) in DECODERS else v for k, v in kw.items()}
+
+
 def register(name: str, f: Callable[..., Column], return_type: str | None = None) -> None:
     """Adds a transformer of the user's. With ``return_type``, f maps one Python value to one value and runs as an Arrow UDF."""
-    if not list(inspect.signature(f).parameters):
-        raise ValueError("a transformer takes the value as its first parameter")
+    _check(f)
     if return_type is None:
         REGISTRY[name] = f
         return
-    udf = F.udf(f, return_type, useArrow=True)
-    REGISTRY[name] = lambda c, **kw: udf(c, *(F.lit(v) for v in kw.values()))
+
+    def on_column(c: Column, **kw) -> Column:
+        return F.udf(partial(f, **_decoded(f, kw)), return_type, useArrow=True)(c)
+
+    REGISTRY[name] = on_column
+
+
+def register_sql(spark: SparkSession, name: str, expression: str, return_type: str = "string") -> None:
+    """Adds a transformer from SQL text over ``value`` (text), such as "upper(trim(value))", as a temporary SQL function."""
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(value STRING) RETURNS {return_type} RETURN {expression}")
+    REGISTRY[name] = lambda c: F.call_function(name, c.cast("string"))
 
 
 def apply(name: str, c: Column, record: dict[str, Column] | None = None, **kw) -> Column:
@@ -32,6 +65,7 @@ def apply(name: str, c: Column, record: dict[str, Column] | None = None, **kw) -
     if name not in REGISTRY:
         raise KeyError(f"no transformer {name}")
     f = REGISTRY[name]
+    kw = _decoded(f, kw)
     if record is not None and "record" in inspect.signature(f).parameters:
         kw["record"] = record
     return f(c, **kw)

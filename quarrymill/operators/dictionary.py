@@ -16,7 +16,7 @@ def encode(values: DataFrame, name: str, source: str, dictionary: DataFrame, val
     """(values with ids in ``name``, the dictionary with new keys).
 
     Keys are trimmed. New valid keys get ids after the largest, in order of key within this batch, so that the
-    result doesn't depend on partitions. Invalid and missing keys get 0, the default's id.
+    result doesn't depend on partitions. Invalid and missing keys get 0, the default's id; without a default they are an error.
     """
     key = F.trim(F.col(source).cast("string"))
     ok = key.isNotNull() & (key != "")
@@ -34,7 +34,8 @@ def encode(values: DataFrame, name: str, source: str, dictionary: DataFrame, val
     grown = dictionary.unionByName(added)
     ids = grown.where(F.col("column") == name).select(F.col("key").alias("_key"), F.col("id").alias("_id"))
     joined = values.withColumn("_k", F.when(ok, key)).join(ids, F.col("_k") == F.col("_key"), "left")
-    return joined.withColumn(name, F.coalesce("_id", F.lit(0))).drop("_k", "_key", "_id"), grown
+    none = F.lit(0) if default is not None else F.raise_error(F.concat(F.lit(f"no valid key for {name}: "), F.coalesce(F.col(source).cast("string"), F.lit("null")))).cast("bigint")
+    return joined.withColumn(name, F.coalesce("_id", none)).drop("_k", "_key", "_id"), grown
 
 
 def seen_domains(rows: DataFrame, domain: Column, found: Column, pattern: str) -> DataFrame:
@@ -54,7 +55,7 @@ def domain2enum(rows: DataFrame, name: str, source: str, not_found: Column, patt
 
 def decode(df: DataFrame, c: str, dictionary: DataFrame, name: str | None = None, keep: str | None = None) -> DataFrame:
     """Ids as labels; an unknown id stays, as text. keep: a name under which the id stays, too."""
-    ids = F.broadcast(dictionary.where(F.col("column") == (name or c)).select(F.col("id").alias("_id"), F.col("key").alias("_label")))
+    ids = dictionary.where(F.col("column") == (name or c)).select(F.col("id").alias("_id"), F.col("key").alias("_label"))
     out = df.join(ids, F.col(c) == F.col("_id"), "left")
     if keep:
         out = out.withColumn(keep, F.col(c))
@@ -67,10 +68,10 @@ def lookup(dictionary: DataFrame, name: str, keys: list[str]) -> dict[str, int]:
     return {r["key"]: r["id"] for r in rows}
 
 
-def search(dictionary: DataFrame, name: str, pattern: str) -> list[int]:
-    """Ids of labels like the pattern, * standing for any text."""
+def search(dictionary: DataFrame, name: str, pattern: str) -> DataFrame:
+    """Rows of labels like the pattern, * standing for any text."""
     like = pattern.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_").replace("*", "%")
-    return sorted(r["id"] for r in dictionary.where((F.col("column") == name) & F.col("key").like(like)).select("id").collect())
+    return dictionary.where((F.col("column") == name) & F.col("key").like(like))
 
 
 def locate(df: DataFrame, ip_number: Column, ranges: DataFrame, columns: list[str]) -> DataFrame:

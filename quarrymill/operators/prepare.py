@@ -62,17 +62,24 @@ def prepare(raw: DataFrame, spec: DatasetSpec, *keep: str) -> DataFrame:
 
 
 def with_issues(raw: DataFrame, spec: DatasetSpec, *keep: str) -> tuple[DataFrame, DataFrame]:
-    """(typed rows, issues): values that were there and couldn't be read are listed, not raised."""
+    """(typed rows, issues): values that were there and couldn't be read, or of which a transformer made nothing, are listed, not raised."""
     rows = kept(with_computed(normalized(raw, spec), spec), spec)
     record = {c: F.col(f"`{c}`") for c in rows.columns}
-    issues = None
+    found = []
     for c in spec.columns:
-        if not c.used or c.dtype.is_list or not c.dtype.is_number or c.transformer:
-            continue
         value = record[_source(c)]
-        bad = rows.where(value.isNotNull() & (F.trim(value.cast("string")) != "") & value.cast("string").try_cast("double").isNull())
-        one = bad.select(F.lit(c.name).alias("column"), value.cast("string").alias("value"), F.lit("can't be read").alias("message"))
-        issues = one if issues is None else issues.unionByName(one)
-    if issues is None:
-        issues = raw.sparkSession.createDataFrame([], "column string, value string, message string")
+        text = value.cast("string")
+        given = value.isNotNull() & (F.trim(text) != "")
+        if c.transformer and not c.computed:
+            bad, message = given & transformed(c, value, record).isNull(), f"{c.transformer.name} gives nothing"
+        elif c.dtype.is_number and not c.dtype.is_list:
+            bad, message = given & text.try_cast("double").isNull(), "can't be read"
+        else:
+            continue  # text and truth values take any text
+        if c.used:
+            found.append(F.when(bad, F.struct(F.lit(c.name).alias("column"), text.alias("value"), F.lit(message).alias("message"))))
+    if not found:
+        return typed(rows, spec, *keep), raw.sparkSession.createDataFrame([], "column string, value string, message string")
+    # One pass over the rows, whatever the number of columns.
+    issues = rows.select(F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("i")).select("i.*")
     return typed(rows, spec, *keep), issues

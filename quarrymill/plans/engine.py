@@ -34,7 +34,10 @@ def selected(bound: BoundReport, df: DataFrame) -> DataFrame:
         df = df.where(time >= F.lit(bound.low).cast(df.schema[bound.dataset.time_column].dataType))
     if bound.high is not None:
         df = df.where(time < F.lit(bound.high).cast(df.schema[bound.dataset.time_column].dataType))
-    return df.where(F.lit(False)) if bound.empty else _all(df, bound.where)
+    df = df.where(F.lit(False)) if bound.empty else _all(df, bound.where)
+    for name, ids in bound.semi:
+        df = df.join(ids, F.col(f"`{name}`") == F.col("_id"), "left_semi")
+    return df
 
 
 def bucket(bound: BoundReport, time: Column) -> Column:

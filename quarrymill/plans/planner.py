@@ -40,6 +40,7 @@ class BoundReport:
     high: datetime | None
     where: list[Column] = field(default_factory=list)
     raw_where: list[Column] = field(default_factory=list)
+    semi: list[tuple[str, DataFrame]] = field(default_factory=list)  # a column, and a table whose ``_id`` it must be in
     empty: bool = False
     keys: list[ColumnSpec] = field(default_factory=list)
     requested: list[Requested] = field(default_factory=list)
@@ -50,8 +51,22 @@ class BoundReport:
     sort: list[tuple[str, bool]] = field(default_factory=list)
 
 
-def _value(v):
-    return json.loads(v) if isinstance(v, str) and v[:1] in "[{\"" else v
+def _value(v, text_only: bool = False):
+    """A literal that is given as JSON; text that isn't JSON stands for itself. text_only: lists and objects are text, too."""
+    if isinstance(v, str) and v[:1] in ('"' if text_only else '[{"'):
+        try:
+            return json.loads(v)
+        except ValueError:
+            return v
+    return v
+
+
+#: Text operators that compare with one text, not a list of them.
+_ONE_TEXT = {f"{no}{op}" for no in ("", "not ") for op in ("==", "!=", "contain", "startswith", "endswith")}
+
+
+def _literal(spec: ColumnSpec, name: str, v):
+    return _value(v, spec.dtype.is_string and not spec.dtype.is_list and name in _ONE_TEXT)
 
 
 def _coerce(spec: ColumnSpec, v):
@@ -62,14 +77,14 @@ def _coerce(spec: ColumnSpec, v):
     return str(v)
 
 
-def bind_condition(spec: ColumnSpec, op: str, value, words: DataFrame | None, options: dict) -> Column | None:
-    """One condition; None if its labels are unknown, so that nothing can match."""
-    name, value = canonical(op), _value(value)
+def bind_condition(spec: ColumnSpec, op: str, value, words: DataFrame | None, options: dict) -> Column | tuple[str, DataFrame] | None:
+    """One condition: a test, or a column and the table of ids that it must be in; None if its labels are unknown, so that nothing can match."""
+    name = canonical(op)
+    value = _literal(spec, name, value)
     c = F.col(f"`{spec.name}`")
     if spec.enum and words is not None:
         if name == "pattern":
-            ids = enums.search(words, spec.enum, value)
-            return c.isin(ids) if ids else None
+            return spec.name, enums.search(words, spec.enum, value).select(F.col("id").alias("_id"))
         several = isinstance(value, list | tuple)
         labels = [str(x) for x in (value if several else [value])]
         known = enums.lookup(words, spec.enum, labels)
@@ -81,7 +96,7 @@ def bind_condition(spec: ColumnSpec, op: str, value, words: DataFrame | None, op
         return predicate(c, spec.dtype, name, value, options.get("list_in_mode", "union"))
     if options.get("transform_literals") and spec.transformer:
         one = lambda x: transforms.apply(spec.transformer.name, F.lit(x), **spec.transformer.parameters)
-        return NUMBER[name](c, one(value)) if not isinstance(value, list | tuple) else NUMBER[name](c, [one(x) for x in value])
+        return predicate(c, spec.dtype, name, [one(x) for x in value] if isinstance(value, list | tuple) else one(value))
     return predicate(c, spec.dtype, name, _coerce(spec, value), options.get("list_in_mode", "union"))
 
 
@@ -104,13 +119,15 @@ def bind(spec: ReportSpec, dataset: DatasetSpec, words: DataFrame | None = None)
         bound = bind_condition(column, op, value, words, spec.options)
         if bound is None:
             out.empty = True
+        elif isinstance(bound, tuple):
+            out.semi.append(bound)
         else:
             out.where.append(bound)
     if spec.is_details:
         # Conditions on the raw text, before any transformer; of no effect on statistics.
         for name, op, value in spec.raw_conditions:
             column = dataset.column(name)
-            out.raw_where.append(predicate(F.col(f"`{name}`"), column.dtype, op, _coerce(column, _value(value)), spec.options.get("list_in_mode", "union")))
+            out.raw_where.append(predicate(F.col(f"`{name}`"), column.dtype, op, _coerce(column, _literal(column, canonical(op), value)), spec.options.get("list_in_mode", "union")))
         return out
     return _aggregates(out)
 

@@ -49,6 +49,7 @@ class DatasetSpec:
     data_interval: str = "Hourly"
     header: tuple[str, ...] = ()
     has_header: bool = False
+    multi_line: bool = True  # quoted CSV values may hold line breaks
     filetype: str = "csv"
     filename: str = "%Y%m%d%H.csv"
     cache_timeout: int = 28
@@ -69,7 +70,7 @@ class ReportSpec:
     sort_by: (key or alias, "asc" or other); resultset: (column, aggregate, alias or None).
 
     options: bucket_mode "floor" or "label"; list_in_mode "union" or "tuple"; empty_minmax "null" or "zero";
-    strict (check usage flags of conditions); limit.
+    strict (check usage flags of conditions); limit; single_file (result files are one file each).
     """
 
     name: str

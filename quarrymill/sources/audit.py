@@ -22,32 +22,48 @@ RECORD = (
 _MODIFIED = "array<struct<displayName:string,oldValue:string,newValue:string>>"
 
 
-def flat(record: Column) -> Column:
-    """A JSON record as a map from flat names to text."""
-    r = F.from_json(record, RECORD)
+def _once(value: Column, then) -> Column:
+    """``then`` of a value that is computed once, however often ``then`` names it."""
+    return F.transform(F.array(value), then)[0]
+
+
+_PAIRS = "array<struct<key:string,value:string>>"
+
+
+def _entries(r: Column) -> Column:
+    """Names and values of a parsed record, in order."""
+    some = lambda c, kind=_PAIRS: F.coalesce(c, F.array().cast(kind))
+    named = lambda prefix, pairs: F.transform(pairs, lambda e: F.struct(F.concat(F.lit(prefix), e["key"]).alias("key"), e["value"].alias("value")))
     pairs = [F.array(*(F.struct(F.lit(s).alias("key"), r[s].alias("value")) for s in SCALARS))]
-    named = lambda prefix, m: F.transform(F.coalesce(F.map_entries(m), F.array().cast("array<struct<key:string,value:string>>")), lambda e: F.struct(F.concat(F.lit(prefix), e["key"]).alias("key"), e["value"].alias("value")))
-    pairs += [named(f"initiatedBy.{kind}.", r["initiatedBy"][kind]) for kind in ("app", "user")]
-    details = F.coalesce(r["additionalDetails"], F.array().cast("array<struct<key:string,value:string>>"))
-    pairs.append(F.transform(details, lambda e: F.struct(F.concat(F.lit("additionalDetails."), e["key"]).alias("key"), e["value"].alias("value"))))
+    pairs += [named(f"initiatedBy.{kind}.", some(F.map_entries(r["initiatedBy"][kind]))) for kind in ("app", "user")]
+    pairs.append(named("additionalDetails.", some(r["additionalDetails"])))
 
     def target(t: Column) -> Column:
         kind = F.coalesce(t["type"], F.lit("Other"))
+        change = lambda m, of: F.concat(m["displayName"], F.lit(f".{of}="), F.coalesce(m[f"{of}Value"], F.lit("")))
 
         def prop(e: Column) -> Column:
             changes = F.from_json(e["value"], _MODIFIED)
-            told = F.array_join(F.transform(changes, lambda m: F.concat(F.lit("("), m["displayName"], F.lit(".old="), F.coalesce(m["oldValue"], F.lit("")), F.lit(","), m["displayName"], F.lit(".new="), F.coalesce(m["newValue"], F.lit("")), F.lit(")"))), "")
+            told = F.array_join(F.transform(changes, lambda m: F.concat(F.lit("("), change(m, "old"), F.lit(","), change(m, "new"), F.lit(")"))), "")
             return F.struct(F.concat(F.lit("targetResource."), kind, F.lit("."), e["key"]).alias("key"), F.when(e["key"] == "modifiedProperties", told).otherwise(e["value"]).alias("value"))
 
         return F.transform(F.filter(F.map_entries(t), lambda e: e["key"] != "type"), prop)
 
-    pairs.append(F.flatten(F.transform(F.coalesce(r["targetResources"], F.array().cast("array<map<string,string>>")), target)))
-    entries = F.filter(F.concat(*pairs), lambda e: e["key"].isNotNull())
-    # A name that repeats keeps its last value.
+    pairs.append(F.flatten(F.transform(some(r["targetResources"], "array<map<string,string>>"), target)))
+    return F.filter(F.concat(*pairs), lambda e: e["key"].isNotNull())
+
+
+def _as_map(entries: Column) -> Column:
+    """A name that repeats keeps its last value."""
     keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
     return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"]))
 
 
+def flat(record: Column) -> Column:
+    """A JSON record as a map from flat names to text."""
+    return _once(_once(F.from_json(record, RECORD), _entries), _as_map)
+
+
 def flatten(records: DataFrame, column: str = "value", known: tuple[str, ...] = SCALARS) -> tuple[DataFrame, tuple[str, ...]]:
     """(a column for each known name, then one for each new name; all names). New names are distinct keys: a small set."""
     maps = records.select(flat(F.col(column)).alias("m"))
@@ -57,7 +73,11 @@ def flatten(records: DataFrame, column: str = "value", known: tuple[str, ...] =
 
 
 class AuditPages(DataSourceReader):
-    """Pages of a REST service between two times. Each partition is one time slice and follows its own next links."""
+    """Pages of a REST service between two times. Each partition is one time slice and follows its own next links.
+
+    With ``tokenurl`` (and clientid, clientsecret, scope) a task asks for a token by client credentials; else ``token`` is sent, if there is one.
+    A service that answers newest first has ``ascending`` false: then each slice, which one task holds anyway as it pages, is turned round.
+    """
 
     def __init__(self, options: dict[str, str]):
         self.options = options
@@ -69,19 +89,33 @@ class AuditPages(DataSourceReader):
         n = int(self.options.get("slices", "1"))
         return [InputPartition(((start + (end - start) * i / n).isoformat(), (start + (end - start) * (i + 1) / n).isoformat())) for i in range(n)]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        low, high = partition.value
-        time = self.options.get("timefield", "activityDateTime")
+    def token(self) -> str | None:
+        if "tokenurl" not in self.options:
+            return self.options.get("token")
+        form = {"grant_type": "client_credentials", "client_id": self.options["clientid"], "client_secret": self.options["clientsecret"], "scope": self.options.get("scope", "")}
+        request = urllib.request.Request(self.options["tokenurl"], data=urllib.parse.urlencode(form).encode())  # noqa: S310
+        with urllib.request.urlopen(request, timeout=60) as answer:  # noqa: S310
+            return json.load(answer)["access_token"]
+
+    def _records(self, low: str, high: str) -> Iterator[dict]:
+        time = self.options.get("timefield", SCALARS[0])
         query = urllib.parse.urlencode({"$filter": f"{time} ge {low}Z and {time} lt {high}Z"})
-        url = f"{self.options['url']}?{query}"
+        url, token = f"{self.options['url']}?{query}", self.token()
         while url:
-            request = urllib.request.Request(url, headers={"Authorization": f"Bearer {self.options.get('token', '')}"})  # noqa: S310
+            request = urllib.request.Request(url, headers={"Authorization": f"Bearer {token}"} if token else {})  # noqa: S310
             with urllib.request.urlopen(request, timeout=60) as answer:  # noqa: S310
                 page = json.load(answer)
-            for record in page.get("value", []):
-                yield record.get(time), json.dumps(record)
+            yield from page.get("value", [])
             url = page.get("@odata.nextLink")
 
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        records = self._records(*partition.value)
+        if self.options.get("ascending", "true").lower() != "true":
+            records = reversed(list(records))
+        time = self.options.get("timefield", SCALARS[0])
+        for record in records:
+            yield record.get(time), json.dumps(record)
+
 
 class AuditLog(DataSource):
     """spark.dataSource.register(AuditLog); spark.read.format("auditlog").options(url=, token=, start=, end=)."""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,38 +25,63 @@ def text_schema(header: list[str] | tuple[str, ...]) -> T.StructType:
     return T.StructType([T.StructField(h, T.StringType()) for h in header])
 
 
-def read_csv(spark: SparkSession, paths: str | list[str], header: tuple[str, ...] = (), has_header: bool = False) -> DataFrame:
-    """Quotes inside quoted values are doubled; short rows are filled with nulls, blank lines skipped."""
-    reader = spark.read.option("header", has_header).option("escape", '"').option("multiLine", False).option("mode", "PERMISSIVE").option("enforceSchema", True)
-    return (reader.schema(text_schema(header)) if header else reader).csv(paths)
+#: The column that names a row's file, where a reader is asked for it.
+FILE = "_file"
 
 
-def read_jsonline(spark: SparkSession, paths: str | list[str], header: tuple[str, ...] = ()) -> DataFrame:
+def _with_file(df: DataFrame, name: str | None) -> DataFrame:
+    return df.select("*", F.col("_metadata.file_path").alias(name)) if name else df
+
+
+def read_csv(spark: SparkSession, paths: str | list[str], header: tuple[str, ...] = (), has_header: bool = False, multi_line: bool = True, file: str | None = None) -> DataFrame:
+    """Quotes inside quoted values are doubled; short rows are filled with nulls, blank lines skipped.
+
+    multi_line: quoted values may hold line breaks, for which a file is read by one task; without it large files are split.
+    """
+    reader = spark.read.option("header", has_header).option("escape", '"').option("multiLine", multi_line).option("mode", "PERMISSIVE").option("enforceSchema", True)
+    return _with_file((reader.schema(text_schema(header)) if header else reader).csv(paths), file)
+
+
+def read_jsonline(spark: SparkSession, paths: str | list[str], header: tuple[str, ...] = (), file: str | None = None) -> DataFrame:
     """An object a line; without a header its columns are the sorted keys of the first object."""
-    lines = spark.read.text(paths).where(F.trim("value") != "")
+    lines = _with_file(spark.read.text(paths), file).where(F.trim("value") != "")
     if not header:
         first = lines.limit(1).select(F.array_sort(F.json_object_keys("value")).alias("k")).first()
         header = tuple(first["k"]) if first else ()
-    parsed = lines.select(F.from_json("value", text_schema(header)).alias("r"))
-    return parsed.select("r.*") if header else parsed
+    parsed = lines.withColumn("_r", F.from_json("value", text_schema(header)))
+    return parsed.select("_r.*", *([file] if file else [])) if header else parsed.drop("_r")
 
 
-def read_jsonlistline(spark: SparkSession, paths: str | list[str], header: tuple[str, ...] = ()) -> DataFrame:
-    """An array a line; the first line is the header. Lines equal to the header are taken for headers of further files."""
-    lines = spark.read.text(paths).where(F.trim("value") != "")
-    parsed = lines.select(F.from_json("value", "array<string>").alias("r"))
+def _without_heads(batches):
+    """Drops the first line of each file. A file's first line is that of its block 0, whose lines come in order."""
+    import numpy as np
+    import pyarrow as pa
+
+    last = None
+    for b in batches:
+        path, start = b.column("_path").to_pylist(), b.column("_start").to_numpy()
+        keep = np.ones(len(path), bool)
+        for i in np.flatnonzero(start == 0).tolist():
+            if path[i] != last:
+                keep[i], last = False, path[i]
+        yield b.select(["value", "_path"]).filter(pa.array(keep))
+
+
+def read_jsonlistline(spark: SparkSession, paths: str | list[str], header: tuple[str, ...] = (), file: str | None = None) -> DataFrame:
+    """An array a line; the first line of each file is its header, and values go by place."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"))
     if not header:
-        first = parsed.first()
+        first = lines.where(F.trim("value") != "").select(F.from_json("value", "array<string>").alias("r")).first()
         header = tuple(first["r"]) if first else ()
-    names = F.array(*(F.lit(h) for h in header))
-    return parsed.where(F.col("r") != names).select(*(F.try_element_at("r", F.lit(i + 1)).alias(h) for i, h in enumerate(header)))
+    rows = lines.mapInArrow(_without_heads, "value string, _path string").where(F.trim("value") != "").withColumn("_r", F.from_json("value", "array<string>"))
+    return rows.select(*(F.try_element_at("_r", F.lit(i + 1)).alias(h) for i, h in enumerate(header)), *([F.col("_path").alias(file)] if file else []))
 
 
 FORMATS: dict[str, Callable] = {
-    "csv": lambda s, p, d: read_csv(s, p, d.header, d.has_header),
-    "jsonline": lambda s, p, d: read_jsonline(s, p, d.header),
-    "jsonlistline": lambda s, p, d: read_jsonlistline(s, p, d.header),
-    "parquet": lambda s, p, d: s.read.parquet(*([p] if isinstance(p, str) else p)),
+    "csv": lambda s, p, d, f=None: read_csv(s, p, d.header, d.has_header, d.multi_line, f),
+    "jsonline": lambda s, p, d, f=None: read_jsonline(s, p, d.header, f),
+    "jsonlistline": lambda s, p, d, f=None: read_jsonlistline(s, p, d.header, f),
+    "parquet": lambda s, p, d, f=None: _with_file(s.read.option("mergeSchema", True).parquet(*([p] if isinstance(p, str) else p)), f),
 }
 
 
@@ -66,9 +91,24 @@ def interval_files(dataset: DatasetSpec, start: datetime, end: datetime, now: da
     return [(a, b, a.strftime(dataset.filename)) for a, b in whole_intervals(kind, start, end, now or end, offset)]
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+def present(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """The paths that exist, with their full names; one listing a parent folder."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    by_parent: dict[str, list[str]] = {}
+    for p in paths:
+        by_parent.setdefault(p.rsplit("/", 1)[0], []).append(p)
+    out = {}
+    for parent, own in by_parent.items():
+        at = path_of(parent)
+        fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        names = {s.getPath().getName() for s in fs.listStatus(at)} if fs.exists(at) else set()
+        out |= {p: fs.makeQualified(path_of(p)).toUri().toString() for p in own if p.rsplit("/", 1)[1] in names}
+    return out
+
+
+def _plain(path: Column) -> Column:
+    """A file's URI with one slash after its scheme."""
+    return F.regexp_replace(path, "^([A-Za-z0-9]+):/+", "$1:/")
 
 
 @dataclass
@@ -82,20 +122,21 @@ class FileSystem:
         return f"{self.home.rstrip('/')}/{name}"
 
     def read(self, spark: SparkSession, dataset: DatasetSpec, files: list[tuple[datetime, datetime, str]]) -> tuple[DataFrame, list[str]]:
-        """(rows with interval and row number, names of missing files)."""
-        missing = [f for _, _, f in files if not exists(spark, self.path(f))]
+        """(rows with interval and row number, names of missing files). All files, or folders of files, are one scan; a row's interval is that of its file."""
+        there = present(spark, [self.path(f) for _, _, f in files])
+        missing = [f for _, _, f in files if self.path(f) not in there]
         if missing and not dataset.ignore_missing_datafile:
             raise ResourceNotFound(", ".join(missing))
-        out = None
-        for a, _, f in files:
-            if f in missing:
-                continue
-            one = FORMATS[dataset.filetype](spark, self.path(f), dataset)
-            one = one.withColumns({INTERVAL: F.lit(a).cast("timestamp_ntz"), ROW: F.monotonically_increasing_id()})
-            out = one if out is None else out.unionByName(one, allowMissingColumns=True)
-        if out is None:
-            out = spark.createDataFrame([], text_schema(dataset.header).add(INTERVAL, "timestamp_ntz").add(ROW, "long"))
-        return out, missing
+        found = [(a, self.path(f)) for a, _, f in files if self.path(f) in there]
+        if not found:
+            return spark.createDataFrame([], text_schema(dataset.header).add(INTERVAL, "timestamp_ntz").add(ROW, "long")), missing
+        rows = FORMATS[dataset.filetype](spark, [p for _, p in found], dataset, FILE)
+        rows = rows.withColumn(ROW, F.monotonically_increasing_id()).withColumn("_at", _plain(F.col(FILE))).withColumn("_in", F.regexp_replace("_at", "/[^/]*$", ""))
+        names = spark.createDataFrame([(there[p], a) for a, p in found], f"_name string, {INTERVAL} timestamp_ntz").withColumn("_name", _plain(F.col("_name")))
+        # A name is that of the row's file or of its folder; there are as many as intervals were asked for.
+        by = lambda c, i: F.broadcast(names.select(F.col("_name").alias(c), F.col(INTERVAL).alias(i)))
+        out = rows.join(by("_at", "_i1"), "_at", "left").join(by("_in", "_i2"), "_in", "left")
+        return out.withColumn(INTERVAL, F.coalesce("_i1", "_i2")).drop(FILE, "_at", "_in", "_i1", "_i2"), missing
 
 
 SOURCES: dict[str, Callable] = {}

@@ -2,31 +2,42 @@
 
 from __future__ import annotations
 
+import atexit
 import base64
 import json
-from dataclasses import dataclass, field
+import uuid
+from collections.abc import Iterable
+from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.operators import dictionary, prepare
+from quarrymill.functions.types import DType
+from quarrymill.operators import prepare
 from quarrymill.plans import engine
-from quarrymill.plans.spec import DatasetSpec, ReportSpec
+from quarrymill.plans.spec import ColumnSpec, DatasetSpec, ReportSpec, Transform
 from quarrymill.sources import readers
 
-DAY = "day"
+DAY, SLOT = "day", "slot"
+_SLOT_FORMAT = "%Y%m%d%H%M"
 
 
-def materialise(raw: DataFrame, dataset: DatasetSpec, path: str) -> None:
-    """Writes the typed table, a folder a day. Only the days in ``raw`` are replaced."""
-    typed = prepare.prepare(raw, dataset, readers.INTERVAL, readers.ROW).withColumn(DAY, F.to_date(readers.INTERVAL))
-    typed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
+def work_folder(spark: SparkSession) -> str:
+    """A new folder in the shared one (``spark.checkpoint.dir``, or the warehouse where that is unset), deleted when the driver exits."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir")
+    at = f"{root.rstrip('/')}/reports-{uuid.uuid4().hex}"
+    atexit.register(_delete_quietly, spark, at)
+    return at
 
 
-def stale_days(spark: SparkSession, path: str, requested: datetime) -> list[str]:
-    """Days written before a refresh was asked for."""
-    return [d for d, at in _days(spark, path) if at < requested.timestamp() * 1000]
+def _delete_quietly(spark: SparkSession, at: str) -> None:
+    try:
+        fs, path = _fs(spark, at)
+        fs.delete(path, True)
+    except Exception:  # the session may be over
+        pass
 
 
 def _fs(spark: SparkSession, path: str):
@@ -34,37 +45,89 @@ def _fs(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
-def _days(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+# --- the typed table -----------------------------------------------------------------------------------------------
+
+
+def materialise(raw: DataFrame, dataset: DatasetSpec, path: str, intervals: Iterable[datetime] | None = None) -> None:
+    """Writes the typed table, in folders of a day and in it of an interval. Only the intervals in ``raw`` are replaced.
+
+    intervals: those that ``raw`` is of; of these, the ones without rows are emptied.
+    """
+    spark = raw.sparkSession
+    typed = prepare.prepare(raw, dataset, readers.INTERVAL, readers.ROW)
+    typed = typed.withColumns({DAY: F.to_date(readers.INTERVAL), SLOT: F.concat(F.lit("t"), F.date_format(readers.INTERVAL, "yyyyMMddHHmm"))})
+    before = {(d, s): t for d, s, t in slots(spark, path)}
+    typed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY, SLOT).parquet(path)
+    if intervals is not None:
+        wanted = {(f"{a:%Y-%m-%d}", f"t{a.strftime(_SLOT_FORMAT)}") for a in intervals}
+        filled = {(str(r[DAY]), r[SLOT]) for r in typed.select(DAY, SLOT).distinct().collect()} if wanted & before.keys() else wanted  # one row an interval
+        fs, _ = _fs(spark, path)
+        for d, slot in (wanted & before.keys()) - filled:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{DAY}={d}/{SLOT}={slot}"), True)
+
+
+def slots(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
+    """(day, slot, time of writing in milliseconds) of every interval that the table has."""
     fs, at = _fs(spark, path)
     if not fs.exists(at):
         return []
-    found = [(s.getPath().getName(), s.getModificationTime()) for s in fs.listStatus(at) if s.isDirectory()]
-    return sorted((n.split("=", 1)[1], t) for n, t in found if n.startswith(f"{DAY}="))
+    dirs = lambda p, key: [(s.getPath().getName().split("=", 1)[1], s) for s in fs.listStatus(p) if s.isDirectory() and s.getPath().getName().startswith(f"{key}=")]
+    return sorted((day, slot, s.getModificationTime()) for day, d in dirs(at, DAY) for slot, s in dirs(d.getPath(), SLOT))
+
+
+def stale(spark: SparkSession, path: str, files: list[tuple[datetime, datetime, str]], requested: datetime | None) -> list[tuple[datetime, datetime, str]]:
+    """The interval files that the table doesn't have, or has from before a refresh was asked for."""
+    since = requested.timestamp() * 1000 if requested else 0
+    fresh = {slot for _, slot, at in slots(spark, path) if at >= since}
+    return [f for f in files if f"t{f[0].strftime(_SLOT_FORMAT)}" not in fresh]
 
 
 def evict(spark: SparkSession, path: str, keep: int) -> list[str]:
     """Deletes all but the newest ``keep`` days; returns those deleted."""
-    gone = [d for d, _ in _days(spark, path)][: -keep or None]
+    gone = sorted({d for d, _, _ in slots(spark, path)})[: -keep or None]
     fs, _ = _fs(spark, path)
     for d in gone:
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{DAY}={d}"), True)
     return gone
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    df.write.mode("overwrite").option("header", header).option("escape", '"').csv(path)
+def download(spark: SparkSession, dataset: DatasetSpec, origin, path: str, start: datetime, end: datetime, requested: datetime | None = None, only_stale: bool = False) -> list[str]:
+    """Reads the interval files of a range, writes the typed table, drops old days; returns missing files.
 
+    only_stale: leaves intervals alone that the table has, unless they are older than ``requested``. Columns of an interval are made again together.
+    """
+    files = readers.interval_files(dataset, start, end)
+    files = stale(spark, path, files, requested) if only_stale else files
+    if not files:
+        return []
+    raw, missing = origin.read(spark, dataset, files)
+    materialise(raw, dataset, path, [a for a, _, f in files if f not in missing])
+    evict(spark, path, dataset.cache_timeout)
+    return missing
 
-def write_jsonline(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("lineSep", "\r\n").option("ignoreNullFields", False).json(path)
 
+def load(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("mergeSchema", True).parquet(path).drop(DAY, SLOT)
 
-def write_jsonlistline(df: DataFrame, path: str) -> None:
-    """Each file starts with the header line, as an array."""
-    values = F.to_json(F.array(*(F.col(f"`{c}`").cast("string") for c in df.columns)), {"ignoreNullFields": "false"})
-    lines = df.select(values.alias("value")).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id())
-    head = df.sparkSession.createDataFrame([(json.dumps(df.columns), -1)], "value string, _i long").withColumn("_p", F.lit(-1))
-    lines.unionByName(head).repartition(1).sortWithinPartitions("_p", "_i").select("value").write.mode("overwrite").text(path)
+
+# --- result files --------------------------------------------------------------------------------------------------
+
+
+def write_csv(df: DataFrame, path: str, header: bool = True, single: bool = False) -> None:
+    """A folder of parts; with ``single`` one file, for results that one task may hold."""
+    writer = lambda d: d.write.mode("overwrite").option("header", header).option("escape", '"')
+    if not single:
+        writer(df).csv(path)
+        return
+    spark = df.sparkSession
+    parts = f"{path}.parts"
+    writer(df.coalesce(1)).csv(parts)
+    fs, at = _fs(spark, parts)
+    part = next((s.getPath() for s in fs.listStatus(at) if s.getPath().getName().startswith("part-")), None)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs.delete(target, True)
+    fs.rename(part, target) if part else fs.create(target).close()
+    fs.delete(at, True)
 
 
 def format_value(c: str, dtype: str):
@@ -76,6 +139,26 @@ def format_value(c: str, dtype: str):
     return F.col(c).cast("string") if dtype.startswith("interval") else F.col(c)
 
 
+def _formatted(df: DataFrame) -> DataFrame:
+    return df.select(*(format_value(f"`{n}`", t).alias(n) for n, t in df.dtypes))
+
+
+def write_jsonline(df: DataFrame, path: str) -> None:
+    _formatted(df).write.mode("overwrite").option("lineSep", "\r\n").option("ignoreNullFields", False).json(path)
+
+
+def _headed(batches, head: str):
+    yield pa.RecordBatch.from_arrays([pa.array([head])], ["value"])
+    yield from batches
+
+
+def write_jsonlistline(df: DataFrame, path: str) -> None:
+    """A folder of parts; each starts with the header line, as an array."""
+    values = F.to_json(F.array(*(F.col(f"`{c}`").cast("string") for c in df.columns)), {"ignoreNullFields": "false"})
+    head = json.dumps(df.columns, ensure_ascii=False)
+    _formatted(df).select(values.alias("value")).mapInArrow(lambda batches: _headed(batches, head), "value string").write.mode("overwrite").text(path)
+
+
 def report_filename(spec: ReportSpec, raw: bool = False) -> str:
     """name-id-start-end[-type].csv; a details report has its id first."""
     stamp = lambda t: t.strftime("%Y%m%d%H%M") if t else "all"
@@ -86,9 +169,24 @@ def report_filename(spec: ReportSpec, raw: bool = False) -> str:
     return "-".join(parts).replace(" ", "_") + ("-raw.csv" if raw else ".csv")
 
 
+def _column(d: dict) -> ColumnSpec:
+    made = {"dtype": DType(**d["dtype"]), "transformer": Transform(**d["transformer"]) if d["transformer"] else None, "include": tuple(d["include"]), "exclude": tuple(d["exclude"])}
+    return ColumnSpec(**(d | made))
+
+
+def _dataset(d: dict) -> DatasetSpec:
+    return DatasetSpec(**(d | {"columns": tuple(map(_column, d["columns"])), "header": tuple(d["header"])}))
+
+
+def _report(d: dict) -> ReportSpec:
+    time = lambda t: datetime.fromisoformat(t) if t else None
+    lists = {k: tuple(tuple(x) for x in d[k]) for k in ("conditions", "raw_conditions", "having", "sort_by", "resultset")}
+    return ReportSpec(**(d | lists | {"group_by": tuple(d["group_by"]), "start": time(d["start"]), "end": time(d["end"])}))
+
+
 @dataclass
 class Catalog:
-    """Datasets, reports, periodic instances and dictionaries; kept in memory, or in a JSON file."""
+    """Datasets, reports, periodic instances and their status; kept in memory, or in a JSON file on any file system that Spark has."""
 
     datasets: dict[str, DatasetSpec] = field(default_factory=dict)
     reports: dict[int, ReportSpec] = field(default_factory=dict)
@@ -97,23 +195,37 @@ class Catalog:
 
     def instance(self, key: int) -> ReportSpec:
         """A periodic instance: its report with the instance's range."""
-        from dataclasses import replace
-
         report, start, end = self.instances[key]
         return replace(self.reports[report], start=start, end=end, id=key, periodic=True)
 
     def finished(self, key: int) -> bool:
         return self.status.get(key, {}).get("status") == "Succeed"
 
-    def save_status(self, path: str) -> None:
-        with open(path, "w") as f:
-            json.dump({str(k): v for k, v in self.status.items()}, f)
+    def save(self, spark: SparkSession, path: str) -> None:
+        text = json.dumps({
+            "datasets": {k: asdict(v) for k, v in self.datasets.items()},
+            "reports": {k: asdict(v) for k, v in self.reports.items()},
+            "instances": self.instances,
+            "status": self.status,
+        }, default=lambda v: v.isoformat() if hasattr(v, "isoformat") else str(v))
+        fs, at = _fs(spark, path)
+        out = fs.create(at, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Catalog:
+        d = json.loads(spark.read.text(path, wholetext=True).first()[0])
+        by_id = lambda m, f: {int(k): f(v) for k, v in m.items()}
+        time = datetime.fromisoformat
+        return Catalog({k: _dataset(v) for k, v in d["datasets"].items()}, by_id(d["reports"], _report), by_id(d["instances"], lambda v: (v[0], time(v[1]), time(v[2]))), by_id(d["status"], dict))
 
 
 def run_report(spark: SparkSession, catalog: Catalog, spec: ReportSpec, table: DataFrame, folder: str, words: DataFrame | None = None, missing: list[str] = ()) -> dict:
     """Runs a report to files and returns its status; a finished one isn't run again."""
     if catalog.finished(spec.id):
         return catalog.status[spec.id]
+    single = bool(spec.options.get("single_file"))
     status = catalog.status[spec.id] = {"status": "Running", "file": None, "raw_file": None, "message": ""}
     dataset = catalog.datasets[spec.dataset]
     try:
@@ -122,9 +234,9 @@ def run_report(spark: SparkSession, catalog: Catalog, spec: ReportSpec, table: D
         else:
             out, raw = engine.run_statistics(spark, spec, dataset, table, words)
             status["raw_file"] = f"{folder}/{report_filename(spec, raw=True)}"
-            write_csv(raw, status["raw_file"])
+            write_csv(raw, status["raw_file"], single=single)
         status["file"] = f"{folder}/{report_filename(spec)}"
-        write_csv(out, status["file"])
+        write_csv(out, status["file"], single=single)
         status["size"] = sum(f.getLen() for f in _fs(spark, status["file"])[0].listStatus(_fs(spark, status["file"])[1]))
         status["status"] = "Succeed"
         if missing:
@@ -133,19 +245,3 @@ def run_report(spark: SparkSession, catalog: Catalog, spec: ReportSpec, table: D
         status["status"] = "Failed"
         status["message"] = base64.b64encode(str(e).encode()).decode()
     return status
-
-
-def download(spark: SparkSession, dataset: DatasetSpec, origin, path: str, start: datetime, end: datetime) -> list[str]:
-    """Reads the interval files of a range, writes the typed table, drops old days; returns missing files."""
-    raw, missing = origin.read(spark, dataset, readers.interval_files(dataset, start, end))
-    materialise(raw, dataset, path)
-    evict(spark, path, dataset.cache_timeout)
-    return missing
-
-
-def load(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(path).drop(DAY)
-
-
-def new_dictionary(spark: SparkSession) -> DataFrame:
-    return dictionary.empty(spark)

@@ -19,6 +19,8 @@ def stream_statistics(spec: ReportSpec, dataset: DatasetSpec, stream: DataFrame,
     if bound.rtype is None or bound.rtype.kind not in SPANS or bound.distinct:
         raise ValueError("a stream needs a report type of fixed length and no distinct counts")
     kind = bound.rtype
+    if stream.schema[dataset.time_column].dataType.typeName() == "timestamp_ntz":  # watermarks are of instants
+        stream = stream.withColumn(dataset.time_column, F.col(dataset.time_column).cast("timestamp"))
     rows = engine.selected(bound, stream.withWatermark(dataset.time_column, late))
     # Windows count from Thursday 1970-01-01; Monday is four days later.
     start = f"{(4 + kind.first_day) % 7} days" if kind.kind == "weeks" else None

@@ -189,11 +189,18 @@ def test_dictionary(spark):
     more = spark.createDataFrame([(6, "aa")], "id int, word string").union(df)
     second, grown = enums.encode(more, "w", "word", words, F.col("word").rlike("^ ?[a-z]+$"), "none")
     assert {r.id: r.w for r in second.collect()} == {1: 2, 2: 1, 3: 0, 4: 0, 5: 2, 6: 3}
-    assert enums.lookup(grown, "w", ["a", "zz"]) == {"a": 1} and enums.search(grown, "w", "a*") == [1, 3]
+    assert enums.lookup(grown, "w", ["a", "zz"]) == {"a": 1} and sorted(r.id for r in enums.search(grown, "w", "a*").collect()) == [1, 3]
     back = enums.decode(second.withColumn("w", F.when(F.col("id") == 6, 99).otherwise(F.col("w"))), "w", grown)
     assert {r.id: r.w for r in back.collect()} == {1: "b", 2: "a", 3: "none", 4: "none", 5: "b", 6: "99"}
 
 
+def test_invalid_keys_without_a_default_are_an_error(spark):
+    df = spark.createDataFrame([("a",), (None,)], "word string")
+    out, _ = enums.encode(df, "w", "word", enums.empty(spark))
+    with pytest.raises(Exception, match="no valid key for w"):
+        out.collect()
+
+
 def test_unknown_labels(spark):
     df, words = enums.encode(spark.createDataFrame([("a",), ("b",)], "word string"), "w", "word", enums.empty(spark))
     spec = DatasetSpec("d", (ColumnSpec("w", LONG, enum="w", groupable=True),))
@@ -242,6 +249,8 @@ def test_prepare(spark):
 def test_formats(spark, tmp_path):
     (tmp_path / "a.csv").write_text('x,"say ""hi"""\n\ny\n')
     assert [tuple(r) for r in readers.read_csv(spark, str(tmp_path / "a.csv"), ("p", "q")).collect()] == [("x", 'say "hi"'), ("y", None)]
+    (tmp_path / "b.csv").write_text('1,"two\nlines, one ""cell"""\n2,z\n')
+    assert values(readers.read_csv(spark, str(tmp_path / "b.csv"), ("p", "q"))) == [("1", 'two\nlines, one "cell"'), ("2", "z")]
     (tmp_path / "a.jsonl").write_text('{"q": "2", "p": "1"}\n{"p": "3"}\n')
     out = readers.read_jsonline(spark, str(tmp_path / "a.jsonl"))
     assert out.columns == ["p", "q"] and [tuple(r) for r in out.collect()] == [("1", "2"), ("3", None)]
@@ -249,6 +258,15 @@ def test_formats(spark, tmp_path):
     store.write_jsonlistline(df, str(tmp_path / "lists"))
     back = readers.read_jsonlistline(spark, str(tmp_path / "lists"))
     assert back.columns == ["p", "q"] and values(back.fillna("")) == [("1", ""), ("3", "4")]
+    (tmp_path / "heads").mkdir()
+    for i in range(3):  # a row like the header stays, each file's first line goes
+        (tmp_path / "heads" / f"{i}.jsonl").write_text('["p", "q"]\n["p", "q"]\n["%d"]\n' % i)
+    assert values(readers.read_jsonlistline(spark, str(tmp_path / "heads")).fillna("")) == [("0", ""), ("1", ""), ("2", ""), *[("p", "q")] * 3]
+    store.write_csv(df, str(tmp_path / "one.csv"), single=True)
+    assert (tmp_path / "one.csv").read_text().splitlines()[0] == "p,q" and len((tmp_path / "one.csv").read_text().splitlines()) == 3
+    timed = spark.sql("select timestamp_ntz'2024-01-02 03:04:05' t, date'2024-01-02' d, interval '1' day i, 1.5 x")
+    store.write_jsonline(timed, str(tmp_path / "timed"))
+    assert readers.read_jsonline(spark, str(tmp_path / "timed"), ("t", "d", "x")).first() == ("2024-01-02T03:04:05", "2024-01-02", "1.5")
     store.write_jsonline(df, str(tmp_path / "objects"))
     assert values(readers.read_jsonline(spark, str(tmp_path / "objects"), ("p", "q")).fillna("")) == [("1", ""), ("3", "4")]
 
@@ -285,6 +303,173 @@ def test_download_and_report(spark, tmp_path):
         origin.read(spark, DatasetSpec("web", spec.columns, header=("who", "n")), [(datetime(2024, 1, 1), datetime(2024, 1, 2), "none.csv")])
 
 
+def hourly_files(home, hours):
+    home.mkdir(exist_ok=True)
+    for h in hours:
+        (home / f"20240101{h:02d}.csv").write_text("".join(f"u{i % 2},{i}\n" for i in range(4 + h)))
+
+
+WEB = DatasetSpec("web", (ColumnSpec("who", TEXT, groupable=True), ColumnSpec("n", LONG, statistical=True)), header=("who", "n"), ignore_missing_datafile=True)
+
+
+def test_hours_of_a_day_stay_when_others_come(spark, tmp_path):
+    """One by one, repeated and out of order is the same as one download of the range."""
+    hourly_files(tmp_path / "logs", range(4))
+    origin, day = readers.source("localfs", home=str(tmp_path / "logs")), datetime(2024, 1, 1)
+    for h in (2, 0, 3, 0, 1):
+        store.download(spark, WEB, origin, str(tmp_path / "parts"), day + timedelta(hours=h), day + timedelta(hours=h + 1))
+    store.download(spark, WEB, origin, str(tmp_path / "whole"), day, day + timedelta(hours=4))
+    own = lambda at: values(store.load(spark, str(tmp_path / at)).select("interval_start", "who", "n"))
+    assert own("parts") == own("whole") and len(own("parts")) == 4 + 5 + 6 + 7
+    # An hour whose file has become empty has no rows any more.
+    (tmp_path / "logs" / "2024010102.csv").write_text("")
+    store.download(spark, WEB, origin, str(tmp_path / "parts"), day + timedelta(hours=2), day + timedelta(hours=3))
+    assert len(own("parts")) == 4 + 5 + 7
+
+
+def test_stale_intervals_are_made_again(spark, tmp_path):
+    hourly_files(tmp_path / "logs", range(3))
+    origin, day, at = readers.source("localfs", home=str(tmp_path / "logs")), datetime(2024, 1, 1), str(tmp_path / "table")
+    store.download(spark, WEB, origin, at, day, day + timedelta(hours=2))
+    files = readers.interval_files(WEB, day, day + timedelta(hours=3))
+    assert store.stale(spark, at, files, None) == files[2:]
+    assert store.stale(spark, at, files, datetime.now() + timedelta(hours=1)) == files
+    (tmp_path / "logs" / "2024010100.csv").write_text("new,100\n")
+    store.download(spark, WEB, origin, at, day, day + timedelta(hours=3), only_stale=True)
+    assert "new" not in {r.who for r in store.load(spark, at).collect()} and store.load(spark, at).count() == 4 + 5 + 6
+    store.download(spark, WEB, origin, at, day, day + timedelta(hours=3), requested=datetime.now() + timedelta(hours=1), only_stale=True)
+    assert "new" in {r.who for r in store.load(spark, at).collect()} and store.load(spark, at).count() == 1 + 5 + 6
+
+
+def test_eviction_deletes_old_days(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "1", datetime(2024, 1, d), 0) for d in range(1, 6)], "who string, n string, interval_start timestamp_ntz, row_no bigint")
+    store.materialise(rows, WEB, str(tmp_path / "t"))
+    assert store.evict(spark, str(tmp_path / "t"), 2) == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert store.load(spark, str(tmp_path / "t")).count() == 2 and not (tmp_path / "t" / "day=2024-01-02").exists()
+
+
+def test_many_files_are_one_scan(spark, tmp_path):
+    hourly_files(tmp_path / "logs", range(12))
+    origin, day = readers.source("localfs", home=str(tmp_path / "logs")), datetime(2024, 1, 1)
+    rows, missing = origin.read(spark, WEB, readers.interval_files(WEB, day, day + timedelta(hours=13)))
+    assert missing == ["2024010112.csv"] and rows._jdf.queryExecution().optimizedPlan().toString().count("Relation ") == 1
+    assert {r.interval_start.hour: r["count"] for r in rows.groupBy("interval_start").count().collect()} == {h: 4 + h for h in range(12)}
+
+
+def test_catalogue_comes_back_from_its_file(spark, tmp_path):
+    column = ColumnSpec("v", DType(1203, dimension=2), source="raw", transformer=Transform("str2unixtime", {"pattern": "%Y"}), include=("v > 1",), groupable=True)
+    spec = DatasetSpec("d", (column, *SPEC.columns), header=("a", "b"))
+    report = ReportSpec("r", "d", datetime(2024, 1, 1), None, "Daily", conditions=(("user", "in", (1, 2)),), group_by=("kind",), sort_by=(("kind", "asc"),), resultset=(("*", "count", None),), id=3, options={"limit": 5})
+    catalog = store.Catalog({"d": spec}, {3: report}, {9: (3, datetime(2024, 1, 1), datetime(2024, 1, 8))}, {3: {"status": "Succeed", "size": 4}})
+    catalog.save(spark, str(tmp_path / "c.json"))
+    back = store.Catalog.load(spark, str(tmp_path / "c.json"))
+    assert back.datasets == catalog.datasets and back.instances == catalog.instances and back.status == catalog.status
+    assert back.instance(9) == catalog.instance(9).__class__(**{**catalog.instance(9).__dict__, "conditions": (("user", "in", [1, 2]),)})
+
+
+def test_ipv6_in_the_jvm(spark):
+    import ipaddress
+
+    texts = ["2001:db8::1", "2001:DB8:0:0::ff", "::", "::1", "1::", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7::", "::ffff:10.1.2.3", "fe80::1:2", "1:2:3", "1::2::3", ":::", ":1::2", "12345::", "g::", "1:2:3:4:5:6:7:8:9", "10.1.2.3", "::10.1.2.300", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, ip string")
+    got = {r.i: r.d for r in df.select("i", network.ipv6_digits(F.col("ip")).alias("d")).collect()}
+    for i, t in enumerate(texts):
+        try:
+            want = f"{int(ipaddress.IPv6Address(t)):032x}"
+        except (ValueError, TypeError):
+            want = None
+        assert got[i] == want, (t, got[i], want)
+    plan = df.where(network.in_ranges(F.col("ip"), ["2001:db8::/32"]))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_literals(spark):
+    df = spark.createDataFrame([("[error] x",), ("{id}",), ('"q"',), ("[1, 2]",)], "kind string")
+    n = lambda *c: stats(spark, df.selectExpr("1L as user", "kind", "1.0D as value", "timestamp_ntz'2024-01-01' as ts"), conditions=(c,), resultset=(("*", "count", "n"),)).first().n
+    assert n("kind", "startswith", "[error") == 1 and n("kind", "==", "{id}") == 1 and n("kind", "==", "[1, 2]") == 1 and n("kind", "in", '["{id}", "[1, 2]"]') == 2
+    assert n("kind", "==", '"{id}"') == 1 and n("kind", "mcontain", "[bad json") == 0
+
+
+def test_pattern_is_a_semi_join(spark):
+    df, words = enums.encode(spark.createDataFrame([("a",), ("b",)], "word string"), "w", "word", enums.empty(spark))
+    spec = DatasetSpec("d", (ColumnSpec("w", LONG, enum="w"),))
+    out = engine.run_statistics(spark, ReportSpec("r", "d", conditions=(("w", "pattern", "a*"),), resultset=(("*", "count", "n"),)), spec, df, words)[0]
+    assert "LeftSemi" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.fixture
+def audit_service():
+    """A paged service: three records a page, newest first on /desc, and a token for one client."""
+    import json
+    import threading
+    import urllib.parse
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    records = [{"id": str(i), "activityDateTime": f"2024-01-01T{i:02d}:30:00Z"} for i in range(10)]
+    seen = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def log_message(self, *a):
+            pass
+
+        def answer(self, code, body):
+            self.send_response(code)
+            self.end_headers()
+            self.wfile.write(json.dumps(body).encode())
+
+        def do_POST(self):
+            form = urllib.parse.parse_qs(self.rfile.read(int(self.headers["Content-Length"])).decode())
+            ok = form == {"grant_type": ["client_credentials"], "client_id": ["me"], "client_secret": ["key"], "scope": ["all"]}
+            self.answer(200 if ok else 401, {"access_token": "t0"} if ok else {})
+
+        def do_GET(self):
+            url = urllib.parse.urlparse(self.path)
+            query = urllib.parse.parse_qs(url.query)
+            seen.append(self.headers.get("Authorization"))
+            if seen[-1] != "Bearer t0":
+                return self.answer(401, {})
+            low, high = query["$filter"][0].replace("Z", "").split(" and ")
+            own = [r for r in records if low.split()[-1] <= r["activityDateTime"] < high.split()[-1]]
+            own = own[::-1] if url.path == "/desc" else own
+            at = int(query.get("at", ["0"])[0])
+            page = {"value": own[at : at + 3]}
+            if at + 3 < len(own):
+                page["@odata.nextLink"] = f"http://127.0.0.1:{self.server.server_port}{url.path}?{urllib.parse.urlencode({'$filter': query['$filter'][0], 'at': at + 3})}"
+            return self.answer(200, page)
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{server.server_port}", seen
+    server.shutdown()
+
+
+def test_audit_service(spark, audit_service):
+    url, _ = audit_service
+    spark.dataSource.register(audit.AuditLog)
+    base = {"start": "2024-01-01T00:00:00", "end": "2024-01-01T09:00:00"}
+    own = {"tokenurl": f"{url}/token", "clientid": "me", "clientsecret": "key", "scope": "all"}
+    for path, more in (("asc", own), ("desc", {**own, "ascending": "false"}), ("asc", {"token": "t0"}), ("asc", {**own, "slices": "3"})):
+        rows = spark.read.format("auditlog").options(url=f"{url}/{path}", **base, **more).load().collect()
+        assert [r.time[11:13] for r in rows] == [f"{h:02d}" for h in range(9)]
+    with pytest.raises(Exception, match="401"):
+        spark.read.format("auditlog").options(url=f"{url}/asc", **base, token="wrong").load().collect()
+
+
+def test_late_rows_are_dropped_by_the_watermark(spark, tmp_path):
+    schema, home = "ts timestamp, user bigint, kind string, value double", str(tmp_path / "in")
+    put = lambda *rows: spark.createDataFrame([(datetime(2024, 1, 1, h, m), 1, k, 1.0) for h, m, k in rows], schema).coalesce(1).write.mode("append").parquet(home)
+    put((0, 5, "a"), (1, 0, "a"), (3, 0, "a"))
+    out = stream_statistics(ReportSpec("r", "log", rtype="Hourly", group_by=("kind",), resultset=(("*", "count", "n"),)), SPEC, spark.readStream.schema(schema).parquet(home), late="30 minutes")
+
+    def run():
+        out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", str(tmp_path / "marks")).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+        return sorted((r.request_time.hour, r["count"]) for r in spark.read.schema(out.schema).parquet(str(tmp_path / "out")).collect())
+
+    assert run() == [(0, 1), (1, 1)]  # the watermark is 02:30
+    put((0, 50, "a"), (2, 10, "a"), (2, 40, "a"), (5, 0, "a"))  # too late, still in its bucket's time, in time, later
+    assert run() == [(0, 1), (1, 1), (2, 2), (3, 1)]
+
+
 def test_stream(spark, log, tmp_path):
     log.withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("ts timestamp, user bigint, kind string, value double").parquet(str(tmp_path / "in"))
