@@ -12,7 +12,7 @@ from quarrymill.functions import network, transforms
 from quarrymill.functions.types import DType, parse
 from quarrymill.operators import dictionary as enums
 from quarrymill.operators import prepare
-from quarrymill.operators.intervals import INTERVALS, interval
+from quarrymill.operators.intervals import INTERVALS, report_range
 from quarrymill.plans import engine
 from quarrymill.plans.spec import ColumnSpec, DatasetSpec, ReportSpec, Transform
 
@@ -210,15 +210,22 @@ _FLOORS = {
     "SaturdayBasedWeekly": "date_trunc('week', ts + INTERVAL 2 DAY) - INTERVAL 2 DAY", "SundayBasedWeekly": "date_trunc('week', ts + INTERVAL 1 DAY) - INTERVAL 1 DAY", "Monthly": "date_trunc('month', ts)",
 } | {f"{n}BasedFourWeekly": f"DATE '{a}' + CAST(floor(date_diff('day', DATE '{a}', CAST(ts AS DATE)) / 28.0) AS INTEGER) * 28" for n, a in (("Monday", "2024-01-01"), ("Saturday", "2023-12-30"), ("Sunday", "2023-12-31"))}
 
+def _four_weeks(kind) -> str:
+    low, high = report_range(kind, START, END, False)
+    return f" WHERE ts >= TIMESTAMP '{low}' AND ts < TIMESTAMP '{high}'" if "FourWeekly" in kind.name else ""
+
+
 for _i in INTERVALS:
     def _make_bucket(name):
         def f(s, d):
             spec = DatasetSpec("events", EVENTS.columns, time_column="ts", data_interval="Minutely")
-            return stats(spec, events(s, d), start=START, end=END, rtype=name, periodic=False, group_by=("event_type",), sort_by=(("event_type", "asc"),), resultset=(*_N, ("value", "sum", "total")))
+            # Four-week types count from the range's start.
+            span = {"start": START, "end": END, "periodic": False} if "FourWeekly" in name else {}
+            return stats(spec, events(s, d), **span, rtype=name, group_by=("event_type",), sort_by=(("event_type", "asc"),), resultset=(*_N, ("value", "sum", "total")))
 
         return f
 
-    query("q_bucket_" + _i.name.lower(), f"SELECT strftime(CAST({_FLOORS[_i.name]} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS request_time, event_type, count(*) AS n, {_SUM} AS total FROM events GROUP BY 1, 2")(_make_bucket(_i.name))
+    query("q_bucket_" + _i.name.lower(), f"SELECT strftime(CAST({_FLOORS[_i.name]} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS request_time, event_type, count(*) AS n, {_SUM} AS total FROM events{_four_weeks(_i)} GROUP BY 1, 2")(_make_bucket(_i.name))
 
 
 @query("q_bucket_label", "SELECT strftime(ts, '%Y-%m') AS request_time, count(*) AS n FROM events GROUP BY 1")

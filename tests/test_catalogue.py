@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from quarrymill.plans import catalogue
+from quarrymill.plans import catalogue, catalogue_files  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
