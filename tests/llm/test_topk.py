@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pytest
 from quarrymill.llm import topk as op
+from quarrymill.llm.common import Scratch
 
 
 def brute(rows, queries, k):
@@ -36,6 +37,26 @@ def test_against_all_products(spark, kind):
     assert run(spark, rows, queries, 10) == brute(rows, queries, 10)
 
 
+@pytest.mark.parametrize("length", ["unit", "spread"])
+def test_queries_skip_cones_that_they_cannot_reach(spark, length):
+    """Vectors of a few directions: the same answers, from fewer blocks."""
+    r = np.random.default_rng(5)
+    centres = r.normal(size=(12, 16))
+    v = centres[np.arange(1200) % 12] + 0.05 * r.normal(size=(1200, 16))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    if length == "spread":
+        v *= np.exp(0.3 * r.normal(size=(1200, 1)))
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    queries = set(range(0, 1200, 40))
+    asked = df.where(df.vec_id.isin(list(queries)))
+    got = op.top_k(df, asked, 10, block_bytes=16 * 8 * 60, pivot_rows=100)
+    assert sorted(tuple(x) for x in got.select("query_id", "rank", "vec_id", "score").collect()) == brute(rows, queries, 10)
+    sent, held = op._sent_and_held(spark, Scratch(spark), df, asked, 10, op.SCALE, 16 * 8 * 60, 100)
+    blocks = held.select("dim", "cls", "pivot", "block").distinct().count()
+    assert sent.count() <= 0.4 * blocks * len(queries)
+
+
 def test_few_and_none(spark):
     rows = [(1, [0.5]), (2, [0.25])]
     assert run(spark, rows, {1, 2}, 10) == brute(rows, {1, 2}, 10) == [(1, 1, 2, 512 * 256), (2, 1, 1, 512 * 256)]
