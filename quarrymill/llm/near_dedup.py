@@ -188,13 +188,13 @@ def _blocks(n: str, block: int) -> F.Column:
     return F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum(n) * 8 / BLOCK_BYTES)).cast("int")
 
 
-def _parts(families: DataFrame, turn: int, block: int, scratch: Scratch) -> DataFrame:
-    """(node, family, part) of every class, and of the hubs one row for each part of their family."""
+def _placed(families: DataFrame, turn: int, block: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """((node, family, part) of every class, the same of what is sent: the classes, and each hub once for each part of its family)."""
     sizes = scratch.put(families.groupBy("family").agg(_blocks("n", block).alias("parts")), f"sizes{turn}")
     own = F.pmod(F.xxhash64("node", F.lit(turn)), F.col("parts")).cast("int").alias("part")
-    dealt = families.where("node <> family").join(sizes, "family").select("node", "family", own)
+    placed = scratch.put(families.join(sizes, "family").select("node", "family", own), f"placed{turn}")
     hubs = sizes.select(F.col("family").alias("node"), "family", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    return scratch.put(dealt.union(hubs), f"parts{turn}")
+    return placed, placed.where("node <> family").union(hubs)
 
 
 def links_within(sets: list[np.ndarray], percent: int, split: int | None = None) -> list[tuple[int, int]]:
@@ -279,15 +279,13 @@ def _linked(text: DataFrame, classes: DataFrame, members: DataFrame, percent: in
     open_, links = members, None
     for turn in range(rounds):
         hubs, families = _families(open_, turn, scratch)
-        parts = _parts(families, turn, block, scratch)
-        new = scratch.put(compare(parts.withColumn("side", F.lit(0)), "family", "part"), f"links{turn}")
+        placed, sent = _placed(families, turn, block, scratch)
+        new = scratch.put(compare(sent.withColumn("side", F.lit(0)), "family", "part"), f"links{turn}")
         if links is None or not new.isEmpty():
             links = new if links is None else links.union(new)
             labels = connected_components(links, scratch, f"cc{turn}")
-        # A hub has a part of its own only as a member of another's family.
-        placed = families.join(parts, ["node", "family"], "left").groupBy("node").agg(F.first("family").alias("family"), F.min("part").alias("part"))
-        state = open_.select("band", "node", "n").join(placed, "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        state = scratch.put(state.join(hubs, "band"), f"state{turn}")
+        named = placed.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        state = scratch.put(open_.select("band", "node", "n").join(named, "node").join(hubs, "band"), f"state{turn}")
         other = F.col("node") != F.col("hub")
         part = F.when(other, F.col("part"))
         bands = state.groupBy("band").agg(
@@ -296,9 +294,12 @@ def _linked(text: DataFrame, classes: DataFrame, members: DataFrame, percent: in
         # In a star the hub has met all others of its band; if they were in one part, they have met each other.
         bands = scratch.put(bands.where("mixed and not (star and met)").select("band", "shared", "star"), f"bands{turn}")
         open_ = scratch.put(state.select("band", "node", "n", "hub").join(bands, "band").where("not star or node <> hub").select("band", "node", "n", "shared"), f"open{turn}")
-        scratch.drop(f"hubs{turn}", f"families{turn}", f"sizes{turn}", f"parts{turn}", f"state{turn}", f"bands{turn}", *([f"open{turn - 1}"] if turn else []))
-        if open_.isEmpty():
+        scratch.drop(f"hubs{turn}", f"families{turn}", f"sizes{turn}", f"placed{turn}", f"state{turn}", f"bands{turn}", *([f"open{turn - 1}"] if turn else []))
+        largest = open_.agg(F.max("shared")).first()[0]
+        if largest is None:
             return labels
+        if largest <= block:
+            break  # every band that is left is one block
 
     sizes = scratch.put(open_.groupBy("band").agg(_blocks("n", block).alias("blocks")), "blocks")
     sent = open_.select("band", "node").join(sizes, "band").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

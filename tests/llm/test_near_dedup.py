@@ -95,8 +95,8 @@ def test_a_large_family_sends_rows_in_proportion(spark, monkeypatch):
             m.setattr(Scratch, "drop", lambda self, *names: None)
             out = op.near_duplicates(df, 80, block=64)
             assert {row.component_id for row in out.collect()} == {0}
-            sent[n] = {k: v.count() for k, v in made.items() if k.startswith(("parts", "links", "open", "blocks"))}
-    rows = {n: sum(c for k, c in v.items() if k.startswith(("parts", "links"))) for n, v in sent.items()}
+            sent[n] = {k: v.count() for k, v in made.items() if k.startswith(("placed", "links", "open", "blocks"))}
+    rows = {n: sum(c for k, c in v.items() if k.startswith(("placed", "links"))) for n, v in sent.items()}
     assert rows[4000] <= 12 * rows[500] and rows[4000] <= 4 * 4001, sent
     assert "blocks" not in sent[4000], sent
 
