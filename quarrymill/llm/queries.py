@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarrymill.llm import chat, media, mixing, near_dedup, packing, quality, sharding, substring_dedup, topk, toxicity
+from quarrymill.llm import chat, media, mixing, near_dedup, packing, quality, sharding, substring_dedup, token_files, topk, toxicity
 
 QUERIES = {
     "op1_norm_bucketed_topk": topk.op1_norm_bucketed_topk,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_ipf_mixing": mixing.op8_ipf_mixing,
     "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
+    "op11_token_files": token_files.op11_token_files,
     # Operator 4 at a limit that parts small tables into many shards, and its directory.
     "shards_of_64k": sharding.small_shards,
     "shard_directory_of_64k": sharding.small_directory,
