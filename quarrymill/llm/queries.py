@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarrymill.llm import chat, media, mixing, near_dedup, packing, quality, ranked_search, sharding, substring_dedup, token_files, topk, toxicity
+from quarrymill.llm import chat, media, mixing, near_dedup, packing, prefix_trie, quality, ranked_search, sharding, substring_dedup, token_files, topk, toxicity
 
 QUERIES = {
     "op1_norm_bucketed_topk": topk.op1_norm_bucketed_topk,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
     "op11_token_files": token_files.op11_token_files,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
     "op13_threshold_search": ranked_search.op13_threshold_search,
     # Operator 4 at a limit that parts small tables into many shards, and its directory.
     "shards_of_64k": sharding.small_shards,
@@ -28,6 +29,7 @@ ORACLES: dict[str, str] = {
     "op5_minhash_near_dedup": near_dedup.ORACLE,
     "op7_substring_dedup": substring_dedup.ORACLE,
     "op9_chat_formatting": chat.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
     "op13_threshold_search": ranked_search.ORACLE,
     "shards_of_64k": sharding.SMALL_ORACLE,
     "shard_directory_of_64k": sharding.DIRECTORY_ORACLE,

@@ -27,6 +27,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -163,7 +164,7 @@ def _segments(batches, n_docs: int, n_terms: int, size: int, limit: int):
     for b in batches:
         for a in range(0, b.num_rows, 1000):
             part = b.slice(a, 1000)
-            part = part.filter(pa.compute.greater(pa.compute.list_value_length(part.column("terms")), 0))
+            part = part.filter(pc.greater(pc.list_value_length(part.column("terms")), 0))
             if part.num_rows:
                 held.append(part)
                 held_postings += len(part.column("terms").flatten())

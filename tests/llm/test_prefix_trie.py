@@ -1,0 +1,149 @@
+import hashlib
+import zlib
+from collections import defaultdict
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+from quarrymill.llm import prefix_trie as op
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string, depth int, path string, n_convs string"
+
+
+def brute(rows):
+    """By plain code: all nodes as tuples."""
+    own = defaultdict(list)
+    for c, turn, role, text, *_ in rows:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [x[2:] for x in sorted(v)] for c, v in own.items()}
+    members, ends, chars = defaultdict(list), defaultdict(list), {(): 0}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        base = c - int(np.fmod(c, 100))
+        whole = own.get(base, [])[:h] + turns[h:]
+        for d in range(len(whole) + 1):
+            members[tuple(whole[:d])].append(c)
+        for d, x in enumerate(whole):
+            chars[tuple(whole[: d + 1])] = len(x[1])
+        ends[tuple(whole)].append(c)
+    children, leaves, saved = defaultdict(int), defaultdict(int), defaultdict(int)
+    for key in members:
+        if key:
+            children[key[:-1]] += 1
+    for key, m in members.items():
+        for d in range(len(key) + 1):
+            leaves[key[:d]] += not children[key]
+            saved[key[:d]] += (len(m) - 1) * chars[key]
+    hexed = lambda k: hashlib.sha256(",".join(map(str, sorted(ends[k]))).encode()).hexdigest()
+    return sorted((min(m), len(k), min(members[k[:-1]]) if k else None, len(m), children[k], leaves[k], saved[k], hexed(k)) for k, m in members.items())
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame([(*r, 1, "p", "n") for r in rows], SCHEMA).repartition(3)
+
+
+def _got(df):
+    return sorted(tuple(r) for r in df.select(*[c.split()[0] for c in op.NODES.split(", ")]).collect())
+
+
+def _random(seed, convs, words, longest):
+    r = np.random.default_rng(seed)
+    rows = []
+    for c in r.choice(4 * convs, convs, replace=False).tolist():
+        n = int(r.integers(1, longest))
+        rows += [(c, t, ("user", "assistant")[t % 2], "x" * int(r.integers(0, words))) for t in range(n)]
+    return rows
+
+
+ODD = [
+    (0, 1, "user", "hi"), (0, 2, "assistant", "yes"), (0, 3, "user", "hi"), (1, None, "user", "hi"), (1, 0, None, "b"), (1, 0, None, "a"), (1, 0, None, "a"), (2, 1, "user", None),
+    (7, 1, "user", ""), (None, 1, "user", "lost"), (105, 5, "u:", "v"), (106, 5, "u", ":v"), (-5, 1, "user", "hi"), (-101, 1, "x", "é日"), (300, 1, "r", "t" * 5000), (301, 1, "r", "t" * 5000),
+]
+
+
+@pytest.mark.parametrize("shard_nodes", [1, 100_000])
+def test_odd_cases(spark, shard_nodes):
+    rows = ODD + [(c, t, "u", "same") for c in range(100, 130) for t in range(7)]
+    assert _got(op.nodes(*op.trie_of(_frame(spark, rows), shard_nodes))) == brute(rows)
+
+
+@pytest.mark.parametrize(("seed", "shard_nodes", "longest"), [(1, 3, 9), (2, 20, 30), (3, 100_000, 6)])
+def test_random_conversations(spark, seed, shard_nodes, longest):
+    rows = _random(seed, 150, 3, longest)
+    shards, upper = op.trie_of(_frame(spark, rows), shard_nodes)
+    assert shards.agg(F.max("n_nodes")).first()[0] <= shard_nodes
+    assert _got(op.nodes(shards, upper)) == brute(rows)
+
+
+@pytest.mark.parametrize("shard_nodes", [10, 30])
+def test_many_copies_and_long_chains(spark, shard_nodes):
+    """A common conversation of many turns: its chain is parted by depth, its ids are joined in runs."""
+    rows = [(100 * c, t, "u", f"turn {t}") for c in range(60) for t in range(40)] + [(7, t, "u", f"turn {t}") for t in range(90)]
+    shards, upper = op.trie_of(_frame(spark, rows), shard_nodes)
+    assert (shards.agg(F.max("n_nodes")).first()[0] or 0) <= shard_nodes and upper.count() > 20
+    assert _got(op.nodes(shards, upper)) == brute(rows)
+
+
+def test_ids_in_runs(spark):
+    ids = [-9, -8, -1, 0, 1, 7, 8, 9, 10, 100, 10**12]
+    steps = spark.createDataFrame([(i, bytearray(b"p" * 16), True) for i in reversed(ids)] + [(5, bytearray(b"q" * 16), True), (6, bytearray(b"q" * 16), False)], "conv_id bigint, path binary, is_end boolean").repartition(3)
+    got = {bytes(r.path)[:1]: r.ends_sha256 for r in op.ends_of(steps, id_bits=2).collect()}
+    assert got == {b"p": hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), b"q": hashlib.sha256(b"5").hexdigest()}
+
+
+def test_louds():
+    r = np.random.default_rng(4)
+    for n in (1, 2, 50, 400):
+        # Any tree in level order: each node's parent is none before that of the node before it.
+        parent = np.concatenate([[-1], np.maximum.accumulate([int(r.integers(0, i)) for i in range(1, n)])]).astype(int)
+        degree = np.bincount(parent[1:], minlength=n)
+        labels = b"".join(int(i).to_bytes(16, "big") for i in range(n))
+        bits = op.louds_bits(degree)
+        assert len(bits) == 2 * n + 1 and bits.sum() == n
+        trie = op.Louds(np.packbits(bits).tobytes(), labels, n)
+        assert trie.parent.tolist() == parent.tolist() and trie.degree.tolist() == degree.tolist()
+        assert all(list(trie.children(i)) == np.flatnonzero(parent == i).tolist() for i in range(n))
+        depth = [0]
+        for i in range(1, n):
+            depth.append(depth[parent[i]] + 1)
+        assert [k for k, s in enumerate(trie.levels()) for _ in range(*s.indices(n))] == depth
+        at, way = n - 1, []
+        while at:
+            way.append(labels[16 * at : 16 * at + 16])
+            at = int(parent[at])
+        assert trie.find(way[::-1]) == n - 1 and trie.find([*way[::-1], b"?" * 16]) is None
+
+
+def test_a_conversation_is_found_in_its_shard(spark):
+    rows = _random(9, 60, 4, 8)
+    turns = op.numbered_turns(_frame(spark, rows))
+    starts = turns.where("pos = 1").select("conv_id", F.lit(0).alias("pos"), F.lit(None).cast("binary").alias("label"), F.lit(0).cast("long").alias("chars"))
+    shards, _ = op.build(turns.unionByName(starts))
+    own = defaultdict(list)
+    for r in turns.orderBy("conv_id", "pos").collect():
+        own[r.conv_id].append(bytes(r.label))
+    tries = [(r, op.Louds(r.louds, bytes(r.labels), r.n_nodes)) for r in shards.collect()]
+    for labels in own.values():
+        row, trie = next((r, t) for r, t in tries if bytes(r.labels)[:16] == labels[0])
+        at = trie.find(labels[1:])
+        assert at is not None and row.convs[at] == sum(x[: len(labels)] == labels for x in own.values())
+
+
+def test_groups_cross_batches():
+    batch = lambda *x: pa.RecordBatch.from_pydict({"top": list(x)})
+    assert [t.column("top").to_pylist() for t in op._groups([batch(1, 1), batch(1, 2), batch(), batch(2), batch(3)], "top")] == [[1, 1, 1], [2, 2], [3]]
+
+
+def test_empty_table(spark):
+    assert op.nodes(*op.trie_of(_frame(spark, []))).count() == 0
+
+
+def test_sql(spark):
+    con = duckdb.connect()
+    con.execute("create view conversations as from '/root/testdata/sf0.001/conversations.parquet'")
+    cols = ", ".join(c.split()[0] for c in op.NODES.split(", "))
+    want = sorted(con.sql(f"select {cols} from ({op.ORACLE})").fetchall())
+    assert _got(op.op12_prefix_trie(spark, "/root/testdata/sf0.001")) == want and want
