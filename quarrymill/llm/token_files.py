@@ -12,8 +12,8 @@ manifest, a Parquet table beside the files. Files are written under another name
 its own file by the same bytes. The folder is on whatever file system its URI names (local or mounted, or one that pyarrow knows); on local and
 mounted ones files are mapped, elsewhere read by ranges.
 
-Texts are encoded in chunks between single spaces, each by the tokenizers library; a bounded cache keeps the ids of chunks. This is exact for vocabularies
-whose pre-tokens never hold a space and that drop white space: ``encoder`` refuses others.
+Texts are encoded in chunks between spaces and line breaks, each once, by the tokenizers library; a bounded cache keeps the ids of chunks. This is exact for
+vocabularies whose pre-tokens never hold a space and that drop white space: ``SpacedEncoder`` refuses others.
 
 Defined results: null text counts as empty and has only the closing id; null doc_ids come before all others; rows that share a doc_id come in the order of
 their texts' hashes; repeated rows are written each on its own; an empty table gives an empty manifest and no files; columns other than doc_id and text
@@ -24,8 +24,11 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import sys
 import uuid
 import zlib
+from array import array
 from contextlib import contextmanager
 from functools import partial
 from itertools import chain
@@ -55,12 +58,17 @@ def vocabulary_path() -> str:
 class SpacedEncoder:
     """Ids of texts by a ``tokenizers`` file, equal to those of whole texts at its defaults.
 
-    A space ends a pre-token and is dropped, composes with nothing and changes no character beside it, so a text's ids
-    are those of its chunks between spaces. Chunks go to the library in batches; those of up to ``CHUNK`` characters are kept.
+    A space or line break ends a pre-token and is dropped, composes with nothing and changes no character beside it, so a text's ids
+    are those of its chunks between them. Each chunk is encoded once, and up to ``LIMIT`` chunks are kept: signs after a last
+    letter or digit are a pre-token apart; a word of Latin letters is one pre-token, which normalisation only puts in lower case, so it goes straight to the
+    library's model; all else goes through the whole library.
     """
 
-    LIMIT = 250_000
-    CHUNK = 100
+    LIMIT = 400_000
+    #: Signs that neither begin a contraction nor are in an added token.
+    SIGNS = ".,;:!?&%#$*()"
+    WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+    SIGNED = re.compile("(?s:.*)[0-9A-Za-zÀ-ÖØ-öø-ÿ]").fullmatch
 
     def __init__(self, json_file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
@@ -68,35 +76,64 @@ class SpacedEncoder:
 
         with open(json_file, encoding="utf-8") as f:
             spec = json.load(f)
-        if any(t.get(flag) or " " in t["content"] for t in spec.get("added_tokens") or [] for flag in ("single_word", "lstrip", "rstrip")):
-            raise ValueError("added tokens that take in white space or whole words aren't supported")
+        if any(t.get(flag) or t["content"][-1:] in " \n" + self.SIGNS or " " in t["content"] for t in spec.get("added_tokens") or [] for flag in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("added tokens that take in white space, signs or whole words aren't supported")
         self.tokenizer = tokenizers.Tokenizer.from_file(json_file)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        probe = "One two  don't x1 , y", "One|two||don't|x1|,|y".split("|")
-        ids = self.tokenizer.encode(probe[0], add_special_tokens=False).ids
-        if ids != list(chain.from_iterable(self.tokenizer.encode(c, add_special_tokens=False).ids for c in probe[1])):
+        self.kind = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+        self.tokenize = self.tokenizer.model.tokenize
+        self.code = "H" if self.kind == "<u2" else "I"  # of an array in this machine's byte order
+        if sys.byteorder != "little":
+            raise RuntimeError("the files are written as arrays of a little-endian machine")
+        small = [chr(c) for c in (*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x100))]
+        self.bytes_of = {ord(c): "".join(x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(c)) for c in small}
+        self.numbers, self.packed = {}, []
+        probe = "One two,  don't\nx1. , y Été É*"
+        if self.library(probe) != b"".join(self.packed[self.number(c)] for c in probe.replace("\n", " ").split(" ")):
             raise ValueError("this vocabulary's ids depend on the spaces between words")
-        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _packed(self, chunks: list[str]) -> list[bytes]:
-        kind = f"<u{self.width}"
-        return [np.array(e.ids, kind).tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned ids of ``width`` bytes, for each text."""
-        if len(self.known) > self.LIMIT:
-            self.known = {"": b""}
-        parts = [t.split(" ") for t in texts]
-        fresh = list({c for p in parts for c in p} - self.known.keys())
-        now = self.known
-        if fresh:
-            got = dict(zip(fresh, self._packed(fresh)))
-            self.known.update((c, x) for c, x in got.items() if len(c) <= self.CHUNK)
-            if len(max(fresh, key=len)) > self.CHUNK:
-                now = self.known | got
-        return [b"".join(map(now.__getitem__, p)) for p in parts]
+
+    def library(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def word(self, small: str) -> bytes:
+        """The ids of a word of small letters, written as the model's signs for bytes."""
+        return array(self.code, [t.id for t in self.tokenize(small)]).tobytes()
+
+    def number(self, chunk: str) -> int:
+        """The place of a chunk's ids in ``packed``."""
+        at = self.numbers.get(chunk)
+        if at is None:
+            word = chunk.rstrip(self.SIGNS)
+            if chunk.isalpha() and chunk.isascii():
+                ids = self.word(chunk.lower())
+            elif self.WORD(chunk):
+                ids = self.word(chunk.lower().translate(self.bytes_of))
+            elif len(word) < len(chunk) and self.SIGNED(word):
+                ids = self.packed[self.number(word)] + self.packed[self.number(chunk[len(word) :])]
+            else:
+                ids = self.library(chunk)
+            at = self.numbers[chunk] = len(self.packed)
+            self.packed.append(ids)
+        return at
+
+    def encode(self, texts: list[str], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and each text's number of ids; with ``end_id`` after each text, if given."""
+        if len(self.packed) > self.LIMIT:
+            self.numbers, self.packed = {}, []
+        chunks = [t.replace("\n", " ").split(" ") for t in texts]
+        for c in set(chain.from_iterable(chunks)).difference(self.numbers):
+            self.number(c)
+        count = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        use = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(chunks)), np.int64, int(count.sum()))
+        pieces = [*self.packed, b"" if end_id is None else np.array([end_id], self.kind).tobytes()]
+        use, count = np.insert(use, np.cumsum(count), len(self.packed)), count + 1
+        flat = np.frombuffer(b"".join(pieces), self.kind)
+        length = np.fromiter(map(len, pieces), np.int64, len(pieces)) // flat.itemsize
+        start, n = (np.cumsum(length) - length)[use], length[use]
+        after = np.cumsum(n)
+        ids = flat[np.repeat(start - after + n, n) + np.arange(int(n.sum()))]
+        return ids, np.diff(after[np.cumsum(count) - 1], prepend=0)
 
 
 _encoders: dict[str, SpacedEncoder] = {}
@@ -150,7 +187,6 @@ class Folder:
 
 def _write_part(batches, uri: str, json_file: str, end_id: int):
     enc, folder, part = encoder(json_file), Folder(uri), TaskContext.get().partitionId()
-    end = np.array([end_id], f"<u{enc.width}").tobytes()
     lengths, docs, nulls = [], [], 0
     slices = text_slices(batches)
     if (first := next(slices, None)) is None:
@@ -160,13 +196,13 @@ def _write_part(batches, uri: str, json_file: str, end_id: int):
             ids = batch.column(batch.schema.get_field_index("doc_id"))
             nulls += ids.null_count
             docs.append(ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
-            data = [x + end for x in enc.encode([t.decode("utf-8", "replace") for t in texts_of(batch)])]
-            lengths.append(np.array([len(x) // enc.width for x in data], "<u8"))
-            out.write(b"".join(data))
+            data, length = enc.encode([t.decode("utf-8", "replace") for t in texts_of(batch)], end_id)
+            lengths.append(length.astype("<u8"))
+            out.write(data)
     every = np.concatenate(lengths)
     folder.save(f"{part:05d}.doc", np.concatenate(docs).tobytes())
     folder.save(f"lengths/{part:05d}", every.tobytes())
-    row = [[part], [len(every)], [nulls], [int(every.sum())], [enc.width]]
+    row = [[part], [len(every)], [nulls], [int(every.sum())], [int(enc.kind[-1])]]
     yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()))], ["part", "n_docs", "n_null", "n_tokens", "width"])
 
 
