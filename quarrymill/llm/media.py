@@ -2,7 +2,7 @@
 
 Reading: tags (ID3v2 before, ID3v1 and APE after) are parsed and skipped, frame headers are found again after
 foreign bytes (a header counts when the frame it announces is followed by another of the same stream, by a tag or by
-the end), variable-bitrate tables (Xing, Info, VBRI) are read, checksums of protected frames are verified, and
+the end; directly after a frame one of the same stream whose checksum, if it has one, is right needs nothing after it), variable-bitrate tables (Xing, Info, VBRI) are read, checksums of protected frames are verified, and
 the exact duration (samples over the sample rate) and every frame's byte offset are kept.
 
 Writing: a payload is stored losslessly in MPEG-1 Layer I frames at 32 kHz, mono, protected. Layer I gives each of
@@ -19,6 +19,7 @@ are stored each on its own; empty tables give no rows; other columns are ignored
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from dataclasses import dataclass, field
@@ -184,8 +185,8 @@ def read_id3v2(data: bytes, at: int, tags: dict[str, str]) -> int:
 
 
 def _tail_tag(data: bytes, at: int, tags: dict[str, str]) -> int:
-    """The size of an ID3v1 or APE tag at ``at``."""
-    if data[at : at + 3] == b"TAG" and len(data) - at >= 128:
+    """The size of an ID3v1 or APE tag at ``at``. ID3v1 has no size of its own, so the end, a header or a tag must come after its 128 bytes."""
+    if data[at : at + 3] == b"TAG" and (len(data) == at + 128 or header(data[at + 128 : at + 132]) or data[at + 128 : at + 131] in (b"TAG", b"ID3") or data[at + 128 : at + 136] == b"APETAGEX"):
         for k, a, b in (("TIT2", 3, 33), ("TPE1", 33, 63), ("TALB", 63, 93)):
             if value := data[at + a : at + b].split(b"\0")[0].decode("latin-1").strip():
                 tags.setdefault(k, value)
@@ -220,37 +221,42 @@ def _vbr_table(frame: bytes, layer: int, one: bool, protected: bool, mono: bool)
     return None
 
 
+_BEGIN = re.compile(rb"\xff[\xe0-\xff]|ID3|TAG|APETAGEX")
+
+
 def parse(data: bytes | None) -> Audio:
     """Reads a whole media file."""
     out, data = Audio(), data or b""
     at, n = 0, len(data)
-    stream = None
+    stream, in_step = None, False  # in step: a frame ends here
     while at < n:
         h = header(data[at : at + 4])
-        # A frame of the stream so far, or one that another one, a tag or the end follows.
-        if h and (key := (h[2], h[3], h[4])) and h[0] >= 8 and at + h[0] <= n and (stream == key or stream is None and _followed(data, at + h[0], key)):
+        key = h and (h[2], h[3], h[4])
+        if h and h[0] >= 8 and at + h[0] <= n and stream in (None, key):
             size, samples, rate, layer, one, protected, mono, extension = h
             frame = data[at : at + size]
-            if protected:
-                out.checked += 1
-                out.broken += checksum(protected_part(frame, layer, one, mono, extension)) != frame[4] << 8 | frame[5]
-            found = _vbr_table(frame, layer, one, protected, mono) if stream is None else None
-            stream = key
-            if found:
-                out.table, out.seek = found
-            else:
-                out.offsets.append(at)
-                out.sizes.append(size)
-                out.samples += samples
-            out.rate, out.layer = rate, layer
-            at += size
-            continue
+            right = not protected or checksum(protected_part(frame, layer, one, mono, extension)) == frame[4] << 8 | frame[5]
+            if _followed(data, at + size, key) or in_step and right:
+                out.checked += protected
+                out.broken += not right
+                found = _vbr_table(frame, layer, one, protected, mono) if stream is None else None
+                stream, in_step = key, True
+                if found:
+                    out.table, out.seek = found
+                else:
+                    out.offsets.append(at)
+                    out.sizes.append(size)
+                    out.samples += samples
+                out.rate, out.layer = rate, layer
+                at += size
+                continue
+        in_step = False
         if size := read_id3v2(data, at, out.tags) or _tail_tag(data, at, out.tags):
             at += size
             continue
-        # Foreign bytes: on to the next byte that may begin a header or tag.
-        nexts = [p for p in (data.find(b"\xff", at + 1), data.find(b"ID3", at + 1), data.find(b"TAG", at + 1), data.find(b"APETAGEX", at + 1)) if p >= 0]
-        to = min(nexts, default=n)
+        # Foreign bytes: on to the next place that may begin a header or tag; each byte is searched once.
+        begin = _BEGIN.search(data, at + 1)
+        to = begin.start() if begin else n
         out.skipped += to - at
         at = to
     return out

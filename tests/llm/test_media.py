@@ -1,7 +1,9 @@
 import hashlib
+import time
 import zlib
 
 import cases
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from quarrymill.llm import media as op
@@ -37,6 +39,32 @@ def test_resynchronises_and_counts_damage():
     assert op.parse(None).micros == 0 and op.parse(b"").offsets == [] and op.parse(b"no audio").skipped == 8
 
 
+@pytest.mark.parametrize("foreign", [b"junk", b"", b"\xff\xff\xff", b"ID", b"TAGAPETAGE\xff"])
+def test_foreign_bytes_with_headers_of_the_stream(foreign):
+    stored = op.encode(op.payload_of(bytes(range(1, 250)) * 20), 4980)
+    clean = op.parse(stored)
+    head = stored[clean.offsets[0] : clean.offsets[0] + 4]
+    for k in (1, 4, len(clean.offsets) - 1):
+        at = clean.offsets[k]
+        wedge = foreign + head + bytes(18 - len(foreign) - 4)
+        audio = op.parse(stored[:at] + wedge + stored[at:])
+        # The true places: those before the wedge, and those after it, moved by its length.
+        assert audio.offsets == clean.offsets[:k] + [o + len(wedge) for o in clean.offsets[k:]]
+        assert audio.skipped == len(wedge) and audio.broken == 0
+        assert op.decode(stored[:at] + wedge + stored[at:], audio) == op.payload_of(bytes(range(1, 250)) * 20)
+
+
+def test_long_foreign_runs_take_linear_time():
+    stored = op.encode(op.payload_of(b"text " * 500), 2500)
+    clean = op.parse(stored)
+    at = clean.offsets[2]
+    began = time.process_time()
+    for filling in (b"\xff" * 2_000_000, b"ID" * 1_000_000, b"\xff\xfe" * 1_000_000):
+        audio = op.parse(stored[:at] + filling + stored[at:])
+        assert audio.offsets == clean.offsets[:2] + [o + len(filling) for o in clean.offsets[2:]] and audio.skipped == len(filling)
+    assert time.process_time() - began < 60
+
+
 def test_layer_three_header_and_tables():
     head = bytes([0xFF, 0xFB, 0x90, 0x00])  # MPEG-1 Layer III, 128 kbit/s, 44.1 kHz
     size, samples, rate, layer, *_ = op.header(head)
