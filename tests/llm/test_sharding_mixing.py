@@ -2,6 +2,7 @@ import hashlib
 
 import cases
 import numpy as np
+import pytest
 from quarrymill.llm import mixing, sharding
 
 
@@ -168,6 +169,23 @@ def test_many_cells_are_raked_on_the_executors(spark):
     assert all(abs(r.weight - near[r.doc_id].weight) < 1e-5 and abs(r.probability - near[r.doc_id].probability) < 1e-4 for r in far)
 
 
+@pytest.mark.parametrize("rounds", [1, 12])
+def test_both_ways_of_raking_stop_alike(spark, rounds):
+    """Targets that no weights meet (a source in one language only), or that are met slowly: the same weights after the same rounds."""
+    rows = [("a", "en", 900), ("b", "en", 90), ("b", "fr", 9), ("c", "fr", 1), ("c", "en", 700)]
+    df = spark.createDataFrame([(i, "w " * n, lang, source) for i, (source, lang, n) in enumerate(rows)], "doc_id bigint, text string, lang string, source string").repartition(2)
+    targets, topics = {"source": {"a": 0.7, "b": 0.2, "c": 0.1}, "lang": {"en": 0.2, "fr": 0.8}, "topic": 1.0}, mixing.fit_topics(df)
+    near, far = ({r.doc_id: r for r in mixing.mixing_weights(df, targets, topics=topics, rounds=rounds, max_cells=most).collect()} for most in (100, 1))
+    w = {k: n for k, n in zip(range(5), (x[2] for x in rows))}
+    for _ in range(rounds):  # by plain code; all texts are of one word, hence of one topic
+        for axis, goal in ((0, targets["source"]), (1, targets["lang"])):
+            have = {c: sum(w[k] for k in w if rows[k][axis] == c) for c in goal}
+            w = {k: w[k] * goal[rows[k][axis]] / have[rows[k][axis]] for k in w}
+    assert len({r.topic for r in near.values()}) == 1
+    for k, want in w.items():
+        assert abs(near[k].weight - want) < 1e-6 and abs(far[k].weight - want) < 1e-6 and abs(near[k].probability - far[k].probability) < 1e-6
+
+
 def test_odd_cases(spark):
     out = mixing.mixing_weights(cases.documents(spark)).collect()
     assert len(out) == len(cases.rows()) and {r.tokens for r in out if r.doc_id in (5, 6, 7)} == {0}
