@@ -8,10 +8,9 @@ Terms are words in lower case without marks around them, and their first four an
 inflected and coined words share. The terms that tell labelled classes apart are chosen on the training sample; whatever the
 corpus, a document then is a set of at most ``terms`` known terms, read from its whole text.
 
-Categories come from labels only. Labels may have them as columns beside ``toxic``, which comes last; a row whose category is null isn't learned
-from in that category. Where labels have no such columns but a mark of quality, the categories are two kinds of toxic
-documents by that annotation: ``junk`` (toxic, in a document marked as low) and ``prose`` (toxic, in a good one); with ``toxic`` alone
-the chain has that one category. No category is made from the terms that the models read.
+Categories come from labels only: from the columns that the caller names, and ``toxic``, which comes last; a row whose category is null or no
+number isn't learned from in that category. ``kinds`` makes two kinds of toxic documents from a mark of quality: ``junk`` (toxic, in a document marked as
+low) and ``prose`` (toxic, in a good one); the query states these. No category is made from the terms that the models read.
 
 The model is fitted on the driver on a bounded sample: at most ``rows`` labelled documents outside the test fold, of which those are taken in turn
 whose distinct terms still fit in ``terms_in_all`` together. The terms of the out-of-fold models are chosen without the fold.
@@ -41,7 +40,7 @@ TRAIN_TERMS = 4_000_000
 TERMS = 1_024
 FOLDS = 4
 THRESHOLD = 0.5
-CATEGORIES = ("junk", "prose", "toxic")
+KINDS = ("junk", "prose")
 _MARKS = b".,;:!?\"'()[]{}<>*_-/\\|#%&$+="
 
 
@@ -104,7 +103,7 @@ def fit_linear(x: np.ndarray, y: np.ndarray, l2: float = 2e-5, steps: int = 120,
 @dataclass
 class Chain:
     known: dict[int, int] = field(default_factory=dict)
-    names: tuple[str, ...] = CATEGORIES
+    names: tuple[str, ...] = ("toxic",)
     models: list[Linear] = field(default_factory=list)
     #: Out-of-fold probabilities of the last category and its labels, of the rows that were learned from.
     apart: tuple[np.ndarray, np.ndarray] | None = None
@@ -177,20 +176,15 @@ def _training(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([get("doc_id"), get("y"), get("marks"), pa.array([len(v) for v in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "y", "marks", "size", "terms"])
 
 
-def category_columns(labels: DataFrame, categories: tuple[str, ...] | None = None) -> dict[str, F.Column]:
-    """The categories before ``toxic``, each as a column over labels."""
-    number = lambda c: F.col(f"`{c}`").cast("double")
-    own = CATEGORIES[:-1] if categories is None and set(CATEGORIES[:-1]) <= set(labels.columns) else categories
-    if own is not None:
-        return {c: number(c) for c in own}
-    if "quality" not in labels.columns:
-        return {}
-    return {"junk": number("toxic") * (1 - number("quality")), "prose": number("toxic") * number("quality")}
+def kinds(labels: DataFrame) -> DataFrame:
+    """doc_id, toxic and the kinds of toxic documents by the labels' mark of quality."""
+    number = lambda c: F.col(c).try_cast("double")
+    return labels.select("doc_id", "toxic", (number("toxic") * (1 - number("quality"))).alias("junk"), (number("toxic") * number("quality")).alias("prose"))
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most: int = TERMS, categories: tuple[str, ...] | None = None, terms_in_all: int = TRAIN_TERMS) -> Chain:
-    """categories: the columns of labels that come before ``toxic``; by default those of ``category_columns``."""
-    found = category_columns(labels, categories)
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most: int = TERMS, categories: tuple[str, ...] = (), terms_in_all: int = TRAIN_TERMS) -> Chain:
+    """categories: the columns of labels that come before ``toxic`` in the chain."""
+    found = {c: F.col(f"`{c}`").try_cast("double") for c in categories}
     ids = training_ids(labels, "toxic", rows)
     own = labels.select(F.col("doc_id").cast("long"), *(c.alias(f"_{i}") for i, c in enumerate(found.values())))
     marks = own.groupBy("doc_id").agg(F.array(*(F.avg(f"_{i}") for i in range(len(found)))).cast("array<double>").alias("marks"))
@@ -239,4 +233,4 @@ def score_documents(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD)
 
 def op6_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return score_documents(docs, train(docs, read(spark, sf_dir, "labels")))
+    return score_documents(docs, train(docs, kinds(read(spark, sf_dir, "labels")), categories=KINDS))

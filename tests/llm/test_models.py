@@ -73,14 +73,14 @@ def test_passage_counts():
 
 def test_toxicity_held_out(spark):
     docs, labels = corpus(spark)
-    chain = toxicity.train(docs, labels)
+    chain = toxicity.train(docs, toxicity.kinds(labels), categories=toxicity.KINDS)
     out = toxicity.score_documents(docs, chain).collect()
     wrong = [r for r in out if r.held_out and r.predicted != (r.doc_id % 4 == 0)]
-    assert len(out) == 240 and len(wrong) <= 2 and all(0 <= r[f"p_{n}"] <= 1 for r in out for n in toxicity.CATEGORIES)
+    assert len(out) == 240 and len(wrong) <= 2 and all(0 <= r[f"p_{n}"] <= 1 for r in out for n in (*toxicity.KINDS, "toxic"))
     odd = toxicity.score_documents(cases.documents(spark), chain).collect()
     assert len(odd) == len(cases.rows()) and not any(r.predicted for r in odd)
     assert toxicity.score_documents(cases.empty(spark), chain).count() == 0
-    none = toxicity.train(docs, labels.limit(0))
+    none = toxicity.train(docs, toxicity.kinds(labels.limit(0)), categories=toxicity.KINDS)
     assert {r.score for r in toxicity.score_documents(docs, none).collect()} == {0.0}
 
 
@@ -108,12 +108,12 @@ def test_shuffled_labels_teach_nothing(spark):
     """Terms, categories and earlier probabilities are out of fold: labels dealt by chance can't be told."""
     docs, labels = corpus(spark)
     rows = [r for r in labels.collect() if r.doc_id is not None and r.toxic is not None]
-    real, found = toxicity.train(docs, labels).apart, []
+    real, found = toxicity.train(docs, toxicity.kinds(labels), categories=toxicity.KINDS).apart, []
     for seed in range(3):
         marks = [(r.quality, r.toxic) for r in rows]
         random.Random(seed).shuffle(marks)
         dealt = spark.createDataFrame([(r.doc_id, q, t) for r, (q, t) in zip(rows, marks)], "doc_id bigint, quality int, toxic int")
-        found.append(auc(*toxicity.train(docs, dealt).apart))
+        found.append(auc(*toxicity.train(docs, toxicity.kinds(dealt), categories=toxicity.KINDS).apart))
     assert auc(*real) > 0.97 and abs(np.mean(found) - 0.5) < 0.1, found
 
 
@@ -126,7 +126,7 @@ def test_a_labelled_id_that_repeats_is_one_row(spark):
     assert a == b
     kept = quality.within(spark.createDataFrame([(1, 5), (2, 3), (3, 9)], "doc_id bigint, size bigint"), 8).collect()
     assert sum(r["size"] for r in kept) <= 8 and kept
-    assert len(toxicity.train(docs, labels, terms_in_all=600).apart[0]) < len(toxicity.train(docs, labels).apart[0])
+    assert len(toxicity.train(docs, toxicity.kinds(labels), categories=toxicity.KINDS, terms_in_all=600).apart[0]) < len(toxicity.train(docs, toxicity.kinds(labels), categories=toxicity.KINDS).apart[0])
 
 
 def plain_score(m, text):
@@ -157,7 +157,7 @@ def test_query_probabilities_equal_plain_loops(spark):
     """op6: the chain by a loop over each text's terms."""
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    chain = toxicity.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    chain = toxicity.train(docs, toxicity.kinds(spark.read.parquet(f"{sf}/labels.parquet")), categories=toxicity.KINDS)
     assert chain.names == ("junk", "prose", "toxic")
     out = {r.doc_id: r for r in toxicity.op6_toxicity_chain(spark, sf).collect()}
     for d in docs.collect():
@@ -180,10 +180,23 @@ def test_chain_learns_category_columns(spark):
         assert (r.p_obscene > 0.5) == (r.doc_id % 3 == 0) and r.predicted == (r.doc_id % 4 == 0)
 
 
+def test_label_columns_of_any_name(spark):
+    """Only the columns that the caller names are categories; what isn't a number in them isn't learned from."""
+    rows = [(i, "plain words" + " filthy" * (i % 3 == 0)) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marks = [(i, int(i % 3 == 0), i % 2, "no number", [], "x" if i % 5 else str(int(i % 3 == 0))) for i in range(120)]
+    labels = spark.createDataFrame(marks, "doc_id bigint, toxic int, quality int, junk string, prose array<int>, insult string")
+    assert toxicity.train(docs, labels).names == ("toxic",)
+    assert toxicity.train(docs, toxicity.kinds(labels), categories=toxicity.KINDS).names == ("junk", "prose", "toxic")
+    chain = toxicity.train(docs, labels, categories=("insult",))
+    out = toxicity.score_documents(docs, chain).collect()
+    assert chain.names == ("insult", "toxic") and all(r.predicted == (r.doc_id % 3 == 0) == (r.p_insult > 0.5) for r in out)
+
+
 def test_terms_are_chosen_inside_the_folds(spark, monkeypatch):
     docs, labels = corpus(spark)
     sizes, choose = [], toxicity.choose_terms
     monkeypatch.setattr(toxicity, "choose_terms", lambda d, y, most: sizes.append(len(d)) or choose(d, y, most))
-    toxicity.train(docs, labels)
-    n = len(toxicity.CATEGORIES)
+    toxicity.train(docs, toxicity.kinds(labels), categories=toxicity.KINDS)
+    n = len((*toxicity.KINDS, "toxic"))
     assert len(sizes) == n * (toxicity.FOLDS + 1) and sum(sizes) == n * toxicity.FOLDS * max(sizes)
