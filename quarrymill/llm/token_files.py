@@ -64,7 +64,7 @@ class SpacedEncoder:
     library's model; all else goes through the whole library.
     """
 
-    LIMIT = 400_000
+    LIMIT = 500_000
     #: Signs that neither begin a contraction nor are in an added token.
     SIGNS = ".,;:!?&%#$*()"
     WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
@@ -88,51 +88,57 @@ class SpacedEncoder:
             raise RuntimeError("the files are written as arrays of a little-endian machine")
         small = [chr(c) for c in (*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x100))]
         self.bytes_of = {ord(c): "".join(x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(c)) for c in small}
-        self.numbers, self.packed = {}, []
+        self.forget()
         probe = "One two,  don't\nx1. , y Été É*"
-        if self.library(probe) != b"".join(self.packed[self.number(c)] for c in probe.replace("\n", " ").split(" ")):
+        if self.tokenizer.encode(probe, add_special_tokens=False).ids != self.encode([probe])[0].tolist():
             raise ValueError("this vocabulary's ids depend on the spaces between words")
 
-    def library(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+    def forget(self) -> None:
+        """Empties the cache. The ids of chunk i are ``flat`` from ends[i] to ends[i + 1]; chunk 0 is kept for what stands after texts."""
+        outer = self
 
-    def word(self, small: str) -> bytes:
-        """The ids of a word of small letters, written as the model's signs for bytes."""
-        return array(self.code, [t.id for t in self.tokenize(small)]).tobytes()
+        class Numbers(dict):
+            def __missing__(self, chunk: str) -> int:
+                return outer.add(chunk)
 
-    def number(self, chunk: str) -> int:
-        """The place of a chunk's ids in ``packed``."""
-        at = self.numbers.get(chunk)
-        if at is None:
+        self.numbers, self.flat, self.ends = Numbers(), array(self.code), array("q", [0, 0])
+
+    def ids(self, chunk: str) -> array:
+        i = self.numbers[chunk]
+        return self.flat[self.ends[i] : self.ends[i + 1]]
+
+    def add(self, chunk: str) -> int:
+        """Encodes a new chunk and returns its number."""
+        if chunk.isalpha() and chunk.isascii():
+            ids = [t.id for t in self.tokenize(chunk.lower())]
+        elif self.WORD(chunk):
+            ids = [t.id for t in self.tokenize(chunk.lower().translate(self.bytes_of))]
+        else:
             word = chunk.rstrip(self.SIGNS)
-            if chunk.isalpha() and chunk.isascii():
-                ids = self.word(chunk.lower())
-            elif self.WORD(chunk):
-                ids = self.word(chunk.lower().translate(self.bytes_of))
-            elif len(word) < len(chunk) and self.SIGNED(word):
-                ids = self.packed[self.number(word)] + self.packed[self.number(chunk[len(word) :])]
+            if len(word) < len(chunk) and self.SIGNED(word):
+                ids = self.ids(word) + self.ids(chunk[len(word) :])
             else:
-                ids = self.library(chunk)
-            at = self.numbers[chunk] = len(self.packed)
-            self.packed.append(ids)
+                ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        self.flat.extend(ids)
+        at = self.numbers[chunk] = len(self.ends) - 1
+        self.ends.append(len(self.flat))
         return at
 
     def encode(self, texts: list[str], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and each text's number of ids; with ``end_id`` after each text, if given."""
-        if len(self.packed) > self.LIMIT:
-            self.numbers, self.packed = {}, []
+        if len(self.ends) > self.LIMIT:
+            self.forget()
         chunks = [t.replace("\n", " ").split(" ") for t in texts]
-        for c in set(chain.from_iterable(chunks)).difference(self.numbers):
-            self.number(c)
         count = np.fromiter(map(len, chunks), np.int64, len(chunks))
         use = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(chunks)), np.int64, int(count.sum()))
-        pieces = [*self.packed, b"" if end_id is None else np.array([end_id], self.kind).tobytes()]
-        use, count = np.insert(use, np.cumsum(count), len(self.packed)), count + 1
-        flat = np.frombuffer(b"".join(pieces), self.kind)
-        length = np.fromiter(map(len, pieces), np.int64, len(pieces)) // flat.itemsize
-        start, n = (np.cumsum(length) - length)[use], length[use]
+        ends, flat = np.array(self.ends), np.array(self.flat, self.kind)
+        start, length = ends[:-1].copy(), np.diff(ends)
+        if end_id is not None:
+            flat, start[0], length[0] = np.append(flat, np.array(end_id, self.kind)), len(flat), 1
+        use, count = np.insert(use, np.cumsum(count), 0), count + 1
+        n = length[use]
         after = np.cumsum(n)
-        ids = flat[np.repeat(start - after + n, n) + np.arange(int(n.sum()))]
+        ids = flat[np.repeat(start[use] - after + n, n) + np.arange(int(n.sum()))]
         return ids, np.diff(after[np.cumsum(count) - 1], prepend=0)
 
 
