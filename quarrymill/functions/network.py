@@ -34,6 +34,16 @@ def ipv6_digits(ip: Column) -> Column:
     return F.when(form & whole, F.array_join(padded, ""))
 
 
+def number_key(number: Column) -> Column:
+    """An IPv4 address as a number, as text that orders as addresses do; IPv6 comes after IPv4."""
+    return F.concat(F.lit("4"), F.lpad(F.lower(F.hex(number.cast("bigint"))), 8, "0"))
+
+
+def order_key(ip: Column) -> Column:
+    """An address of either version as text that orders as addresses do; null if it isn't one."""
+    return F.coalesce(number_key(ipv4_number(ip)), F.concat(F.lit("6"), ipv6_digits(ip)))
+
+
 def in_ranges(ip: Column, cidrs: list[str]) -> Column:
     """True if the address lies in one of the ranges; what is no address lies in none."""
     nets = [ipaddress.ip_network(c.strip(), strict=False) for c in cidrs]

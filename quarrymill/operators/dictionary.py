@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarrymill.functions import network
+from quarrymill.operators.ranks import dense_numbers, last_before
+
 SCHEMA = "column string, key string, id bigint, info string"
 
 
@@ -17,6 +20,7 @@ def encode(values: DataFrame, name: str, source: str, dictionary: DataFrame, val
 
     Keys are trimmed. New valid keys get ids after the largest, in order of key within this batch, so that the
     result doesn't depend on partitions. Invalid and missing keys get 0, the default's id; without a default they are an error.
+    New keys are numbered here, once, into a written table that both results read.
     """
     key = F.trim(F.col(source).cast("string"))
     ok = key.isNotNull() & (key != "")
@@ -24,10 +28,8 @@ def encode(values: DataFrame, name: str, source: str, dictionary: DataFrame, val
         ok = ok & F.coalesce(valid, F.lit(False))
     known = dictionary.where(F.col("column") == name)
     fresh = values.where(ok).select(key.alias("key")).distinct().join(known.select("key"), "key", "left_anti")
-    last = known.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last"))
-    # Distinct keys only: a dictionary is small by definition.
-    numbered = fresh.withColumn("n", F.row_number().over(Window.orderBy("key"))).crossJoin(F.broadcast(last))
-    added = numbered.select(F.lit(name).alias("column"), "key", (F.col("last") + F.col("n")).cast("bigint").alias("id"), F.lit(None).cast("string").alias("info"))
+    last = known.agg(F.max("id")).first()[0] or 0
+    added = dense_numbers(fresh, "key").select(F.lit(name).alias("column"), "key", (F.lit(last) + F.col("n")).cast("bigint").alias("id"), F.lit(None).cast("string").alias("info"))
     if default is not None:
         zero = values.sparkSession.createDataFrame([(name, default, 0, None)], SCHEMA)
         added = added.unionByName(zero.join(known.where("id = 0").select("column"), "column", "left_anti"))
@@ -74,17 +76,20 @@ def search(dictionary: DataFrame, name: str, pattern: str) -> DataFrame:
     return dictionary.where((F.col("column") == name) & F.col("key").like(like))
 
 
-def locate(df: DataFrame, ip_number: Column, ranges: DataFrame, columns: list[str]) -> DataFrame:
-    """Left join with non-overlapping address ranges (start_ip, end_ip, ...).
+def locate(df: DataFrame, ip: Column, ranges: DataFrame, columns: list[str]) -> DataFrame:
+    """Left join with non-overlapping address ranges (start_ip, end_ip, ...), of IPv4 and IPv6.
 
-    A range is listed under each first octet that it touches (256 at most), so that the join has an equality
-    and the bounds are checked within a bucket.
+    ip: addresses as text. Bounds are text, or numbers for IPv4. Each distinct address looks up the last range that starts at or before it, and has
+    it if it ends no earlier. Addresses that share a network, or most of their bits, are as good as any: they are dealt by their order, with the ranges.
     """
-    octet = F.explode(F.sequence(F.expr("start_ip div 16777216"), F.expr("end_ip div 16777216"))).alias("_octet")
-    listed = ranges.select("start_ip", "end_ip", *columns, octet)
-    rows = df.withColumn("_ip", ip_number).withColumn("_o", F.expr("_ip div 16777216"))
-    hit = (F.col("_o") == F.col("_octet")) & (F.col("_ip") >= F.col("start_ip")) & (F.col("_ip") <= F.col("end_ip"))
-    return rows.join(listed, hit, "left").drop("_ip", "_o", "_octet", "start_ip", "end_ip")
+    def bound(c: str) -> Column:
+        return network.order_key(F.col(c)) if ranges.schema[c].dataType.typeName() == "string" else network.number_key(F.col(c))
+
+    keyed = df.withColumn("_ip", network.order_key(ip))
+    points = keyed.where("_ip IS NOT NULL").select("_ip").distinct()
+    starts = ranges.select(bound("start_ip").alias("_ip"), bound("end_ip").alias("_end"), *columns).where("_ip IS NOT NULL")
+    found = last_before(points, starts, "_ip", ["_end", *columns]).where(F.col("_end") >= F.col("_ip")).drop("_end")
+    return keyed.join(found, "_ip", "left").drop("_ip")
 
 
 def country_label(ip: Column, country: Column, internal: str = "Internal", unknown: str = "Unknown") -> Column:

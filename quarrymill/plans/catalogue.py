@@ -329,7 +329,7 @@ def _(s, d):
 SELECT CASE WHEN user_id % 256 BETWEEN 0 AND 15 THEN 'Here' WHEN user_id % 256 BETWEEN 16 AND 99 THEN 'There' ELSE 'Internal' END AS country, count(*) AS n FROM events GROUP BY 1""")
 def _(s, d):
     ranges = s.createDataFrame([(10 << 24, (10 << 24) + (16 << 16) - 1, "here"), ((10 << 24) + (16 << 16), (10 << 24) + (100 << 16) - 1, "there")], "start_ip bigint, end_ip bigint, country string")
-    found = enums.locate(_with_ip(s, d), network.ipv4_number(F.col("ip")), F.broadcast(ranges), ["country"])
+    found = enums.locate(_with_ip(s, d), F.col("ip"), ranges, ["country"])
     return found.groupBy(enums.country_label(F.col("ip"), F.col("country")).alias("country")).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -342,10 +342,8 @@ def _(s, d):
 
 @query("q_ip2city", "SELECT CASE WHEN user_id % 256 BETWEEN 0 AND 15 THEN 'Here Town' WHEN user_id % 256 BETWEEN 16 AND 99 THEN 'There' ELSE 'Internal' END AS city, count(*) AS n FROM events GROUP BY 1")
 def _(s, d):
-    from quarrymill.functions import network
-
     ranges = values(s, [(10 << 24, (10 << 24) + (16 << 16) - 1, "here", "town"), ((10 << 24) + (16 << 16), (10 << 24) + (100 << 16) - 1, "there", "")], "start_ip bigint, end_ip bigint, country string, city string")
-    found = enums.locate(_with_ip(s, d), network.ipv4_number(F.col("ip")), F.broadcast(ranges), ["country", "city"])  # two rows
+    found = enums.locate(_with_ip(s, d), F.col("ip"), ranges, ["country", "city"])
     return found.groupBy(enums.city_label(F.col("ip"), F.col("country"), F.col("city")).alias("city")).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -214,7 +214,7 @@ def test_domain_and_location(spark):
     assert sorted(map(tuple, out.select("domain", "d").collect())) == [("bad domain", 0), ("x.org", 1), ("x.org", 1), ("y.org", 0)]
     ips = spark.createDataFrame([("1.2.3.4",), ("9.9.9.9",), ("",), (None,)], "ip string")
     ranges = spark.createDataFrame([(1 << 24, (2 << 24) - 1, "NEW zealand", "wellington")], "start_ip bigint, end_ip bigint, country string, city string")
-    got = enums.locate(ips, network.ipv4_number(F.col("ip")), ranges, ["country", "city"]).select("ip", enums.country_label(F.col("ip"), F.col("country")), enums.city_label(F.col("ip"), F.col("country"), F.col("city")))
+    got = enums.locate(ips, F.col("ip"), ranges, ["country", "city"]).select("ip", enums.country_label(F.col("ip"), F.col("country")), enums.city_label(F.col("ip"), F.col("country"), F.col("city")))
     assert {r[0]: tuple(r[1:]) for r in got.collect()} == {"1.2.3.4": ("New Zealand", "New Zealand Wellington"), "9.9.9.9": ("Internal", "Internal"), "": ("Unknown", "Unknown"), None: ("Unknown", "Unknown")}
 
 
