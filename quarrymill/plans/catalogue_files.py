@@ -97,7 +97,7 @@ def _(s, d):
 def _(s, d):
     origin, at = readers.source("localfs", home=_daily_files(s, d)), store.work_folder(s) + "/typed"
     store.download(s, DatasetSpec(**{**DAILY.__dict__, "cache_timeout": 7}), origin, at, START, _LAST)
-    return s.read.parquet(at).select(F.col(store.DAY).cast("string").alias("day")).distinct()
+    return store.load(s, at).select(F.date_format(readers.INTERVAL, "yyyy-MM-dd").alias("day")).distinct()
 
 
 @query("q_pruned_columns", sql_values([("event_id",), ("event_type",), ("user_id",), ("value",)], "name"))

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import atexit
 import base64
 import json
-import uuid
 from collections.abc import Iterable
 from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime
@@ -18,76 +16,53 @@ from quarrymill.functions.types import DType
 from quarrymill.operators import prepare
 from quarrymill.plans import engine
 from quarrymill.plans.spec import ColumnSpec, DatasetSpec, ReportSpec, Transform
-from quarrymill.sources import readers
+from quarrymill.sources import commits, readers
+from quarrymill.sources.commits import DAY, SLOT
+from quarrymill.sources.work import file_system as _fs
+from quarrymill.sources.work import work_folder  # noqa: F401  (also under this name)
 
-DAY, SLOT = "day", "slot"
 _SLOT_FORMAT = "%Y%m%d%H%M"
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A new folder in the shared one (``spark.checkpoint.dir``, or the warehouse where that is unset), deleted when the driver exits."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir")
-    at = f"{root.rstrip('/')}/reports-{uuid.uuid4().hex}"
-    atexit.register(_delete_quietly, spark, at)
-    return at
-
-
-def _delete_quietly(spark: SparkSession, at: str) -> None:
-    try:
-        fs, path = _fs(spark, at)
-        fs.delete(path, True)
-    except Exception:  # the session may be over
-        pass
+# --- the typed table -----------------------------------------------------------------------------------------------
 
 
-def _fs(spark: SparkSession, path: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+def slot_of(at: datetime) -> str:
+    return f"t{at.strftime(_SLOT_FORMAT)}"
 
 
-# --- the typed table -----------------------------------------------------------------------------------------------
+def by_slot(df: DataFrame) -> DataFrame:
+    """With the day and slot of each row's interval."""
+    return df.withColumns({DAY: F.to_date(readers.INTERVAL), SLOT: F.concat(F.lit("t"), F.date_format(readers.INTERVAL, "yyyyMMddHHmm"))})
 
 
-def materialise(raw: DataFrame, dataset: DatasetSpec, path: str, intervals: Iterable[datetime] | None = None) -> None:
-    """Writes the typed table, in folders of a day and in it of an interval. Only the intervals in ``raw`` are replaced.
+def materialise(raw: DataFrame, dataset: DatasetSpec, path: str, intervals: Iterable[datetime] = ()) -> None:
+    """Writes the typed table. The intervals in ``raw`` are replaced, all at once.
 
-    intervals: those that ``raw`` is of; of these, the ones without rows are emptied.
+    intervals: those that ``raw`` is of; of these, the ones without rows are kept as empty ones.
     """
-    spark = raw.sparkSession
     typed = prepare.prepare(raw, dataset, readers.INTERVAL, readers.ROW)
-    typed = typed.withColumns({DAY: F.to_date(readers.INTERVAL), SLOT: F.concat(F.lit("t"), F.date_format(readers.INTERVAL, "yyyyMMddHHmm"))})
-    before = {(d, s): t for d, s, t in slots(spark, path)}
-    typed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY, SLOT).parquet(path)
-    if intervals is not None:
-        wanted = {(f"{a:%Y-%m-%d}", f"t{a.strftime(_SLOT_FORMAT)}") for a in intervals}
-        filled = {(str(r[DAY]), r[SLOT]) for r in typed.select(DAY, SLOT).distinct().collect()} if wanted & before.keys() else wanted  # one row an interval
-        fs, _ = _fs(spark, path)
-        for d, slot in (wanted & before.keys()) - filled:
-            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{DAY}={d}/{SLOT}={slot}"), True)
+    commits.write(by_slot(typed), path, {slot_of(a): f"{a:%Y-%m-%d}" for a in intervals})
 
 
 def slots(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
-    """(day, slot, time of writing in milliseconds) of every interval that the table has."""
-    fs, at = _fs(spark, path)
-    if not fs.exists(at):
-        return []
-    dirs = lambda p, key: [(s.getPath().getName().split("=", 1)[1], s) for s in fs.listStatus(p) if s.isDirectory() and s.getPath().getName().startswith(f"{key}=")]
-    return sorted((day, slot, s.getModificationTime()) for day, d in dirs(at, DAY) for slot, s in dirs(d.getPath(), SLOT))
+    """(day, slot, time of writing in milliseconds) of every interval that the table has, empty ones too."""
+    commit = commits.latest(spark, path)
+    return sorted((e.day, s, e.at) for s, e in commit.intervals.items()) if commit else []
 
 
 def stale(spark: SparkSession, path: str, files: list[tuple[datetime, datetime, str]], requested: datetime | None) -> list[tuple[datetime, datetime, str]]:
     """The interval files that the table doesn't have, or has from before a refresh was asked for."""
     since = requested.timestamp() * 1000 if requested else 0
     fresh = {slot for _, slot, at in slots(spark, path) if at >= since}
-    return [f for f in files if f"t{f[0].strftime(_SLOT_FORMAT)}" not in fresh]
+    return [f for f in files if slot_of(f[0]) not in fresh]
 
 
 def evict(spark: SparkSession, path: str, keep: int) -> list[str]:
-    """Deletes all but the newest ``keep`` days; returns those deleted."""
+    """Takes all but the newest ``keep`` days out of the table; returns those."""
     gone = sorted({d for d, _, _ in slots(spark, path)})[: -keep or None]
-    fs, _ = _fs(spark, path)
-    for d in gone:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{DAY}={d}"), True)
+    if gone:
+        commits.drop_days(spark, path, set(gone))
     return gone
 
 
@@ -106,8 +81,10 @@ def download(spark: SparkSession, dataset: DatasetSpec, origin, path: str, start
     return missing
 
 
-def load(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(path).drop(DAY, SLOT)
+def load(spark: SparkSession, path: str, low: datetime | None = None, high: datetime | None = None) -> DataFrame:
+    """The typed table, or its intervals from ``low`` to before ``high``; a table without rows has its columns."""
+    a, b = low and slot_of(low), high and slot_of(high)
+    return commits.read(spark, path, lambda s, e: (not a or s >= a) and (not b or s < b))
 
 
 # --- result files --------------------------------------------------------------------------------------------------

@@ -344,8 +344,11 @@ def test_stale_intervals_are_made_again(spark, tmp_path):
 def test_eviction_deletes_old_days(spark, tmp_path):
     rows = spark.createDataFrame([("a", "1", datetime(2024, 1, d), 0) for d in range(1, 6)], "who string, n string, interval_start timestamp_ntz, row_no bigint")
     store.materialise(rows, WEB, str(tmp_path / "t"))
+    before = store.load(spark, str(tmp_path / "t"))
     assert store.evict(spark, str(tmp_path / "t"), 2) == ["2024-01-01", "2024-01-02", "2024-01-03"]
-    assert store.load(spark, str(tmp_path / "t")).count() == 2 and not (tmp_path / "t" / "day=2024-01-02").exists()
+    assert store.load(spark, str(tmp_path / "t")).count() == 2 and before.count() == 5  # who reads the table as it was goes on
+    store.materialise(rows.where("day(interval_start) = 5"), WEB, str(tmp_path / "t"))
+    assert store.load(spark, str(tmp_path / "t")).count() == 2 and not list((tmp_path / "t").glob("data-*/day=2024-01-02"))
 
 
 def test_many_files_are_one_scan(spark, tmp_path):
