@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import base64
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,8 @@ from quarrymill.functions.types import DType, clean_text
 from quarrymill.operators import dictionary as enums
 from quarrymill.operators import prepare
 from quarrymill.operators.intervals import interval, report_range, whole_intervals
-from quarrymill.operators.predicates import UnsupportedOperator, predicate
-from quarrymill.plans import engine
+from quarrymill.plans import engine, partials
 from quarrymill.plans.catalogue import _A, _B, _SUM, DOUBLE, END, EVENTS, INT, LONG, MONEY, START, TEXT, VECTORS, _all_uses, _pairs, _with_ip, events, query, stats, table
-from quarrymill.plans.planner import InvalidReport, bind
 from quarrymill.plans.spec import ColumnSpec, DatasetSpec, ReportSpec, Transform
 from quarrymill.sources import audit, readers, store
 from quarrymill.streaming.reports import stream_statistics
@@ -44,9 +43,9 @@ def sql_values(rows: list[tuple], names: str) -> str:
     return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(text, r)) + ')' for r in rows)}) AS t({names})"
 
 
-def fixed(name: str, schema: str, want: list[tuple], make) -> None:
-    """A query whose rows are what the driver decides of specifications, with the rows that it must give."""
-    query(name, sql_values(want, ", ".join(c.split()[0] for c in schema.split(","))))(lambda s, d: values(s, make(s), schema))
+def _span(s: SparkSession, d: str) -> tuple[datetime, datetime]:
+    """The least and the greatest time of the events."""
+    return tuple(table(s, d, "events").agg(F.min("ts"), F.max("ts")).first())
 
 
 # --- files by interval and the typed table -------------------------------------------------------------------------
@@ -100,9 +99,57 @@ def _(s, d):
     return store.load(s, at).select(F.date_format(readers.INTERVAL, "yyyy-MM-dd").alias("day")).distinct()
 
 
-@query("q_pruned_columns", sql_values([("event_id",), ("event_type",), ("user_id",), ("value",)], "name"))
+@query("q_pruned_columns", "SELECT 'event_id' AS name, count(event_id) AS n FROM events UNION ALL SELECT 'event_type', count(event_type) FROM events UNION ALL SELECT 'user_id', count(user_id) FROM events UNION ALL SELECT 'value', count(value) FROM events")
 def _(s, d):
-    return values(s, [(c,) for c in prepare.prepare(table(s, d, "events"), DAILY).columns], "name string")
+    """The columns that reports use, with their values; the others aren't read."""
+    kept = prepare.prepare(table(s, d, "events"), DAILY)
+    return kept.agg(*(F.count(c).alias(c) for c in kept.columns)).unpivot([], kept.columns, "name", "n")
+
+
+@query("q_empty_day", f"""
+SELECT strftime(day, '%Y-%m-%d') AS request_time, count(event_id) AS n, coalesce({_SUM}, 0) AS total
+FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-28', TIMESTAMP '2024-02-02', INTERVAL 1 DAY)) AS day) LEFT JOIN events ON date_trunc('day', ts) = day GROUP BY day""")
+def _(s, d):
+    """Days whose files hold no rows are in the table as empty ones: not missing, not fetched again, zeros in a report."""
+    home, at = _daily_files(s, d), store.work_folder(s) + "/typed"
+    low, high = datetime(2024, 1, 28), datetime(2024, 2, 3)
+    for day in ("2024-01-31", "2024-02-01", "2024-02-02"):  # the events end before
+        fs, path = store._fs(s, f"{home}/day={day}/part-0.csv")
+        if not fs.exists(path.getParent()):
+            fs.create(path).close()
+    origin = readers.source("localfs", home=home)
+    store.download(s, DAILY, origin, at, low, high)
+    if store.stale(s, at, readers.interval_files(DAILY, low, high), None):
+        raise RuntimeError("an empty day is taken for a missing one")
+    rows = store.load(s, at).withColumn("value", F.col("value").cast(MONEY))
+    out = stats(DAILY, rows, rtype="Daily", start=low, end=high, resultset=(*_N, ("value", "sum", "total")))
+    return out.select(F.date_format("request_time", "yyyy-MM-dd").alias("request_time"), "n", F.col("total").cast("double").alias("total"))
+
+
+def _stored(s: SparkSession, d: str, rtype: str) -> DataFrame:
+    """Daily states, made for one type first, merged for another after one day came again."""
+    origin, at, root = readers.source("localfs", home=_daily_files(s, d)), store.work_folder(s) + "/typed", store.work_folder(s)
+    spec = lambda kind: ReportSpec("q", "events", START, _LAST, kind, group_by=("event_type",), resultset=(*_N, ("user_id", "distinct", "users"), ("event_id", "sum", "ids"), ("event_id", "min", "least"), ("event_id", "max", "most"), ("event_id", "avg", "mean")))
+    store.download(s, DAILY, origin, at, START, _LAST)
+    partials.run_statistics(s, spec("Daily"), DAILY, at, root)
+    store.download(s, DAILY, origin, at, START + timedelta(9), START + timedelta(10))
+    out = partials.run_statistics(s, spec(rtype), DAILY, at, root)[0]
+    return out.select(F.date_format("request_time", "yyyy-MM-dd").alias("request_time"), "event_type", "users", "n", "ids", "least", "most", F.round("mean", 6).alias("mean"))
+
+
+def _stored_sql(bucket: str) -> str:
+    return f"""SELECT strftime({bucket}, '%Y-%m-%d') AS request_time, event_type, count(DISTINCT user_id) AS users, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, min(event_id) AS least, max(event_id) AS most,
+    round(sum(event_id) / count(*), 6) AS mean FROM events WHERE ts >= date_trunc('{'week' if 'week' in bucket else 'month'}', TIMESTAMP '2024-01-01') AND ts < {"TIMESTAMP '2024-01-29'" if 'week' in bucket else "TIMESTAMP '2024-02-01'"} GROUP BY 1, 2"""
+
+
+@query("q_stored_weeks", _stored_sql("date_trunc('week', ts)"))
+def _(s, d):
+    return _stored(s, d, "MondayBasedWeekly")
+
+
+@query("q_stored_months", _stored_sql("date_trunc('month', ts)"))
+def _(s, d):
+    return _stored(s, d, "Monthly")
 
 
 # --- formats -------------------------------------------------------------------------------------------------------
@@ -161,11 +208,27 @@ def _(s, d):
     return rows.select(*(F.col(f"`{c}`").alias(c.replace(".", "_")) for c in own))
 
 
-fixed("q_blob_paths", "path string, local boolean", [("abfss://logs@store.dfs.core.windows.net/web/2024.csv", False)], lambda s: [((b := readers.source("blobstorage", container="logs", account="store", home="web")).path("2024.csv"), b.is_local)])
-fixed(
-    "q_audit_slices", "low string, high string", [("2024-01-01T00:00:00", "2024-01-01T06:00:00"), ("2024-01-01T06:00:00", "2024-01-01T12:00:00")],
-    lambda s: [p.value for p in audit.AuditPages({"start": "2024-01-01", "end": "2024-01-01T12:00:00", "slices": "2"}).partitions()],
-)
+@query("q_blob_paths", "SELECT strftime(ts, '%Y-%m-%d') AS day, 'abfss://logs@store.dfs.core.windows.net/web/day=' || strftime(ts, '%Y-%m-%d') AS path, count(*) AS n FROM events GROUP BY ALL")
+def _(s, d):
+    """Where a blob store has each day of the events."""
+    days = table(s, d, "events").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    blob = readers.source("blobstorage", container="logs", account="store", home="web")
+    low, high = _span(s, d)
+    files = [(f"{a:%Y-%m-%d}", blob.path(f)) for a, _, f in readers.interval_files(DAILY, low, interval("Daily").next(high))]  # one row a day
+    return days.join(values(s, files, "day string, path string"), "day").select("day", "path", "n")
+
+
+@query("q_audit_slices", """
+WITH span AS (SELECT min(ts) AS a, date_trunc('second', max(ts)) + INTERVAL 1 SECOND AS z FROM events)
+SELECT event_type, count(*) AS n, true AS sliced FROM events, span WHERE ts < z GROUP BY event_type""")
+def _(s, d):
+    """Events by the slices of time that the audit source asks for: each row is in one slice."""
+    low, high = _span(s, d)
+    high = high.replace(microsecond=0) + timedelta(seconds=1)
+    slices = [p.value for p in audit.AuditPages({"start": low.replace(microsecond=0).isoformat(), "end": high.isoformat(), "slices": "7"}).partitions()]
+    inside = sum((((F.col("ts") >= F.lit(a).cast("timestamp_ntz")) & (F.col("ts") < F.lit(b).cast("timestamp_ntz"))).cast("int") for a, b in slices), F.lit(0))
+    return table(s, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.min(inside == 1).alias("sliced"))
+
 
 # --- reports to files ----------------------------------------------------------------------------------------------
 
@@ -214,10 +277,17 @@ def _(s, d):
     return engine.run_statistics(s, loaded.instance(70), loaded.datasets["events"], table(s, d, "events"))[0]
 
 
-fixed(
-    "q_report_names", "name string", [("by_type-4-202401010000-202401310000-Daily.csv",), ("by_type-4-202401010000-202401310000-Daily-raw.csv",), ("5-some_rows-all-all.csv",)],
-    lambda s: [(store.report_filename(r, raw),) for r, raw in ((ReportSpec("by type", "e", START, END, "Daily", resultset=_N, id=4), False), (ReportSpec("by type", "e", START, END, "Daily", resultset=_N, id=4), True), (ReportSpec("some rows", "e", id=5), False))],
-)
+@query("q_report_names", """
+SELECT event_type, 'by_' || event_type || '-4-' || strftime(date_trunc('day', min(ts)), '%Y%m%d%H%M') || '-' || strftime(date_trunc('day', max(ts)), '%Y%m%d%H%M') || '-Daily.csv' AS name,
+       'by_' || event_type || '-4-' || strftime(date_trunc('day', min(ts)), '%Y%m%d%H%M') || '-' || strftime(date_trunc('day', max(ts)), '%Y%m%d%H%M') || '-Daily-raw.csv' AS raw_name,
+       '5-by_' || event_type || '-all-all.csv' AS details FROM events GROUP BY event_type""")
+def _(s, d):
+    """The result files' names of a report for each type of event, over the days that it has."""
+    named, floor = [], interval("Daily").floor
+    for r in table(s, d, "events").groupBy("event_type").agg(F.min("ts").alias("a"), F.max("ts").alias("z")).collect():  # a row a type
+        spec = ReportSpec(f"by {r.event_type}", "events", floor(r.a), floor(r.z), "Daily", resultset=_N, id=4)
+        named.append((r.event_type, store.report_filename(spec), store.report_filename(spec, raw=True), store.report_filename(ReportSpec(f"by {r.event_type}", "events", id=5))))
+    return values(s, named, "event_type string, name string, raw_name string, details string")
 
 
 @query("q_stream_buckets", f"""
@@ -277,58 +347,82 @@ def _(s, d):
     return stats(spec, table(s, d, "part").withColumn("p_name", F.upper("p_name")), conditions=(("p_name", "startswith", "small"),), options={"transform_literals": True}, resultset=_N)
 
 
-def _refused(test) -> str:
-    try:
-        test()
-    except (UnsupportedOperator, InvalidReport, KeyError, ValueError) as e:
-        return type(e).__name__
-    return "no"
+# --- addresses -----------------------------------------------------------------------------------------------------
+
 
+@query("q_address_places", """
+SELECT event_id, CASE WHEN s_suppkey IS NOT NULL THEN 's' || s_suppkey END AS place
+FROM (SELECT event_id, user_id % 256 * 256 + event_id % 256 AS n FROM events) LEFT JOIN supplier ON n BETWEEN s_suppkey * 60 AND s_suppkey * 60 + 39""")
+def _(s, d):
+    """All addresses and all ranges are in 10.0.0.0/16."""
+    ip = F.concat_ws(".", F.lit("10"), F.lit("0"), F.col("user_id") % 256, F.col("event_id") % 256)
+    ranges = table(s, d, "supplier").select(((10 << 24) + F.col("s_suppkey") * 60).alias("start_ip"), ((10 << 24) + F.col("s_suppkey") * 60 + 39).alias("end_ip"), F.concat(F.lit("s"), "s_suppkey").alias("place"))
+    return enums.locate(table(s, d, "events").select("event_id", ip.alias("ip")), F.col("ip"), ranges, ["place"]).select("event_id", "place")
 
-def _checks(s: SparkSession) -> list[tuple]:
-    c = F.col("x")
-    hourly = DatasetSpec("events", (*EVENTS.columns, ColumnSpec("hidden", LONG, filterable=False)), time_column="ts")
-    report = lambda **kw: lambda: bind(ReportSpec("q", "events", **kw), hourly)
-    return [(n, _refused(f)) for n, f in (
-        ("text list", lambda: predicate(c, DType(1301, size=5, dimension=2), "==", ["a", "b"])), ("truth", lambda: predicate(c, DType(1), "==", True)), ("truth list", lambda: predicate(c, DType(1001, dimension=2), "in", [True])),
-        ("text operator of a number", lambda: predicate(c, LONG, "contain", 1)), ("unknown aggregate", report(resultset=(("value", "median", None),))), ("sum of text", report(resultset=(("event_type", "sum", None),))),
-        ("aggregate of a key", report(group_by=("user_id",), resultset=(("user_id", "max", None),))), ("no aggregate", report(resultset=(("value", None, None),))), ("key without use", report(group_by=("value",), resultset=_N)),
-        ("condition without use", report(conditions=(("hidden", "==", 1),), resultset=_N)), ("no such column", report(group_by=("nothing",), resultset=_N)), ("finer than the data", report(rtype="Minutely", resultset=_N)),
-        ("ends before it starts", report(start=END, end=START, rtype="Daily", resultset=_N)), ("unknown interval", report(rtype="Yearly", resultset=_N)), ("list without dimension", lambda: DType(1101)), ("text without size", lambda: DType(301)), ("in order", report(resultset=_N)),
-    )]
 
+@query("q_address_places_v6", """
+SELECT event_id, CASE WHEN s_suppkey IS NOT NULL THEN 's' || s_suppkey END AS place
+FROM events LEFT JOIN supplier ON user_id = s_suppkey * 2 AND event_id % 65536 <= 32767""")
+def _(s, d):
+    low = F.concat(F.lit("2001:db8::"), F.hex(F.col("s_suppkey") * 2))
+    ranges = table(s, d, "supplier").select(F.concat(low, F.lit(":0")).alias("start_ip"), F.concat(low, F.lit(":7FFF")).alias("end_ip"), F.concat(F.lit("s"), "s_suppkey").alias("place"))
+    ip = F.concat(F.lit("2001:DB8:0:0:0:0:"), F.hex("user_id"), F.lit(":"), F.hex(F.col("event_id") % 65536))
+    return enums.locate(table(s, d, "events").select("event_id", ip.alias("ip")), F.col("ip"), ranges, ["place"]).select("event_id", "place")
 
-fixed("q_refused_specifications", "what string, error string", [
-    ("text list", "UnsupportedOperator"), ("truth", "UnsupportedOperator"), ("truth list", "UnsupportedOperator"), ("text operator of a number", "UnsupportedOperator"), ("unknown aggregate", "InvalidReport"), ("sum of text", "InvalidReport"),
-    ("aggregate of a key", "InvalidReport"), ("no aggregate", "InvalidReport"), ("key without use", "InvalidReport"), ("condition without use", "InvalidReport"), ("no such column", "KeyError"), ("finer than the data", "InvalidReport"),
-    ("ends before it starts", "InvalidReport"), ("unknown interval", "ValueError"), ("list without dimension", "ValueError"), ("text without size", "ValueError"), ("in order", "no"),
-], _checks)
 
 # --- intervals -----------------------------------------------------------------------------------------------------
 
-_STEPS = (("Hourly", "2024-01-30 05:00:00", "INTERVAL 1 HOUR"), ("HalfHourly", "2024-01-30 05:00:00", "INTERVAL 30 MINUTE"), ("Daily", "2024-01-30", "INTERVAL 1 DAY"), ("MondayBasedWeekly", "2024-01-29", "INTERVAL 7 DAY"), ("SaturdayBasedFourWeekly", "2024-01-27", "INTERVAL 28 DAY"), ("Monthly", "2024-01-01", "INTERVAL 1 MONTH"))
-_FROM, _TO = datetime(2024, 1, 30, 5, 10), datetime(2024, 4, 2, 7, 45)
+#: Kinds with their floor and length in SQL.
+_KINDS = (
+    ("Hourly", "date_trunc('hour', {t})", "INTERVAL 1 HOUR"), ("HalfHourly", "time_bucket(INTERVAL 30 MINUTE, {t})", "INTERVAL 30 MINUTE"), ("Daily", "date_trunc('day', {t})", "INTERVAL 1 DAY"),
+    ("MondayBasedWeekly", "date_trunc('week', {t})", "INTERVAL 7 DAY"), ("SundayBasedWeekly", "date_trunc('week', {t} + INTERVAL 1 DAY) - INTERVAL 1 DAY", "INTERVAL 7 DAY"), ("Monthly", "date_trunc('month', {t})", "INTERVAL 1 MONTH"),
+)
+_STAMP = "%Y-%m-%d %H:%M"
+
+
+def _counted(s: SparkSession, d: str, ranges: list[tuple[str, datetime, datetime]]) -> DataFrame:
+    """(kind, low, high, n): the events in each range that is one interval of its kind; there are as many as the ranges have intervals."""
+    out = None
+    for kind in dict.fromkeys(k for k, _, _ in ranges):
+        own = values(s, [(k, a, b) for k, a, b in ranges if k == kind], "kind string, low timestamp_ntz, high timestamp_ntz")
+        found = table(s, d, "events").groupBy(interval(kind).column(F.col("ts")).cast("timestamp_ntz").alias("low")).agg(F.count(F.lit(1)).alias("n"))
+        one = own.join(found, "low", "left").select("kind", *(F.date_format(c, "yyyy-MM-dd HH:mm").alias(c) for c in ("low", "high")), F.coalesce("n", F.lit(0)).alias("n"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("q_whole_intervals", " UNION ALL ".join(
-    f"SELECT '{n}' AS kind, strftime(a, '%Y-%m-%d %H:%M') AS low, strftime(a + {step}, '%Y-%m-%d %H:%M') AS high FROM (SELECT unnest(generate_series(TIMESTAMP '{at}', TIMESTAMP '2024-04-02 07:45:00', {step})) AS a) WHERE a + {step} <= TIMESTAMP '2024-04-02 07:45:00'" for n, at, step in _STEPS
+    f"SELECT '{k}' AS kind, strftime(a, '{_STAMP}') AS low, strftime(a + {step}, '{_STAMP}') AS high, (SELECT count(*) FROM events WHERE ts >= a AND ts < a + {step}) AS n "
+    f"FROM (SELECT unnest(generate_series((SELECT {floor.format(t='min(ts)')} FROM events), (SELECT max(ts) FROM events), {step})) AS a) WHERE a + {step} <= (SELECT max(ts) FROM events)" for k, floor, step in _KINDS
 ))
 def _(s, d):
-    stamp = "%Y-%m-%d %H:%M"
-    return values(s, [(n, a.strftime(stamp), b.strftime(stamp)) for n, _, _ in _STEPS for a, b in whole_intervals(interval(n), _FROM, _TO, _TO)], "kind string, low string, high string")
+    low, high = _span(s, d)
+    return _counted(s, d, [(k, a, b) for k, _, _ in _KINDS for a, b in whole_intervals(interval(k), low, high, high)])
 
 
-_NOW = datetime(2024, 3, 5, 10, 17)
-fixed(
-    "q_default_start", "kind string, low string, high string",
-    [("Hourly", "2024-03-05 09:00", "2024-03-05 10:00"), ("Daily", "2024-03-04 00:00", "2024-03-05 00:00"), ("SundayBasedWeekly", "2024-02-25 00:00", "2024-03-03 00:00"), ("Monthly", "2024-02-01 00:00", "2024-03-01 00:00")],
-    lambda s: [(n, a.strftime("%Y-%m-%d %H:%M"), b.strftime("%Y-%m-%d %H:%M")) for n in ("Hourly", "Daily", "SundayBasedWeekly", "Monthly") for a, b in whole_intervals(interval(n), None, None, _NOW)],
-)
-fixed(
-    "q_report_ranges", "kind string, periodic boolean, low string, high string",
-    [("Daily", True, "2024-01-30", "2024-04-02"), ("Daily", False, "2024-01-30", "2024-04-03"), ("Monthly", True, "2024-01-01", "2024-04-01"), ("Monthly", False, "2024-01-01", "2024-05-01"), ("MondayBasedWeekly", False, "2024-01-29", "2024-04-08")],
-    lambda s: [(n, p, *(t.strftime("%Y-%m-%d") for t in report_range(interval(n), _FROM, _TO, p))) for n, p in (("Daily", True), ("Daily", False), ("Monthly", True), ("Monthly", False), ("MondayBasedWeekly", False))],
-)
+@query("q_default_start", " UNION ALL ".join(
+    f"SELECT '{k}' AS kind, strftime(z - {step}, '{_STAMP}') AS low, strftime(z, '{_STAMP}') AS high, (SELECT count(*) FROM events WHERE ts >= z - {step} AND ts < z) AS n FROM (SELECT {floor.format(t='max(ts)')} AS z FROM events)" for k, floor, step in _KINDS
+))
+def _(s, d):
+    """Without a start, the last interval that has ended at the time of the last event."""
+    return _counted(s, d, [(k, a, b) for k, _, _ in _KINDS for a, b in whole_intervals(interval(k), None, None, _span(s, d)[1])])
+
+
+@query("q_report_ranges", " UNION ALL ".join(
+    f"SELECT '{k}' AS kind, {str(p).lower()} AS periodic, strftime(a, '%Y-%m-%d') AS low, strftime(z, '%Y-%m-%d') AS high, (SELECT count(*) FROM events WHERE ts >= a AND ts < z) AS n "
+    f"FROM (SELECT {floor.format(t='min(ts)')} AS a, {floor.format(t='max(ts)')}{'' if p else f' + {step}'} AS z FROM events)" for k, floor, step in _KINDS[2:] for p in (True, False)
+))
+def _(s, d):
+    """The rows of ad-hoc and periodic reports over all events, by kind."""
+    low, high = _span(s, d)
+    out = []
+    for k, _, _ in _KINDS[2:]:
+        for p in (True, False):
+            a, z = report_range(interval(k), low, high, p)
+            own = stats(EVENTS, table(s, d, "events"), start=low, end=high, rtype=k, periodic=p, resultset=_N)
+            out.append(own.agg(F.sum("n").alias("n")).select(F.lit(k).alias("kind"), F.lit(p).alias("periodic"), F.lit(f"{a:%Y-%m-%d}").alias("low"), F.lit(f"{z:%Y-%m-%d}").alias("high"), F.coalesce("n", F.lit(0)).alias("n")))
+    return reduce(DataFrame.unionByName, out)
+
 
 # --- functions -----------------------------------------------------------------------------------------------------
 
@@ -391,9 +485,3 @@ def _(s, d):
 def _(s, d):
     transforms.register_sql(s, "tagged", "concat(upper(value), '/', length(value))")
     return table(s, d, "part").select("p_partkey", transforms.apply("tagged", F.col("p_name")).alias("tag"))
-
-
-fixed("q_function_signatures", "what string, error string", [("no parameter", "ValueError"), ("two values", "ValueError"), ("unknown parameter", "ValueError"), ("unknown name", "KeyError"), ("in order", "no")], lambda s: [(n, _refused(f)) for n, f in (
-    ("no parameter", lambda: transforms.register("f0", lambda: None)), ("two values", lambda: transforms.register("f2", lambda a, b: a)), ("unknown parameter", lambda: transforms.apply("urldecode", F.col("x"), depth=2)),
-    ("unknown name", lambda: transforms.apply("no such", F.col("x"))), ("in order", lambda: transforms.register("f1", lambda a, b=1: a)),
-)])

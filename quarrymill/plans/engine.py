@@ -17,7 +17,7 @@ from quarrymill.plans.spec import DatasetSpec, ReportSpec
 _KEEP = "__id__"
 
 
-def _physical_name(column: str, agg: str) -> str:
+def physical_name(column: str, agg: str) -> str:
     return "count" if agg == "count" else f"{column}_{agg}"
 
 
@@ -46,10 +46,10 @@ def bucket(bound: BoundReport, time: Column) -> Column:
     return bound.rtype.column(time, bound.low)
 
 
-def _distinct(bound: BoundReport) -> Column:
-    """Distinct tuples; a tuple counts if one of its plain columns is there, or one of the others isn't empty, zero or false."""
+def distinct(bound: BoundReport, rows: Column | None = None) -> Column:
+    """Distinct tuples of the rows; a tuple counts if one of its plain columns is there, or one of the others isn't empty, zero or false."""
     cols = [F.col(f"`{n}`") for n, _ in bound.distinct]
-    tuples = F.struct(*cols)
+    tuples = F.struct(*cols) if rows is None else F.when(rows, F.struct(*cols))
     if any(kind == "distinct" for _, kind in bound.distinct):
         return F.count_distinct(tuples)
     filled = F.lit(False)
@@ -61,14 +61,14 @@ def _distinct(bound: BoundReport) -> Column:
 
 def physical_columns(bound: BoundReport) -> list[Column]:
     make = {"count": lambda c: F.count(F.lit(1)), "sum": F.sum, "min": F.min, "max": F.max}
-    out = [make[agg](F.col(f"`{name}`") if name != "*" else None).alias(_physical_name(name, agg)) for name, agg in bound.physical]
-    return [_distinct(bound).alias("distinct"), *out] if bound.distinct else out
+    out = [make[agg](F.col(f"`{name}`") if name != "*" else None).alias(physical_name(name, agg)) for name, agg in bound.physical]
+    return [distinct(bound).alias("distinct"), *out] if bound.distinct else out
 
 
 def _filled(bound: BoundReport, df: DataFrame) -> DataFrame:
     """Without rows counts and sums are 0; least and greatest stay null unless asked to be 0."""
     zero = bound.spec.options.get("empty_minmax", "null") == "zero"
-    names = [_physical_name(n, a) for n, a in bound.physical if a in ("count", "sum") or zero] + (["distinct"] if bound.distinct else [])
+    names = [physical_name(n, a) for n, a in bound.physical if a in ("count", "sum") or zero] + (["distinct"] if bound.distinct else [])
     return df.withColumns({n: F.coalesce(F.col(f"`{n}`"), F.lit(0).cast(df.schema[n].dataType)) for n in names})
 
 
@@ -84,18 +84,22 @@ def _spine(bound: BoundReport, spark: SparkSession) -> DataFrame:
 
 def aggregate(bound: BoundReport, df: DataFrame) -> DataFrame:
     """The raw (physical) result: keys, then physical aggregates."""
-    rows = selected(bound, df)
+    return grouped(bound, selected(bound, df), physical_columns(bound))
+
+
+def grouped(bound: BoundReport, rows: DataFrame, columns: list[Column]) -> DataFrame:
+    """Aggregates by bucket and keys; without keys a row for each bucket of the range."""
     keys = [F.col(f"`{c.name}`") for c in bound.keys]
     if bound.rtype:
         keys = [bucket(bound, F.col(bound.dataset.time_column)).alias(BUCKET), *keys]
-    out = rows.groupBy(*keys).agg(*physical_columns(bound)) if keys else rows.agg(*physical_columns(bound))
+    out = rows.groupBy(*keys).agg(*columns) if keys else rows.agg(*columns)
     if bound.rtype and not bound.keys and bound.low and bound.high:
-        spine = _spine(bound, df.sparkSession)
+        spine = _spine(bound, rows.sparkSession)
         out = spine.join(out.withColumn(BUCKET, F.col(BUCKET).cast(spine.schema[BUCKET].dataType)), BUCKET, "left")
     return out if bound.keys else _filled(bound, out)
 
 
-def _final(bound: BoundReport, raw: DataFrame, words: DataFrame | None) -> DataFrame:
+def final(bound: BoundReport, raw: DataFrame, words: DataFrame | None) -> DataFrame:
     """Requested columns in their order, decoded, filtered and sorted."""
     out = raw
     order: dict[str, str] = {}
@@ -112,7 +116,7 @@ def _final(bound: BoundReport, raw: DataFrame, words: DataFrame | None) -> DataF
         if r.aggregate == "avg":
             v = F.when(n > 0, F.col(f"`{r.column}_sum`") / n).otherwise(F.lit(0.0))
         else:
-            v = F.col(f"`{_physical_name(r.column, r.aggregate)}`")
+            v = F.col(f"`{physical_name(r.column, r.aggregate)}`")
         values.append(v.alias(r.alias))
     keys = ([BUCKET] if bound.rtype else []) + [c.name for c in bound.keys]
     hidden = [h for h in order.values() if h.startswith(_KEEP)]
@@ -134,7 +138,7 @@ def run_statistics(spark: SparkSession, spec: ReportSpec, dataset: DatasetSpec,
     """(final, raw) of a statistics report over a prepared table."""
     bound = bind(spec, dataset, words)
     raw = aggregate(bound, df)
-    return _final(bound, raw, words), raw
+    return final(bound, raw, words), raw
 
 
 def run_details(spark: SparkSession, spec: ReportSpec, dataset: DatasetSpec, df: DataFrame, words: DataFrame | None = None, order: tuple[str, ...] = ()) -> DataFrame:
