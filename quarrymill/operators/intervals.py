@@ -1,14 +1,21 @@
-"""Time intervals: floors as Column expressions, and iteration over whole intervals."""
+"""Time intervals: floors as Column expressions, and iteration over whole intervals.
+
+Intervals are of the wall clock of a zone. Times without a zone in data are UTC; a zone's wall clock skips an hour or shows one twice where it changes, so
+a day has 23 to 25 hours, and the two hours of one name are one bucket.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+UTC = "UTC"
+
 
 @dataclass(frozen=True)
 class Interval:
@@ -108,3 +115,36 @@ def report_range(kind: Interval, start: datetime, end: datetime, periodic: bool)
     """The floored range. An ad-hoc report's end is in the range with its whole interval; a periodic one's isn't."""
     low, high = kind.floor(start), kind.floor(end)
     return low, high if periodic else kind.next(high)
+
+
+def to_utc(wall: datetime, zone: str) -> datetime:
+    """A zone's wall clock as UTC. A time that the clock skips is that of the change; of one that it shows twice, the first."""
+    return wall if zone == UTC else wall.replace(tzinfo=ZoneInfo(zone)).astimezone(timezone.utc).replace(tzinfo=None)
+
+
+def to_wall(at: datetime, zone: str) -> datetime:
+    return at if zone == UTC else at.replace(tzinfo=timezone.utc).astimezone(ZoneInfo(zone)).replace(tzinfo=None)
+
+
+def wall_clock(ts: Column, kind: str, zone: str) -> Column:
+    """Times in data as a zone's wall clock. kind: the type's name; times with a zone are instants, others are UTC."""
+    if zone == UTC:
+        return ts
+    if kind == "timestamp":
+        ts = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(secs=(F.unix_micros(ts) / 1_000_000).cast("decimal(18,6)"))
+    return F.convert_timezone(F.lit(UTC), F.lit(zone), ts)
+
+
+def zoned_intervals(kind: Interval, start: datetime, end: datetime, now: datetime, offset: timedelta = timedelta(0), zone: str = UTC) -> Iterator[tuple[datetime, datetime, datetime]]:
+    """(start by the wall clock, start and end in UTC) of whole intervals; the arguments are by the wall clock.
+
+    Minutes and hours are counted in UTC, so that each that passes is there; longer ones are of the clock.
+    """
+    if zone == UTC or kind.kind not in ("minutes", "hours"):
+        for a, b in whole_intervals(kind, start, end, now, offset):
+            yield a, to_utc(a, zone), to_utc(b, zone)
+        return
+    at, stop = to_utc(kind.floor(start), zone), to_utc(min(end, now - offset), zone)
+    while (to := kind.next(at)) <= stop:
+        yield to_wall(at, zone), at, to
+        at = to

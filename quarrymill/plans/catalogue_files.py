@@ -424,6 +424,37 @@ def _(s, d):
     return reduce(DataFrame.unionByName, out)
 
 
+_ZONED = "((ts + INTERVAL 60 DAY) AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York'"
+
+
+def _in_new_york(s: SparkSession, d: str, **report) -> DataFrame:
+    """Events moved into March, where the clock of the zone changes on the 10th."""
+    spec = DatasetSpec(**{**EVENTS.__dict__, "timezone": "America/New_York"})
+    out = stats(spec, table(s, d, "events").withColumn("ts", F.col("ts") + F.make_dt_interval(days=F.lit(60))), resultset=_N, **report)
+    return out.withColumn("request_time", F.date_format("request_time", "yyyy-MM-dd HH:mm"))
+
+
+@query("q_days_in_a_zone", f"""
+SELECT strftime(day, '{_STAMP}') AS request_time, count(event_id) AS n FROM (SELECT unnest(generate_series(TIMESTAMP '2024-03-01', TIMESTAMP '2024-03-31', INTERVAL 1 DAY)) AS day)
+LEFT JOIN (SELECT event_id, date_trunc('day', {_ZONED}) AS d FROM events) ON d = day GROUP BY day""")
+def _(s, d):
+    return _in_new_york(s, d, rtype="Daily", start=datetime(2024, 3, 1), end=datetime(2024, 4, 1))
+
+
+@query("q_hours_in_a_zone", f"""
+SELECT strftime(hour, '{_STAMP}') AS request_time, count(event_id) AS n
+FROM (SELECT date_trunc('hour', (h AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') AS hour FROM (SELECT unnest(generate_series(TIMESTAMP '2024-03-09 05:00:00', TIMESTAMP '2024-03-11 03:00:00', INTERVAL 1 HOUR)) AS h))
+LEFT JOIN (SELECT event_id, date_trunc('hour', {_ZONED}) AS at FROM events) ON at = hour GROUP BY hour""")
+def _(s, d):
+    """Two days, one of them of 23 hours."""
+    return _in_new_york(s, d, rtype="Hourly", start=datetime(2024, 3, 9), end=datetime(2024, 3, 11))
+
+
+@query("q_zone_by_type", f"SELECT strftime(date_trunc('week', {_ZONED}), '{_STAMP}') AS request_time, event_type, count(*) AS n FROM events GROUP BY ALL")
+def _(s, d):
+    return _in_new_york(s, d, rtype="MondayBasedWeekly", group_by=("event_type",))
+
+
 # --- functions -----------------------------------------------------------------------------------------------------
 
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarrymill.functions import transforms
 from quarrymill.operators import dictionary as enums
-from quarrymill.operators.intervals import Interval, interval
+from quarrymill.operators.intervals import UTC, interval, wall_clock
 from quarrymill.operators.predicates import NUMBER
 from quarrymill.plans.planner import BUCKET, BoundReport, bind
 from quarrymill.plans.spec import DatasetSpec, ReportSpec
@@ -27,13 +28,21 @@ def _all(df: DataFrame, tests: list[Column]) -> DataFrame:
     return df
 
 
+def _instant(at: datetime, kind: T.DataType, zone: str) -> Column:
+    """A time in UTC as a value of the time column's type."""
+    if zone != UTC and kind.typeName() == "timestamp":
+        return F.lit(at.replace(tzinfo=timezone.utc))
+    return F.lit(at).cast(kind)
+
+
 def selected(bound: BoundReport, df: DataFrame) -> DataFrame:
     """Rows in the range that meet the conditions; the range prunes partitions by the time column."""
-    time = F.col(bound.dataset.time_column)
-    if bound.low is not None:
-        df = df.where(time >= F.lit(bound.low).cast(df.schema[bound.dataset.time_column].dataType))
-    if bound.high is not None:
-        df = df.where(time < F.lit(bound.high).cast(df.schema[bound.dataset.time_column].dataType))
+    time, zone = F.col(bound.dataset.time_column), bound.dataset.timezone
+    low, high = bound.utc_range
+    if low is not None:
+        df = df.where(time >= _instant(low, df.schema[bound.dataset.time_column].dataType, zone))
+    if high is not None:
+        df = df.where(time < _instant(high, df.schema[bound.dataset.time_column].dataType, zone))
     df = df.where(F.lit(False)) if bound.empty else _all(df, bound.where)
     for name, ids in bound.semi:
         df = df.join(ids, F.col(f"`{name}`") == F.col("_id"), "left_semi")
@@ -41,6 +50,7 @@ def selected(bound: BoundReport, df: DataFrame) -> DataFrame:
 
 
 def bucket(bound: BoundReport, time: Column) -> Column:
+    """time: by the wall clock of the dataset's zone."""
     if bound.spec.options.get("bucket_mode", "floor") == "label":
         return bound.rtype.label(time)
     return bound.rtype.column(time, bound.low)
@@ -73,13 +83,16 @@ def _filled(bound: BoundReport, df: DataFrame) -> DataFrame:
 
 
 def _spine(bound: BoundReport, spark: SparkSession) -> DataFrame:
-    """Every bucket of the range; a row for each, made on the executors."""
-    data = interval(bound.dataset.data_interval)
+    """Every bucket of the range; a row for each, made on the executors. Minutes and hours are those that pass, which a zone's clock may skip or show twice."""
+    data, zone = interval(bound.dataset.data_interval), bound.dataset.timezone
     step = {"minutes": "minute", "hours": "hour", "days": "day", "weeks": "day", "months": "month"}[data.kind]
     n = data.n * (7 if data.kind == "weeks" else 1)
     lit = lambda t: f"timestamp_ntz'{t:%Y-%m-%d %H:%M:%S}'"
-    times = spark.range(1).select(F.explode(F.expr(f"sequence({lit(bound.low)}, {lit(bound.high)}, interval {n} {step})")).alias("t")).where(F.col("t") < F.expr(lit(bound.high)))
-    return times.select(bucket(bound, F.col("t")).alias(BUCKET)).distinct()
+    passing = data.kind in ("minutes", "hours")
+    low, high = bound.utc_range if passing else (bound.low, bound.high)
+    times = spark.range(1).select(F.explode(F.expr(f"sequence({lit(low)}, {lit(high)}, interval {n} {step})")).alias("t")).where(F.col("t") < F.expr(lit(high)))
+    wall = wall_clock(F.col("t"), "timestamp_ntz", zone) if passing else F.col("t")
+    return times.select(bucket(bound, wall).alias(BUCKET)).distinct()
 
 
 def aggregate(bound: BoundReport, df: DataFrame) -> DataFrame:
@@ -91,7 +104,9 @@ def grouped(bound: BoundReport, rows: DataFrame, columns: list[Column]) -> DataF
     """Aggregates by bucket and keys; without keys a row for each bucket of the range."""
     keys = [F.col(f"`{c.name}`") for c in bound.keys]
     if bound.rtype:
-        keys = [bucket(bound, F.col(bound.dataset.time_column)).alias(BUCKET), *keys]
+        time = bound.dataset.time_column
+        wall = wall_clock(F.col(time), rows.schema[time].dataType.typeName(), bound.dataset.timezone)
+        keys = [bucket(bound, wall).alias(BUCKET), *keys]
     out = rows.groupBy(*keys).agg(*columns) if keys else rows.agg(*columns)
     if bound.rtype and not bound.keys and bound.low and bound.high:
         spine = _spine(bound, rows.sparkSession)

@@ -38,7 +38,7 @@ def kind_of(bound: BoundReport) -> str:
 
 def _needed(bound: BoundReport, source: commits.Commit) -> dict[str, commits.Entry]:
     """The typed table's intervals in the report's range."""
-    low, high = bound.low and store.slot_of(bound.low), bound.high and store.slot_of(bound.high)
+    low, high = (t and store.slot_of(t) for t in bound.utc_range)
     return {s: e for s, e in source.intervals.items() if (not low or s >= low) and (not high or s < high)}
 
 

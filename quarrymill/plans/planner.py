@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quarrymill.functions import transforms
 from quarrymill.operators import dictionary as enums
-from quarrymill.operators.intervals import Interval, interval, report_range
+from quarrymill.operators.intervals import Interval, interval, report_range, to_utc
 from quarrymill.operators.predicates import NUMBER, UnsupportedOperator, canonical, predicate
 from quarrymill.plans.spec import ColumnSpec, DatasetSpec, ReportSpec
 
@@ -50,6 +50,11 @@ class BoundReport:
     having: list[tuple[str, str, object]] = field(default_factory=list)
     sort: list[tuple[str, bool]] = field(default_factory=list)
 
+    @property
+    def utc_range(self) -> tuple[datetime | None, datetime | None]:
+        """The range in UTC; ``low`` and ``high`` are by the wall clock of the dataset's zone."""
+        return tuple(t and to_utc(t, self.dataset.timezone) for t in (self.low, self.high))
+
 
 def _value(v, text_only: bool = False):
     """A literal that is given as JSON; text that isn't JSON stands for itself. text_only: lists and objects are text, too."""

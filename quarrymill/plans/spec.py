@@ -54,7 +54,7 @@ class DatasetSpec:
     filename: str = "%Y%m%d%H.csv"
     cache_timeout: int = 28
     ignore_missing_datafile: bool = False
-    timezone: str = "UTC"
+    timezone: str = "UTC"  # whose wall clock days, ranges and file names are of; times without a zone in the data are UTC
     time_column: str = "interval_start"
 
     def column(self, name: str) -> ColumnSpec:

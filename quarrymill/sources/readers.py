@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarrymill.operators.intervals import interval, whole_intervals
+from quarrymill.operators.intervals import interval, zoned_intervals
 from quarrymill.plans.spec import DatasetSpec
 
 INTERVAL = "interval_start"
@@ -86,9 +86,14 @@ FORMATS: dict[str, Callable] = {
 
 
 def interval_files(dataset: DatasetSpec, start: datetime, end: datetime, now: datetime | None = None, offset: timedelta = timedelta(0)) -> list[tuple[datetime, datetime, str]]:
-    """(start, end, file name) of each data interval in the range."""
-    kind = interval(dataset.data_interval)
-    return [(a, b, a.strftime(dataset.filename)) for a, b in whole_intervals(kind, start, end, now or end, offset)]
+    """(start, end, file name) of each data interval in the range.
+
+    The arguments and the names are by the wall clock of the dataset's zone, starts and ends in UTC; of two hours of one name the first has the file.
+    """
+    named = {}
+    for wall, a, b in zoned_intervals(interval(dataset.data_interval), start, end, now or end, offset, dataset.timezone):
+        named.setdefault(wall.strftime(dataset.filename), (a, b))
+    return [(a, b, name) for name, (a, b) in named.items()]
 
 
 def present(spark: SparkSession, paths: list[str]) -> dict[str, str]:

@@ -82,7 +82,7 @@ def download(spark: SparkSession, dataset: DatasetSpec, origin, path: str, start
 
 
 def load(spark: SparkSession, path: str, low: datetime | None = None, high: datetime | None = None) -> DataFrame:
-    """The typed table, or its intervals from ``low`` to before ``high``; a table without rows has its columns."""
+    """The typed table, or its intervals from ``low`` to before ``high`` (UTC); a table without rows has its columns."""
     a, b = low and slot_of(low), high and slot_of(high)
     return commits.read(spark, path, lambda s, e: (not a or s >= a) and (not b or s < b))
 

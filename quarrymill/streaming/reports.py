@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarrymill.operators.intervals import UTC
 from quarrymill.plans import engine
 from quarrymill.plans.planner import BUCKET, bind
 from quarrymill.plans.spec import DatasetSpec, ReportSpec
@@ -18,6 +19,8 @@ def stream_statistics(spec: ReportSpec, dataset: DatasetSpec, stream: DataFrame,
     bound = bind(spec, dataset)
     if bound.rtype is None or bound.rtype.kind not in SPANS or bound.distinct:
         raise ValueError("a stream needs a report type of fixed length and no distinct counts")
+    if dataset.timezone != UTC:
+        raise ValueError("a stream's windows are of UTC")
     kind = bound.rtype
     if stream.schema[dataset.time_column].dataType.typeName() == "timestamp_ntz":  # watermarks are of instants
         stream = stream.withColumn(dataset.time_column, F.col(dataset.time_column).cast("timestamp"))
