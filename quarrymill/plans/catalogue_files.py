@@ -444,7 +444,7 @@ def _(s, d):
 @query("q_hours_in_a_zone", f"""
 SELECT strftime(hour, '{_STAMP}') AS request_time, count(event_id) AS n
 FROM (SELECT date_trunc('hour', (h AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') AS hour FROM (SELECT unnest(generate_series(TIMESTAMP '2024-03-09 05:00:00', TIMESTAMP '2024-03-11 03:00:00', INTERVAL 1 HOUR)) AS h))
-LEFT JOIN (SELECT event_id, date_trunc('hour', {_ZONED}) AS at FROM events) ON at = hour GROUP BY hour""")
+LEFT JOIN (SELECT event_id, date_trunc('hour', {_ZONED}) AS t0 FROM events) ON t0 = hour GROUP BY hour""")
 def _(s, d):
     """Two days, one of them of 23 hours."""
     return _in_new_york(s, d, rtype="Hourly", start=datetime(2024, 3, 9), end=datetime(2024, 3, 11))
