@@ -163,6 +163,16 @@ def _(s, d):
     return readers.read_csv(s, at, ("doc_id", "text"), has_header=True).select(F.col("doc_id").cast("bigint"), F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
 
 
+@query("q_csv_blocks", "SELECT doc_id, md5(coalesce(text, '')) AS digest, lang FROM documents")
+def _(s, d):
+    """The same texts cut into records by blocks, from files whose headers have their names in another order."""
+    at, own = store.work_folder(s), table(s, d, "documents")
+    store.write_csv(own.where("doc_id % 2 = 0").select("doc_id", "text", "lang"), f"{at}/a")
+    store.write_csv(own.where("doc_id % 2 <> 0").select("lang", "doc_id", "text"), f"{at}/b")
+    rows = readers.read_csv(s, [f"{at}/a", f"{at}/b"], ("doc_id", "text", "lang"), has_header=True, blocks=True)
+    return rows.select(F.col("doc_id").cast("bigint"), F.md5(F.coalesce("text", F.lit(""))).alias("digest"), "lang")
+
+
 @query("q_jsonline_round_trip", "SELECT event_id, event_type, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts, CASE WHEN user_id % 7 = 0 THEN NULL ELSE user_id END AS user_id FROM events")
 def _(s, d):
     at = store.work_folder(s) + "/lines"
