@@ -67,7 +67,7 @@ def _edges(batch: pa.RecordBatch, window: int, kmer: int) -> pa.RecordBatch:
 
 
 def _windows(batch: pa.RecordBatch, window: int) -> pa.RecordBatch:
-    """Every window of the wanted edges: k-mer, content, document and position."""
+    """The windows of the wanted edges by k-mer and content, each once: the least and the greatest document that has it, and all places here."""
     h, ends = word_hashes(texts_of(batch), _cache)
     wanted = _column(batch, "wanted")
     per = np.diff(wanted.offsets.to_numpy())
@@ -80,8 +80,15 @@ def _windows(batch: pa.RecordBatch, window: int) -> pa.RecordBatch:
     pos = start[edge] + inside
     at = pos + ends[row[edge]]
     body = span_hashes(h, at, at + window)
-    of = pa.array(row[edge])
-    return pa.RecordBatch.from_arrays([pa.array(kmer[edge]), _signed(body), _column(batch, "doc").take(of), _column(batch, "copy").take(of), pa.array(pos.astype(np.int32))], ["kmer", "body", "doc", "copy", "start"])
+    doc, copy = (_column(batch, c).to_numpy()[row[edge]] for c in ("doc", "copy"))
+    kmer, body = kmer[edge], body.view(np.int64)
+    order = np.lexsort((doc, body, kmer))  # documents rise within a window
+    kmer, body, doc = kmer[order], body[order], doc[order]
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(kmer) != 0) | (np.diff(body) != 0)])) if len(order) else order
+    last = np.append(first[1:], len(order)) - 1 if len(order) else order
+    places = pa.StructArray.from_arrays([pa.array(doc), pa.array(copy[order]), pa.array(pos[order].astype(np.int32))], ["doc", "copy", "start"])
+    listed = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)).astype(np.int32)), places)
+    return pa.RecordBatch.from_arrays([pa.array(kmer[first]), pa.array(body[first]), pa.array(doc[first]), pa.array(doc[last]), listed], ["kmer", "body", "lo", "hi", "places"])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -125,10 +132,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER, scra
     wanted = known.where("branching and doc = first").groupBy("doc", "copy").agg(F.collect_list(F.struct("kmer", "start", "n")).alias("wanted"))
     wanted = scratch.put(wanted, "wanted")
     windows = keyed.join(wanted, ["doc", "copy"]).select("doc", "copy", "text", "wanted")
-    windows = scratch.put(windows.mapInArrow(map_slices(partial(_windows, window=window), once=("doc", "copy")), "kmer long, body long, doc long, copy long, start int"), "windows")
-    least = windows.groupBy("kmer", "body").agg(F.min("doc").alias("_lo"), F.max("doc").alias("_hi")).where("_lo < _hi").drop("_hi")
+    # A window that many documents have is a row for each slice of text that a task reads at once, not for each document.
+    schema = "kmer long, body long, lo long, hi long, places array<struct<doc: long, copy: long, start: int>>"
+    windows = scratch.put(windows.mapInArrow(map_slices(partial(_windows, window=window), once=("doc", "copy")), schema), "windows")
+    least = windows.groupBy("kmer", "body").agg(F.min("lo").alias("_lo"), F.max("hi").alias("_hi")).where("_lo < _hi").drop("_hi")
     least = scratch.put(least, "least")
-    single = windows.join(least, ["kmer", "body"]).where("doc > _lo").select("doc", "copy", "start", F.lit(1).alias("n"))
+    later = F.explode(F.filter("places", lambda p: p["doc"] > F.col("_lo"))).alias("p")
+    single = windows.join(least, ["kmer", "body"]).where("hi > _lo").select(later).select("p.doc", "p.copy", "p.start", F.lit(1).alias("n"))
     # Runs of single windows become one span each.
     single = single.distinct().withColumn("_run", F.col("start") - F.row_number().over(own)).groupBy("doc", "copy", "_run").agg(F.min("start").alias("start"), F.sum("n").cast("int").alias("n")).drop("_run")
     spans = scratch.put(whole.unionByName(single), "spans")
