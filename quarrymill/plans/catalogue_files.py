@@ -21,7 +21,7 @@ from quarrymill.plans import engine, partials
 from quarrymill.plans.catalogue import _A, _B, _SUM, DOUBLE, END, EVENTS, INT, LONG, MONEY, START, TEXT, VECTORS, _all_uses, _pairs, _with_ip, events, query, stats, table
 from quarrymill.plans.spec import ColumnSpec, DatasetSpec, ReportSpec, Transform
 from quarrymill.sources import audit, readers, store
-from quarrymill.streaming.reports import stream_statistics
+from quarrymill.streaming.reports import STORE, stream_statistics
 
 _N = (("*", "count", "n"),)
 _LAST = datetime(2024, 2, 3)
@@ -300,19 +300,49 @@ def _(s, d):
     return values(s, named, "event_type string, name string, raw_name string, details string")
 
 
+def _streamed(s: SparkSession, rows: DataFrame, spec: ReportSpec) -> DataFrame:
+    """Buckets that the watermark has closed, appended by a stream that reads what there is and ends."""
+    at = store.work_folder(s)
+    rows.write.parquet(f"{at}/in")  # streams read folders
+    out = stream_statistics(spec, EVENTS, s.readStream.schema(rows.schema).parquet(f"{at}/in"))
+    out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{at}/marks").trigger(availableNow=True).start(f"{at}/out").awaitTermination()
+    return s.read.schema(out.schema).parquet(f"{at}/out").withColumn("request_time", F.date_format("request_time", "yyyy-MM-dd HH:mm:ss"))
+
+
 @query("q_stream_buckets", f"""
 SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS request_time, event_type, count(*) AS n, {_SUM} AS total FROM events
 WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY 1, 2""")
 def _(s, d):
-    """Buckets that the watermark has closed, appended by a stream that reads what there is and ends."""
-    at = store.work_folder(s)
-    table(s, d, "events").write.parquet(f"{at}/in")  # streams read folders
-    stream = s.readStream.schema(s.read.parquet(f"{at}/in").schema).parquet(f"{at}/in").withColumn("value", F.col("value").cast(MONEY))
     spec = ReportSpec("q", "events", rtype="Hourly", group_by=("event_type",), resultset=(*_N, ("value", "sum", "total")))
-    out = stream_statistics(spec, EVENTS, stream)
-    out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{at}/marks").trigger(availableNow=True).start(f"{at}/out").awaitTermination()
-    rows = s.read.schema(out.schema).parquet(f"{at}/out")
-    return rows.select(F.date_format("request_time", "yyyy-MM-dd HH:mm:ss").alias("request_time"), "event_type", F.col("count").alias("n"), F.col("value_sum").cast("double").alias("total"))
+    rows = _streamed(s, table(s, d, "events").withColumn("value", F.col("value").cast(MONEY)), spec)
+    return rows.select("request_time", "event_type", F.col("count").alias("n"), F.col("value_sum").cast("double").alias("total"))
+
+
+@query("q_stream_distinct", """
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS request_time, event_type, count(DISTINCT user_id) AS users, count(*) AS n, max(event_id) AS last FROM events
+WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY 1, 2""")
+def _(s, d):
+    spec = ReportSpec("q", "events", rtype="Daily", group_by=("event_type",), resultset=(("user_id", "distinct", "users"), *_N, ("event_id", "max", "last")))
+    return _streamed(s, table(s, d, "events"), spec).select("request_time", "event_type", F.col("distinct").alias("users"), F.col("count").alias("n"), F.col("event_id_max").alias("last"))
+
+
+_SPREAD = "ts + to_months(CAST(event_id % 3 AS INTEGER))"
+
+
+@query("q_stream_months", f"""
+SELECT strftime(date_trunc('month', t0), '%Y-%m-%d %H:%M:%S') AS request_time, event_type, count(DISTINCT user_id) AS users, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids
+FROM (SELECT *, {_SPREAD} AS t0 FROM events) WHERE date_trunc('month', t0) + INTERVAL 1 MONTH <= (SELECT max({_SPREAD}) FROM events) - INTERVAL 10 MINUTE GROUP BY 1, 2""")
+def _(s, d):
+    """Events spread over three months, of which the last isn't over."""
+    spec = ReportSpec("q", "events", rtype="Monthly", group_by=("event_type",), resultset=(("user_id", "distinct", "users"), *_N, ("event_id", "sum", "ids")))
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = s.conf.get(key)
+    s.conf.set(key, STORE)
+    try:
+        rows = _streamed(s, table(s, d, "events").withColumn("ts", F.col("ts") + F.make_ym_interval(months=(F.col("event_id") % 3).cast("int"))), spec)
+    finally:
+        s.conf.set(key, before)
+    return rows.select("request_time", "event_type", F.col("distinct").alias("users"), F.col("count").alias("n"), F.col("event_id_sum").alias("ids"))
 
 
 # --- predicates, literals, checks ----------------------------------------------------------------------------------

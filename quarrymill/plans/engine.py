@@ -56,17 +56,21 @@ def bucket(bound: BoundReport, time: Column) -> Column:
     return bound.rtype.column(time, bound.low)
 
 
-def distinct(bound: BoundReport, rows: Column | None = None) -> Column:
-    """Distinct tuples of the rows; a tuple counts if one of its plain columns is there, or one of the others isn't empty, zero or false."""
-    cols = [F.col(f"`{n}`") for n, _ in bound.distinct]
-    tuples = F.struct(*cols) if rows is None else F.when(rows, F.struct(*cols))
+def counted(bound: BoundReport) -> Column:
+    """Whether a tuple counts: one of its plain columns is there, or one of the others isn't empty, zero or false."""
     if any(kind == "distinct" for _, kind in bound.distinct):
-        return F.count_distinct(tuples)
+        return F.lit(True)
     filled = F.lit(False)
     for name, _ in bound.distinct:
         d, c = bound.dataset.column(name).dtype, F.col(f"`{name}`")
         filled = filled | (F.size(c) > 0 if d.is_list else c if d.is_bool else c != "" if d.is_string else c != 0)
-    return F.count_distinct(F.when(filled, tuples))
+    return filled
+
+
+def distinct(bound: BoundReport, rows: Column | None = None) -> Column:
+    """Distinct tuples of the rows that count."""
+    which = counted(bound) if rows is None else counted(bound) & rows
+    return F.count_distinct(F.when(which, F.struct(*(F.col(f"`{n}`") for n, _ in bound.distinct))))
 
 
 def physical_columns(bound: BoundReport) -> list[Column]:

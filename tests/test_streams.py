@@ -1,0 +1,105 @@
+"""Streams of distinct counts and of months end as the batch report does."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from quarrymill.functions.types import DType
+from quarrymill.plans import engine
+from quarrymill.plans.spec import ColumnSpec, DatasetSpec, ReportSpec
+from quarrymill.streaming import reports
+
+USES = {"statistical": True, "groupable": True, "distinctable": True}
+SPEC = DatasetSpec("log", (ColumnSpec("user", DType(107), **USES), ColumnSpec("kind", DType(301, size=9), groupable=True, distinctable=True), ColumnSpec("value", DType(203), statistical=True)), time_column="ts")
+SCHEMA = "ts timestamp, user bigint, kind string, value double"
+START = datetime(2024, 1, 1)
+
+
+@pytest.fixture(autouse=True)
+def rocks(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, reports.STORE)
+    yield
+    spark.conf.set(key, before)
+
+
+def rows(n, days, seed=0):
+    return [(START + timedelta(minutes=(i * 7919 + seed) % (1440 * days)), (i * 3 + seed) % 5, "abc"[i % 3] if i % 4 else None, float(i % 11)) for i in range(n)]
+
+
+class Flow:
+    """A stream over a folder; each run takes what has been put since and ends."""
+
+    def __init__(self, spark, tmp_path, **report):
+        self.spark, self.at, self.report = spark, str(tmp_path), {"resultset": (("*", "count", "c"),), **report}
+        spark.createDataFrame([], SCHEMA).write.parquet(f"{self.at}/in")
+        self.out = reports.stream_statistics(ReportSpec("r", "log", **self.report), SPEC, spark.readStream.schema(SCHEMA).parquet(f"{self.at}/in"), late="1 hour")
+
+    def put(self, data):
+        self.spark.createDataFrame(data, SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.at}/in")
+
+    def run(self):
+        self.out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{self.at}/marks").trigger(availableNow=True).start(f"{self.at}/out").awaitTermination()
+        got = self.spark.read.schema(self.out.schema).parquet(f"{self.at}/out")
+        return sorted((tuple(r) for r in got.select(*sorted(got.columns)).collect()), key=repr)
+
+    def batch(self, data, before):
+        """The batch report over these rows, of the buckets that start before a time."""
+        want = engine.run_statistics(self.spark, ReportSpec("r", "log", **self.report), SPEC, self.spark.createDataFrame(data, SCHEMA))[1].where(F.col("request_time") < F.lit(before))
+        return sorted((tuple(r) for r in want.select(*sorted(want.columns)).collect()), key=repr)
+
+
+@pytest.mark.parametrize("report", [
+    {"rtype": "Daily", "group_by": ("kind",), "resultset": (("user", "distinct", "u"), ("value", "sum", "s"), ("value", "max", "m"), ("*", "count", "c"))},
+    {"rtype": "MondayBasedWeekly", "resultset": (("user", "distinct_exclude_null", "u"), ("kind", "distinct_exclude_null", None))},
+    {"rtype": "Hourly", "group_by": ("kind",), "resultset": (("kind", "distinct", "u"), ("user", "distinct", None), ("user", "min", "lo"))},
+])
+def test_distinct_counts(spark, tmp_path, report):
+    flow, data = Flow(spark, tmp_path, **report), rows(400, 20)
+    end = START + timedelta(days=28)
+    flow.put(sorted(data)[:200])
+    flow.run()
+    flow.put(sorted(data)[200:])
+    flow.run()
+    flow.put([(end + timedelta(days=9), 1, "z", 0.0)])
+    assert flow.run() == flow.batch(data, end)
+
+
+@pytest.mark.parametrize("report", [
+    {"group_by": ("kind",), "resultset": (("user", "distinct", "u"), ("value", "sum", "s"), ("value", "min", "lo"), ("value", "max", "hi"), ("*", "count", "c"))},
+    {"resultset": (("value", "avg", "a"), ("user", "sum", "s"))},
+    {"resultset": (("user", "distinct_exclude_null", "u"),)},
+])
+def test_months(spark, tmp_path, report):
+    flow, data = Flow(spark, tmp_path, rtype="Monthly", **report), rows(600, 75)
+    ordered = sorted(data)
+    flow.put(ordered[:300])
+    flow.run()
+    flow.put(ordered[300:])
+    first = flow.run()
+    assert {r for r in first} == set(flow.batch(data, datetime(2024, 2, 15)))  # March isn't over
+    flow.put([(datetime(2024, 4, 2), 1, "z", 0.0)])
+    assert flow.run() == flow.batch(data, datetime(2024, 4, 1))
+
+
+def test_late_rows_are_dropped(spark, tmp_path):
+    flow = Flow(spark, tmp_path, rtype="Monthly", resultset=(("user", "distinct", "u"), ("*", "count", "c")))
+    flow.put([(datetime(2024, 1, 5), 1, "a", 1.0), (datetime(2024, 1, 20), 2, "a", 1.0), (datetime(2024, 1, 20, 2), 2, "b", 1.0)])
+    flow.run()
+    flow.put([(datetime(2024, 1, 6), 9, "a", 1.0), (datetime(2024, 1, 20, 5), 3, "a", 1.0), (datetime(2024, 3, 9), 3, "a", 1.0)])  # a closed day, an open one, the next months
+    flow.run()
+    flow.put([(datetime(2024, 3, 10), 3, "a", 1.0)])
+    got = flow.run()
+    kept = [(datetime(2024, 1, 5), 1, "a", 1.0), (datetime(2024, 1, 20), 2, "a", 1.0), (datetime(2024, 1, 20, 2), 2, "b", 1.0), (datetime(2024, 1, 20, 5), 3, "a", 1.0)]
+    assert got == flow.batch(kept, datetime(2024, 2, 1))
+
+
+def test_what_streams_refuse(spark, tmp_path):
+    stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path))
+    with pytest.raises(ValueError, match="report type"):
+        reports.stream_statistics(ReportSpec("r", "log", resultset=(("*", "count", "c"),)), SPEC, stream)
+    spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    with pytest.raises(ValueError, match="providerClass"):
+        reports.stream_statistics(ReportSpec("r", "log", rtype="Monthly", resultset=(("*", "count", "c"),)), SPEC, stream)
