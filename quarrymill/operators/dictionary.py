@@ -76,22 +76,37 @@ def search(dictionary: DataFrame, name: str, pattern: str) -> DataFrame:
     return dictionary.where((F.col("column") == name) & F.col("key").like(like))
 
 
+#: Tables of at most so many address ranges go to every task.
+FEW_RANGES = 256
+
+
 def locate(df: DataFrame, ip: Column, ranges: DataFrame, columns: list[str]) -> DataFrame:
     """Left join with non-overlapping address ranges (start_ip, end_ip, ...), of IPv4 and IPv6.
 
-    ip: addresses as text. Bounds are text, or numbers for IPv4. Each distinct address looks up the last range that starts at or before it, and has
-    it if it ends no earlier. Addresses that share a network, or most of their bits, are as good as any: they are dealt by their order, with the ranges.
+    ip: addresses as text. Bounds are text, or numbers for IPv4. A few ranges are compared with each row; of more, each distinct address looks up the last
+    range that starts at or before it, and has it if it ends no earlier. Addresses that share a network, or most of their bits, are as good as any: they are dealt by
+    their order, with the ranges.
     """
     def bound(c: str) -> Column:
         return network.order_key(F.col(c)) if ranges.schema[c].dataType.typeName() == "string" else network.number_key(F.col(c))
 
+    starts = ranges.select(bound("start_ip").alias("_start"), bound("end_ip").alias("_end"), *columns).where("_start IS NOT NULL")
     keyed = df.withColumn("_ip", network.order_key(ip))
+    few = starts.limit(FEW_RANGES + 1).collect()
+    if len(few) <= FEW_RANGES:
+        table = F.broadcast(df.sparkSession.createDataFrame(few, starts.schema).withColumn("_net", F.explode(F.sequence(_net("_start"), _net("_end")))))
+        hit = (_net("_ip") == F.col("_net")) & (F.col("_ip") >= F.col("_start")) & (F.col("_ip") <= F.col("_end"))
+        return keyed.join(table, hit, "left").drop("_ip", "_start", "_end", "_net")
     points = keyed.where("_ip IS NOT NULL").select("_ip").distinct()
-    starts = ranges.select(bound("start_ip").alias("_ip"), bound("end_ip").alias("_end"), *columns).where("_ip IS NOT NULL")
-    found = last_before(points, starts, "_ip", ["_end", *columns]).where(F.col("_end") >= F.col("_ip")).drop("_end")
+    found = last_before(points, starts.withColumnRenamed("_start", "_ip"), "_ip", ["_end", *columns]).where(F.col("_end") >= F.col("_ip")).drop("_end")
     return keyed.join(found, "_ip", "left").drop("_ip")
 
 
+def _net(key: str) -> Column:
+    """The version and the first eight bits of an address's key, as a number; a range has 512 at most."""
+    return F.conv(F.substring(key, 1, 3), 16, 10).cast("int")
+
+
 def country_label(ip: Column, country: Column, internal: str = "Internal", unknown: str = "Unknown") -> Column:
     return F.when(ip.isNull() | (F.trim(ip) == ""), unknown).otherwise(F.coalesce(F.initcap(country), F.lit(internal)))
 

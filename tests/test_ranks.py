@@ -63,7 +63,9 @@ def _brute(ip, ranges):
     return None
 
 
-def test_addresses_of_both_versions(spark):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_addresses_of_both_versions(spark, monkeypatch, few):
+    monkeypatch.setattr(enums, "FEW_RANGES", few)
     r = random.Random(2)
     ranges, at = [], 0
     for i in range(60):  # all in 10.0.0.0/8, with gaps
@@ -79,9 +81,9 @@ def test_addresses_of_both_versions(spark):
     ranges.append(("::", "::ffff", "least"))
     ips = [str(ipaddress.ip_address((10 << 24) + r.randrange(300_000))) for _ in range(300)] + [x for a, b, _ in ranges for x in (a, b)]
     ips += [str(ipaddress.ip_address((1 << 100) + r.randrange(1 << 95))) for _ in range(100)] + [None, "", "junk", "9.255.255.255", "255.255.255.255", "::1", "10.0.0", " 10.0.0.9 "]
-    df = spark.createDataFrame([(i, x, "own") for i, x in enumerate(ips)], "id int, ip string, _start string").repartition(3)
+    df = spark.createDataFrame([(i, x, "own") for i, x in enumerate(ips)], "id int, ip string, start_ip string").repartition(3)
     got = enums.locate(df, F.col("ip"), spark.createDataFrame(ranges, "start_ip string, end_ip string, place string"), ["place"])
-    assert got.columns == ["id", "ip", "_start", "place"]
+    assert got.columns == ["id", "ip", "start_ip", "place"]
     assert {x.id: x.place for x in got.collect()} == {i: _brute(x, ranges) for i, x in enumerate(ips)}
 
 
