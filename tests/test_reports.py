@@ -409,12 +409,15 @@ def audit_service():
     from http.server import BaseHTTPRequestHandler, HTTPServer
 
     records = [{"id": str(i), "activityDateTime": f"2024-01-01T{i:02d}:30:00Z"} for i in range(10)]
-    seen = []
+    seen, failed, asked = [], [], []
 
     class Handler(BaseHTTPRequestHandler):
         def log_message(self, *a):
             pass
 
+        def close_connection_now(self):
+            self.connection.close()
+
         def answer(self, code, body):
             self.send_response(code)
             self.end_headers()
@@ -431,6 +434,10 @@ def audit_service():
             seen.append(self.headers.get("Authorization"))
             if seen[-1] != "Bearer t0":
                 return self.answer(401, {})
+            if url.path == "/shaky" and self.path not in failed:  # each page fails once
+                failed.append(self.path)
+                return self.answer(503, {}) if len(failed) % 2 else self.close_connection_now()
+            asked.append(self.path)
             low, high = query["$filter"][0].replace("Z", "").split(" and ")
             own = [r for r in records if low.split()[-1] <= r["activityDateTime"] < high.split()[-1]]
             own = own[::-1] if url.path == "/desc" else own
@@ -442,7 +449,7 @@ def audit_service():
 
     server = HTTPServer(("127.0.0.1", 0), Handler)
     threading.Thread(target=server.serve_forever, daemon=True).start()
-    yield f"http://127.0.0.1:{server.server_port}", seen
+    yield f"http://127.0.0.1:{server.server_port}", asked
     server.shutdown()
 
 
@@ -452,12 +459,48 @@ def test_audit_service(spark, audit_service):
     base = {"start": "2024-01-01T00:00:00", "end": "2024-01-01T09:00:00"}
     own = {"tokenurl": f"{url}/token", "clientid": "me", "clientsecret": "key", "scope": "all"}
     for path, more in (("asc", own), ("desc", {**own, "ascending": "false"}), ("asc", {"token": "t0"}), ("asc", {**own, "slices": "3"})):
-        rows = spark.read.format("auditlog").options(url=f"{url}/{path}", **base, **more).load().collect()
+        rows = audit.in_order(spark.read.format("auditlog").options(url=f"{url}/{path}", **base, **more).load()).collect()
         assert [r.time[11:13] for r in rows] == [f"{h:02d}" for h in range(9)]
     with pytest.raises(Exception, match="401"):
         spark.read.format("auditlog").options(url=f"{url}/asc", **base, token="wrong").load().collect()
 
 
+def test_a_page_that_fails_is_asked_for_again(spark, audit_service):
+    url, asked = audit_service
+    spark.dataSource.register(audit.AuditLog)
+    options = {"url": f"{url}/shaky", "token": "t0", "start": "2024-01-01T00:00:00", "end": "2024-01-01T10:00:00", "wait": "0.01"}
+    rows = spark.read.format("auditlog").options(**options).load().collect()
+    assert [r.time[11:13] for r in rows] == [f"{h:02d}" for h in range(10)] and len(asked) == len(set(asked)) == 4  # no page twice
+    with pytest.raises(Exception, match="503|closed|reset|refused"):
+        spark.read.format("auditlog").options(**{**options, "end": "2024-01-01T09:00:00"}, retries="0").load().collect()
+
+
+def test_audit_stream_goes_on_where_it_was(spark, audit_service, tmp_path):
+    url, asked = audit_service
+    spark.dataSource.register(audit.AuditLog)
+
+    def run(end):
+        stream = spark.readStream.format("auditlog").options(url=f"{url}/shaky", token="t0", start="2024-01-01T00:00:00", end=end, slices="2", wait="0.01").load()
+        query = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "marks")).start(str(tmp_path / "out"))
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        return sorted(r.time[11:13] for r in spark.read.schema("time string, value string").parquet(str(tmp_path / "out")).collect())
+
+    assert run("2024-01-01T04:00:00") == [f"{h:02d}" for h in range(4)]
+    before = len(asked)
+    assert run("2024-01-01T04:00:00") == [f"{h:02d}" for h in range(4)] and len(asked) == before
+    assert run("2024-01-01T10:00:00") == [f"{h:02d}" for h in range(10)]
+    assert all("04%3A00%3A00" in a or "07%3A00%3A00" in a for a in asked[before:])  # only what is new
+
+
+def test_too_many_names_are_an_error(spark):
+    record = '{"additionalDetails": [{"key": "a", "value": "1"}, {"key": "b", "value": "2"}]}'
+    with pytest.raises(ValueError, match="more than 5 names"):
+        audit.flatten(spark.createDataFrame([(record,)], "value string"), most=5)
+
+
 def test_late_rows_are_dropped_by_the_watermark(spark, tmp_path):
     schema, home = "ts timestamp, user bigint, kind string, value double", str(tmp_path / "in")
     put = lambda *rows: spark.createDataFrame([(datetime(2024, 1, 1, h, m), 1, k, 1.0) for h, m, k in rows], schema).coalesce(1).write.mode("append").parquet(home)
