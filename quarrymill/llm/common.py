@@ -21,7 +21,13 @@ _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``); where that is unset, a folder of the warehouse, which is shared as well."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return root.rstrip("/") if root else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    if root:
+        return root.rstrip("/")
+    root = spark.conf.get("spark.sql.warehouse.dir")
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    if not spark.sparkContext.master.startswith("local") and str(path.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme()) == "file":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return root.rstrip("/") + "/scratch"
 
 
 class Scratch:
@@ -58,6 +64,16 @@ class Scratch:
             pass
 
 
+_held: list = [None, None]
+
+
+def in_use(owner: object, empty: Callable[[], None]) -> None:
+    """Says whose cache this Python worker uses from now on; the one before is emptied, since a worker goes from one operator's tasks to another's."""
+    if _held[0] is not None and _held[0] != owner:
+        _held[1]()
+    _held[:] = [owner, empty]
+
+
 def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """Cuts Arrow batches so that one slice holds about SLICE_BYTES of text (one row at least)."""
     import numpy as np

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import Scratch, map_slices, read, texts_of
+from quarrymill.llm.common import Scratch, in_use, map_slices, read, texts_of
 
 CAPACITY = 2048
 END_ID = 0
@@ -107,6 +107,7 @@ _encoders: dict[tuple[str, str | None], ChunkEncoder] = {}
 
 def encoder(rank_file: str, json_file: str | None = None) -> ChunkEncoder:
     """One encoder a worker process; added tokens are those of ``json_file``."""
+    in_use("packing", _encoders.clear)
     key = rank_file, json_file
     if key not in _encoders:
         _encoders[key] = ChunkEncoder(rank_file, json_file)

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import Scratch, read, text_slices, texts_of
+from quarrymill.llm.common import Scratch, in_use, read, text_slices, texts_of
 
 END_ID = 2
 #: Ids that a reader takes from a file at once.
@@ -147,6 +147,7 @@ _encoders: dict[str, SpacedEncoder] = {}
 
 def encoder(json_file: str) -> SpacedEncoder:
     """One encoder a worker process."""
+    in_use("token_files", _encoders.clear)
     if json_file not in _encoders:
         _encoders[json_file] = SpacedEncoder(json_file)
     return _encoders[json_file]

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import Scratch, map_slices, read, texts_of
+from quarrymill.llm.common import Scratch, in_use, map_slices, read, texts_of
 from quarrymill.llm.quality import held_out, labelled_texts, training_ids, within
 
 #: Bounds of the sample that the models are fitted on: documents, and their distinct terms together (8 bytes each).
@@ -213,6 +213,7 @@ _last: list = [None, None]  # the model that this worker scores with, and its te
 
 def _scored(batch: pa.RecordBatch, chain) -> pa.RecordBatch:
     model: Chain = chain.value
+    in_use("toxicity", lambda: _last.__setitem__(slice(None), [None, None]))
     if _last[0] is not model:
         _last[:] = [model, Terms(model.known)]
     cache = _last[1]

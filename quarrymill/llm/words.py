@@ -12,6 +12,8 @@ from itertools import chain
 import numpy as np
 import xxhash
 
+from quarrymill.llm.common import in_use
+
 U = np.uint64
 _ODD = U(0x9E3779B97F4A7C15)
 _M1, _M2 = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -41,6 +43,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(texts: list[bytes], cache: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of all texts, in order, and the offsets of each text's words."""
+    in_use(id(cache), cache.clear)
     words = [t.split() for t in texts]
     ends = np.cumsum([0, *map(len, words)])
     flat = np.fromiter(map(cache.__getitem__, chain.from_iterable(words)), np.uint64, int(ends[-1]))

@@ -1,0 +1,23 @@
+from quarrymill.llm import common, packing, words
+
+
+def test_a_worker_keeps_one_operators_cache():
+    a, b = words.WordHashes(), words.WordHashes()
+    words.word_hashes([b"one two"], a)
+    words.word_hashes([b"one two"], a)
+    assert len(a) == 2
+    words.word_hashes([b"three"], b)
+    assert len(a) == 0 and len(b) == 1
+    packing.encoder(*packing.vocabulary_paths())
+    assert len(b) == 0 and packing._encoders
+    h, ends = words.word_hashes([b"one two"], a)
+    assert not packing._encoders and len(h) == 2 and ends.tolist() == [0, 2]
+
+
+def test_the_shared_folder(spark):
+    assert common.scratch_root(spark).endswith("/scratch")
+    spark.conf.set("spark.checkpoint.dir", "file:///shared/folder/")
+    try:
+        assert common.scratch_root(spark) == "file:///shared/folder"
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
