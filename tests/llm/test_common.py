@@ -15,9 +15,9 @@ def test_a_worker_keeps_one_operators_cache():
 
 
 def test_the_shared_folder(spark):
-    assert common.scratch_root(spark).endswith("/scratch")
+    before = spark.conf.get("spark.checkpoint.dir", None)
     spark.conf.set("spark.checkpoint.dir", "file:///shared/folder/")
     try:
         assert common.scratch_root(spark) == "file:///shared/folder"
     finally:
-        spark.conf.unset("spark.checkpoint.dir")
+        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
