@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarrymill.llm.common import Scratch, map_slices, read, texts_of
-from quarrymill.llm.words import WordHashes, doc_of, gram_hashes, span_hashes, window_min, word_hashes
+from quarrymill.llm.words import WordHashes, doc_of, gram_hashes, mix, span_hashes, window_min, word_hashes
 
 WINDOW = 50
 KMER = 12
@@ -88,7 +88,26 @@ def _windows(batch: pa.RecordBatch, window: int) -> pa.RecordBatch:
     last = np.append(first[1:], len(order)) - 1 if len(order) else order
     places = pa.StructArray.from_arrays([pa.array(doc), pa.array(copy[order]), pa.array(pos[order].astype(np.int32))], ["doc", "copy", "start"])
     listed = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)).astype(np.int32)), places)
-    return pa.RecordBatch.from_arrays([pa.array(kmer[first]), pa.array(body[first]), pa.array(doc[first]), pa.array(doc[last]), listed], ["kmer", "body", "lo", "hi", "places"])
+    rows = mix(_column(batch, "doc").to_numpy().view(np.uint64) ^ mix(_column(batch, "copy").to_numpy().view(np.uint64)))
+    piece = _signed(np.repeat(mix(rows.sum(keepdims=True)), len(first)))  # the slice's name, made of its rows, so the same on every try
+    return pa.RecordBatch.from_arrays([piece, pa.array(kmer[first]), pa.array(body[first]), pa.array(doc[first]), pa.array(doc[last]), listed], ["piece", "kmer", "body", "lo", "hi", "places"])
+
+
+def _runs(table: pa.Table) -> pa.Table:
+    """The windows of a slice that a smaller document has, as runs: a span for consecutive ones of a document."""
+    places = table.column("places").combine_chunks()
+    lo = np.repeat(table.column("_lo").to_numpy(), np.diff(places.offsets.to_numpy()))
+    every = places.flatten()
+    doc, copy, start = (every.field(c).to_numpy() for c in ("doc", "copy", "start"))
+    keep = doc > lo
+    doc, copy, start = doc[keep], copy[keep], start[keep].astype(np.int64)
+    order = np.lexsort((start, copy, doc))
+    doc, copy, start = doc[order], copy[order], start[order]
+    same = (np.diff(doc) == 0) & (np.diff(copy) == 0)
+    first = np.flatnonzero(np.concatenate([[True], ~(same & (np.diff(start) <= 1))])) if len(doc) else order
+    last = np.append(first[1:], len(doc)) - 1 if len(doc) else order
+    n = start[last] - start[first] + 1
+    return pa.Table.from_arrays([pa.array(doc[first]), pa.array(copy[first]), pa.array(start[first].astype(np.int32)), pa.array(n.astype(np.int32))], ["doc", "copy", "start", "n"])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -133,14 +152,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER, scra
     wanted = scratch.put(wanted, "wanted")
     windows = keyed.join(wanted, ["doc", "copy"]).select("doc", "copy", "text", "wanted")
     # A window that many documents have is a row for each slice of text that a task reads at once, not for each document.
-    schema = "kmer long, body long, lo long, hi long, places array<struct<doc: long, copy: long, start: int>>"
+    schema = "piece long, kmer long, body long, lo long, hi long, places array<struct<doc: long, copy: long, start: int>>"
     windows = scratch.put(windows.mapInArrow(map_slices(partial(_windows, window=window), once=("doc", "copy")), schema), "windows")
     least = windows.groupBy("kmer", "body").agg(F.min("lo").alias("_lo"), F.max("hi").alias("_hi")).where("_lo < _hi").drop("_hi")
     least = scratch.put(least, "least")
-    later = F.explode(F.filter("places", lambda p: p["doc"] > F.col("_lo"))).alias("p")
-    single = windows.join(least, ["kmer", "body"]).where("hi > _lo").select(later).select("p.doc", "p.copy", "p.start", F.lit(1).alias("n"))
-    # Runs of single windows become one span each.
-    single = single.distinct().withColumn("_run", F.col("start") - F.row_number().over(own)).groupBy("doc", "copy", "_run").agg(F.min("start").alias("start"), F.sum("n").cast("int").alias("n")).drop("_run")
+    # Back to the slices that the windows are of, where runs of windows become one span each.
+    hit = windows.join(least, ["kmer", "body"]).where("hi > _lo").select("piece", "_lo", "places")
+    single = hit.groupBy("piece").applyInArrow(_runs, "doc long, copy long, start int, n int").distinct()
     spans = scratch.put(whole.unionByName(single), "spans")
     scratch.drop("occurrences", "kinds", "wanted", "windows", "least")
     return spans
