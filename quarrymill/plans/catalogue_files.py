@@ -404,9 +404,12 @@ def _(s, d):
 SELECT event_id, CASE WHEN s_suppkey IS NOT NULL THEN 's' || s_suppkey END AS place
 FROM events LEFT JOIN supplier ON user_id = s_suppkey * 2 AND event_id % 65536 <= 32767""")
 def _(s, d):
-    low = F.concat(F.lit("2001:db8::"), F.hex(F.col("s_suppkey") * 2))
-    ranges = table(s, d, "supplier").select(F.concat(low, F.lit(":0")).alias("start_ip"), F.concat(low, F.lit(":7FFF")).alias("end_ip"), F.concat(F.lit("s"), "s_suppkey").alias("place"))
-    ip = F.concat(F.lit("2001:DB8:0:0:0:0:"), F.hex("user_id"), F.lit(":"), F.hex(F.col("event_id") % 65536))
+    """A number takes four groups of 16 bits, so that every key has an address."""
+    groups = lambda n: reduce(F.concat, (F.concat(F.hex(F.shiftright(n, 16 * i).bitwiseAND(F.lit(65535))), F.lit(":")) for i in (3, 2, 1, 0)))
+    low = F.concat(F.lit("2001:db8::"), groups(F.col("s_suppkey") * 2))
+    ranges = table(s, d, "supplier").select(F.concat(low, F.lit("0")).alias("start_ip"), F.concat(low, F.lit("7FFF")).alias("end_ip"), F.concat(F.lit("s"), "s_suppkey").alias("place"))
+    last = F.col("event_id") % 65536
+    ip = F.concat(F.lit("2001:DB8:0:"), groups(F.col("user_id")), F.hex(F.when(last > 0, last).when(last <= 0, 0)))
     return enums.locate(table(s, d, "events").select("event_id", ip.alias("ip")), F.col("ip"), ranges, ["place"]).select("event_id", "place")
 
 

@@ -38,3 +38,20 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_places_of_large_keys(spark, tmp_path):
+    """Keys above 16 and 32 bits, negative ones and nulls have their places too."""
+    keys = [1, 32767, 32768, 50_000, 3_000_000_000, -4, None]
+    events = [(None if e is None else e + 7 * i, None if k is None else 2 * k) for i, k in enumerate(keys) for e in (5, 40_000, -9, None)] + [(1, 3), (2, 100_001)]
+    spark.createDataFrame(events, "event_id bigint, user_id bigint").write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    for more in (0, 300):  # few ranges, and more of them
+        suppliers, d = [(k,) for k in [*keys, *range(200_000, 200_000 + more)]], f"{tmp_path}/{more}"
+        os.makedirs(d)
+        os.symlink(f"{tmp_path}/events.parquet", f"{d}/events.parquet")
+        spark.createDataFrame(suppliers, "s_suppkey bigint").write.parquet(f"{d}/supplier.parquet")
+        for t in ("events", "supplier"):
+            con.execute(f"create or replace view {t} as from '{d}/{t}.parquet/*.parquet'")
+        got = catalogue.QUERIES["q_address_places_v6"](spark, d).select("event_id", "place").collect()
+        assert _rows(got) == _rows(con.sql(f"select event_id, place from ({catalogue.ORACLES['q_address_places_v6']})").fetchall())
