@@ -1,29 +1,24 @@
 """The same aggregates on a stream: event-time buckets with a watermark for late rows.
 
 Counts, sums and extremes by buckets of a fixed length are one windowed aggregation. Distinct tuples take two: the first keeps a state for each bucket, key and tuple,
-the second counts the tuples that a closed bucket had; both are Spark's own. Months have no fixed length: days are aggregated as above, and each closed
-day is merged into the state of its month, which a timer ends when the watermark passes the month's end.
+the second counts the tuples that a closed bucket had; both are Spark's own. Months have no fixed length: days are aggregated as above, and closed
+days are aggregated again by a span of their month, which has the mark of the days' event time, so that it is closed when the watermark passes the month's end. Each
+state is of one tuple (of one key, without distinct counts), so that no task holds a month's tuples.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from datetime import datetime, timezone
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from quarrymill.operators.intervals import UTC, interval
+from quarrymill.operators.intervals import UTC
 from quarrymill.plans import engine
 from quarrymill.plans.planner import BUCKET, BoundReport, bind
 from quarrymill.plans.spec import DatasetSpec, ReportSpec
 
 #: Spans that a tumbling window has; calendar months have none.
 SPANS = {"minutes": "minutes", "hours": "hours", "days": "days", "weeks": "weeks"}
-#: States of a stream by months are kept in this store, which must be the session's.
+#: States of a stream by months are kept in this store, on disk, since a month's tuples may exceed the memory; it must be the session's.
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 _MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
@@ -60,65 +55,22 @@ def stream_statistics(spec: ReportSpec, dataset: DatasetSpec, stream: DataFrame,
     first = rows.groupBy(span, *own, *(F.col(f"`{t}`") for t in tuples)).agg(*plain)
     names = [(engine.physical_name(n, a), a) for n, a in bound.physical]
     merged = [_MERGE[a](F.col(f"`{n}`")).cast(first.schema[n].dataType).alias(n) for n, a in names]
-    if not months:
-        count = [F.count(F.when(engine.counted(bound), True)).alias("distinct")]  # each tuple is a row
-        return first.groupBy("window", *own).agg(*count, *merged).withColumn(BUCKET, F.col("window.start")).drop("window")
-    return _by_month(bound, first, keys, names)
+    if months:
+        _check_store(stream)
+        first = first.select(_month(first), *(F.col(f"`{c}`") for c in first.columns if c != "window"))
+        if bound.distinct:
+            first = first.groupBy("window", *own, *(F.col(f"`{t}`") for t in tuples)).agg(*(merged or [F.count(F.lit(1)).alias("_rows")]))
+    count = [F.count(F.when(engine.counted(bound), True)).alias("distinct")] if bound.distinct else []  # each tuple is a row
+    return first.groupBy("window", *own).agg(*count, *merged).withColumn(BUCKET, F.col("window.start")).drop("window")
 
 
-def _by_month(bound: BoundReport, days: DataFrame, keys: list[str], names: list[tuple[str, str]]) -> DataFrame:
-    spark = days.sparkSession
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != STORE:
+def _check_store(stream: DataFrame) -> None:
+    if stream.sparkSession.conf.get("spark.sql.streaming.stateStore.providerClass", "") != STORE:
         raise ValueError(f"set spark.sql.streaming.stateStore.providerClass to {STORE}")
-    kinds = {n: days.schema[n].dataType for n, _ in names}
-    head = [T.StructField(BUCKET, T.TimestampType()), *(T.StructField(k, days.schema[k].dataType) for k in keys)]
-    counts = [T.StructField("distinct", T.LongType())] if bound.distinct else []
-    values = [*counts, *(T.StructField(n, k) for n, k in kinds.items())]
-    tuple_ = F.when(engine.counted(bound), F.to_json(F.struct(*(F.col(f"`{n}`") for n, _ in bound.distinct)), {"ignoreNullFields": "false"})) if bound.distinct else F.lit(None).cast("string")
-    # Under plain names: rows come to Python as named tuples.
-    own = [F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)]
-    rows = days.select(F.date_trunc("month", F.col("window.start")).alias("month"), *own, tuple_.alias("t"), *(F.col(f"`{n}`").alias(f"v{i}") for i, n in enumerate(kinds)))
-    processor = Months([f.name for f in head], names, T.StructType(values), bool(bound.distinct))
-    return rows.groupBy("month", *(f"k{i}" for i in range(len(keys)))).transformWithStateInPandas(processor, T.StructType([*head, *values]), "Append", "EventTime")
-
-
-class Months(StatefulProcessor):
-    """The aggregates of a month and key so far, and the tuples that it had."""
-
-    def __init__(self, head: list[str], names: list[tuple[str, str]], values: T.StructType, distinct: bool):
-        self.head, self.names, self.values, self.distinct = head, names, values, distinct
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("values", self.values)
-        self.seen = handle.getMapState("tuples", "tuple string", "seen boolean") if self.distinct else None
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        now = list(self.state.get()) if self.state.exists() else [0] * self.distinct + [None] * len(self.names)
-        for frame in rows:
-            for i, (_, agg) in enumerate(self.names, self.distinct):
-                got = [x for x in (now[i], *frame[f"v{i - self.distinct}"]) if not pd.isna(x)]
-                if got:
-                    x = min(got) if agg == "min" else max(got) if agg == "max" else sum(got[1:], got[0])
-                    now[i] = x.item() if hasattr(x, "item") else x
-            if self.distinct:
-                for t in set(frame["t"].dropna()):
-                    if not self.seen.containsKey((t,)):
-                        self.seen.updateValue((t,), (True,))
-                        now[0] += 1
-        self.state.update(tuple(now))
-        at = pd.Timestamp(key[0])
-        end = interval("Monthly").next(datetime(at.year, at.month, 1, tzinfo=timezone.utc))
-        self.handle.registerTimer(int(end.timestamp() * 1000))
-        return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.state.exists():
-            row = dict(zip([*self.head, *self.values.names], [*key, *self.state.get()]))
-            self.state.clear()
-            if self.seen:
-                self.seen.clear()
-            yield pd.DataFrame({k: pd.Series([v], dtype=object) for k, v in row.items()})
 
-    def close(self) -> None:
-        pass
+def _month(days: DataFrame) -> Column:
+    """The span of each day's month, as a window of the same event time."""
+    start = F.date_trunc("month", F.col("window.start"))
+    end = start + F.make_ym_interval(months=F.lit(1))
+    return F.struct(start.alias("start"), end.alias("end")).alias("window", metadata=days.schema["window"].metadata)

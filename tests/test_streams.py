@@ -103,3 +103,22 @@ def test_what_streams_refuse(spark, tmp_path):
     spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     with pytest.raises(ValueError, match="providerClass"):
         reports.stream_statistics(ReportSpec("r", "log", rtype="Monthly", resultset=(("*", "count", "c"),)), SPEC, stream)
+
+
+def test_a_months_tuples_are_states_of_their_own(spark, tmp_path):
+    """No operator has one key for all tuples of a month; tuples of keys alone count once a month."""
+    report = {"rtype": "Monthly", "group_by": ("kind",), "resultset": (("user", "distinct", "u"), ("*", "count", "c"))}
+    flow = Flow(spark, tmp_path / "a", **report)
+    data = [(START + timedelta(minutes=30 * i), i % 300, "a", 1.0) for i in range(1400)]
+    flow.put(data)
+    flow.run()
+    query = flow.out.writeStream.format("noop").outputMode("append").option("checkpointLocation", f"{flow.at}/seen").trigger(availableNow=True).start()
+    query.awaitTermination()
+    most = [max(p["stateOperators"][i]["numRowsTotal"] for p in query.recentProgress) for i in range(len(query.lastProgress["stateOperators"]))]
+    assert sum(n >= 300 for n in most) >= 2 and "TransformWithState" not in str([o["operatorName"] for o in query.lastProgress["stateOperators"]])
+    flow.put([(datetime(2024, 3, 2), 1, "z", 0.0)])
+    assert flow.run() == flow.batch(data, datetime(2024, 2, 1))
+    alone = Flow(spark, tmp_path / "b", rtype="Monthly", group_by=("kind",), resultset=(("kind", "distinct", "k"),))
+    alone.put(data)
+    alone.put([(datetime(2024, 3, 2), 1, "z", 0.0)])
+    assert alone.run() == alone.batch(data, datetime(2024, 2, 1))
