@@ -8,8 +8,9 @@ is shared out by factor. A document is taken if a hash of its id is below its pr
 a larger budget takes a superset.
 
 A token is a word: a run of bytes that aren't white space. Topics are learned from the corpus: k-means over hashed word profiles, less the mean profile of
-their language (so that a topic isn't a language again), fitted on at most ``topic_rows`` documents chosen by a hash of
-their ids; every whole text then goes to its nearest centre. One pass reads the texts, and its marks are a written table.
+their language (so that a topic isn't a language again), fitted on every row with words; every text then goes to its nearest centre. One pass reads
+the texts and writes their word counts by hash (512 bytes a row before compression); each round of k-means is a pass over these. Sums are of integers,
+so that the centres don't depend on partitions. A language has a mean of its own if it has one row in ``RARE`` with words at least; rarer ones share the mean of all.
 
 Only the cells come to the driver, up to ``max_cells`` of them, which don't grow with the documents. More cells (sources that are
 hosts, say) are raked by grouped sums and joins on the executors, to the same weights.
@@ -36,7 +37,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrymill.llm.common import Scratch, map_slices, read, text_slices, texts_of
-from quarrymill.llm.quality import labelled_texts
 from quarrymill.llm.words import WordHashes, doc_of, mix, word_hashes
 
 BUDGET = 0.8
@@ -48,7 +48,10 @@ TARGETS: dict[str, dict[str, float] | float] = {"source": 0.5, "lang": {"en": 0.
 #: Raking ends after so many rounds, or when no factor of a round is further than this from 1.
 ROUNDS, CLOSE = 200, 1e-9
 TOPICS = 8
-TOPIC_ROWS = 2_000
+#: Languages with less than one row in so many have no mean of their own, so there are at most so many means.
+RARE = 10_000
+#: Profiles are added up in units of 2**-UNIT.
+UNIT = 24
 PROFILE_BITS = 7
 _BITS = 52
 
@@ -64,13 +67,28 @@ def uniform(seed: str) -> Column:
 # --- topics ------------------------------------------------------------------------------------------------------
 
 
-def profiles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The number of words of each text, and the roots of its word counts by hash, of length 1 (0 without words)."""
+def counts_of(texts: list[bytes]) -> np.ndarray:
+    """The word counts of each text by hash."""
     h, ends = word_hashes([t.lower() for t in texts], _cache)
     size = 1 << PROFILE_BITS
     at = doc_of(ends) * size + (mix(h) >> np.uint64(64 - PROFILE_BITS)).astype(np.int64)
-    x = np.sqrt(np.bincount(at, minlength=len(texts) * size).reshape(len(texts), size))
-    return np.diff(ends), x / np.maximum(1, np.sqrt((x * x).sum(1)))[:, None]
+    return np.bincount(at, minlength=len(texts) * size).reshape(len(texts), size)
+
+
+def profile(counts: np.ndarray) -> np.ndarray:
+    """The roots of counts, of length 1 (0 without words)."""
+    return np.sqrt(counts / np.maximum(1, counts.sum(1))[:, None])
+
+
+def profiles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The number of words of each text, and its profile."""
+    counts = counts_of(texts)
+    return counts.sum(1), profile(counts)
+
+
+def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Rounded, since products in batches of different sizes may differ in the last bits."""
+    return np.round(x @ centres.T * 2 - (centres**2).sum(1), 6).argmax(1)
 
 
 @dataclass
@@ -87,64 +105,166 @@ class Topics:
     def of(self, words: np.ndarray, x: np.ndarray, langs: list[str]) -> list[str]:
         if not len(self.centres):
             return ["topic0" if n else "none" for n in words.tolist()]
-        # Rounded, since products in batches of different sizes may differ in the last bits.
-        near = np.round(self.less_language(x, langs) @ self.centres.T * 2 - (self.centres**2).sum(1), 6).argmax(1)
+        near = nearest(self.less_language(x, langs), self.centres)
         return [f"topic{i}" if n else "none" for i, n in zip(near.tolist(), words.tolist())]
 
 
-def k_means(x: np.ndarray, k: int, rounds: int = 30, seed: int = 7) -> np.ndarray:
-    """Centres, the largest cluster first; the same rows give the same centres."""
-    r = np.random.default_rng(seed)
-    centres = x[:1]
-    far = ((x - x[0]) ** 2).sum(1)
-    while len(centres) < k and far.max() > 1e-9:
-        centres = np.vstack([centres, x[r.choice(len(x), p=far / far.sum())]])
-        far = np.minimum(far, ((x - centres[-1]) ** 2).sum(1))
-    for _ in range(rounds):
-        near = (x @ centres.T * 2 - (centres**2).sum(1)).argmax(1)
-        n = np.bincount(near, minlength=len(centres))
-        centres = np.array([x[near == i].mean(0) if n[i] else centres[i] for i in range(len(centres))])
-    return centres[np.argsort(-n, kind="stable")]
-
-
-def _profiled(batch: pa.RecordBatch) -> pa.RecordBatch:
-    words, x = profiles(texts_of(batch))
+def _counted(batch: pa.RecordBatch) -> pa.RecordBatch:
+    counts = counts_of(texts_of(batch))
     get = lambda c: batch.column(batch.schema.get_field_index(c))
-    return pa.RecordBatch.from_arrays([get("doc_id"), get("lang"), pa.array(words, pa.int64()), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "lang", "words", "x"])
+    rows = counts.astype("<u4")
+    return pa.RecordBatch.from_arrays([get("doc_id"), get("source"), get("lang"), pa.array(counts.sum(1), pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary())], ["doc_id", "source", "lang", "words", "counts"])
 
 
 def _text(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
 
-def fit_topics(docs: DataFrame, k: int = TOPICS, rows: int = TOPIC_ROWS) -> Topics:
-    """Fitted on the driver on at most ``rows`` profiles of 1 kB; one text for each chosen id."""
-    scratch = Scratch(docs.sparkSession)
-    own = docs.select(F.col("doc_id").cast("long"), _text("lang").alias("lang")).where("doc_id is not null").groupBy("doc_id").agg(F.min("lang").alias("lang"))
-    ids = scratch.put(own.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(rows), "ids")
-    table = labelled_texts(docs, ids).select("doc_id", "lang", "text").mapInArrow(map_slices(_profiled), "doc_id long, lang string, words long, x array<double>").where("words > 0").toArrow().sort_by([("doc_id", "ascending")])
-    scratch.drop("ids")
+def _profiled(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """doc_id, source, lang, number of words, their counts by hash, and a hash of the row, of every row, written."""
+    rows = docs.select(F.col("doc_id").cast("long"), _text("source").alias("source"), _text("lang").alias("lang"), F.col("text").cast("string").alias("text"))
+    found = rows.mapInArrow(map_slices(_counted), "doc_id long, source string, lang string, words long, counts binary")
+    return scratch.put(found.withColumn("hash", F.xxhash64("doc_id", "lang", "counts")), "profiles")
+
+
+def _read_counts(batch: pa.RecordBatch) -> np.ndarray:
+    column = batch.column(batch.schema.get_field_index("counts"))
+    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, 1 << PROFILE_BITS).astype(np.int64)
+
+
+def _slices(batches):
+    for batch in batches:
+        for a in range(0, batch.num_rows, 4_000):
+            yield batch.slice(a, 4_000)
+
+
+def _units(x: np.ndarray) -> np.ndarray:
+    return np.rint(x * (1 << UNIT)).astype(np.int64)
+
+
+def _language_sums(batches):
+    """The sum of the profiles of each language in a slice."""
+    for batch in _slices(batches):
+        langs, at = np.unique(np.array(batch.column(batch.schema.get_field_index("lang")).to_pylist(), object), return_inverse=True)
+        x = _units(profile(_read_counts(batch)))
+        for i, g in enumerate(langs.tolist()):
+            own = x[at == i]
+            yield pa.RecordBatch.from_arrays([pa.array([g], pa.string()), pa.array([len(own)], pa.int64()), pa.array([own.sum(0)], pa.list_(pa.int64()))], ["lang", "n", "sums"])
+
+
+def _drawn(batches, topics, turn: int):
+    """Of a task's rows the first to come, when each waits for a time of mean 1 / squared distance to its nearest centre: so the first of all is drawn by that weight."""
+    best = None
+    for batch in _slices(batches):
+        langs = batch.column(batch.schema.get_field_index("lang")).to_pylist()
+        counts, c = _read_counts(batch), topics.value.centres
+        x = topics.value.less_language(profile(counts), langs)
+        far = np.round(((x[:, None, :] - c) ** 2).sum(2).min(1), 9) if len(c) else np.ones(len(x))
+        h = batch.column(batch.schema.get_field_index("hash")).to_numpy(zero_copy_only=False).view(np.uint64)
+        u = (mix(h + np.uint64(turn + 1) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)).astype(np.float64)
+        wait = np.where(far > 1e-9, -np.log((u + 1) / float((1 << 53) + 1)) / np.maximum(far, 1e-9), np.inf)
+        for i in np.flatnonzero(wait == wait.min()):
+            row = (float(wait[i]), langs[i], counts[i].astype("<u4").tobytes())
+            if np.isfinite(row[0]) and (best is None or row < best):
+                best = row
+    if best:
+        yield pa.RecordBatch.from_arrays([pa.array([best[0]]), pa.array([best[1]], pa.string()), pa.array([best[2]], pa.binary())], ["wait", "lang", "counts"])
+
+
+def _cluster_sums(batches, topics):
+    """The number of a task's rows by nearest centre, and their sums."""
+    c = topics.value.centres
+    n, sums = np.zeros(len(c), np.int64), np.zeros(c.shape, np.int64)
+    for batch in _slices(batches):
+        x = topics.value.less_language(profile(_read_counts(batch)), batch.column(batch.schema.get_field_index("lang")).to_pylist())
+        near, units = nearest(x, c), _units(x)
+        n += np.bincount(near, minlength=len(c))
+        for i in range(len(c)):
+            sums[i] += units[near == i].sum(0)
+    yield pa.RecordBatch.from_arrays([pa.array([n], pa.list_(pa.int64())), pa.array([sums.ravel()], pa.list_(pa.int64()))], ["n", "sums"])
+
+
+def _language_means(full: DataFrame) -> tuple[dict[str, np.ndarray], np.ndarray] | None:
+    """The mean profile of each language that isn't rare, and of all rows; none without rows."""
+    size = 1 << PROFILE_BITS
+    parts = full.select("lang", "counts").mapInArrow(_language_sums, "lang string, n long, sums array<long>")
+    sums = parts.groupBy("lang").agg(F.sum("n").alias("n"), *(F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(size)))
+    sums = sums.select("lang", "n", F.array(*(f"s{i}" for i in range(size))).alias("sums")).persist()
+    try:
+        total, *all_ = sums.agg(F.sum("n"), *(F.sum(F.col("sums")[i]) for i in range(size))).first()
+        if not total:
+            return None
+        own = sums.where(F.col("n") * F.lit(RARE) >= F.lit(total)).collect()  # RARE rows at most
+    finally:
+        sums.unpersist()
+    mean = lambda s, n: np.array(s, np.float64) / n / (1 << UNIT)
+    return {r["lang"]: mean(r["sums"], r["n"]) for r in sorted(own)}, mean(all_, total)
+
+
+def _k_means(full: DataFrame, topics: Topics, k: int, rounds: int = 30) -> np.ndarray:
+    """Centres of all rows, the largest cluster first. A task sends one row a round, of 1 kB a centre at most."""
+    context = full.sparkSession.sparkContext
     size = 1 << PROFILE_BITS
-    if not len(table):
+
+    def passed(run, schema: str, *columns: str) -> list:
+        shared = context.broadcast(topics)
+        try:
+            return full.select(*columns, "lang", "counts").mapInArrow(partial(run, topics=shared), schema).collect()
+        finally:
+            shared.unpersist()
+
+    for turn in range(k):
+        rows = passed(partial(_drawn, turn=turn), "wait double, lang string, counts binary", "hash")
+        if not rows:
+            break
+        _, lang, counts = min((r["wait"], r["lang"], bytes(r["counts"])) for r in rows)
+        x = topics.less_language(profile(np.frombuffer(counts, "<u4").astype(np.int64)[None]), [lang])
+        topics.centres = np.vstack([topics.centres, x])
+    n = np.zeros(len(topics.centres), np.int64)
+    for _ in range(rounds):
+        rows = passed(_cluster_sums, "n array<long>, sums array<long>")
+        n = sum(np.array(r["n"], np.int64) for r in rows)
+        sums = sum(np.array(r["sums"], np.int64) for r in rows).reshape(-1, size)
+        before = topics.centres
+        topics.centres = np.where(n[:, None] > 0, sums / np.maximum(1, n)[:, None] / (1 << UNIT), before)
+        if np.array_equal(before, topics.centres):
+            break  # further rounds change nothing
+    return topics.centres[np.argsort(-n, kind="stable")]
+
+
+def _fitted_topics(profiled: DataFrame, k: int = TOPICS) -> Topics:
+    full, size = profiled.where("words > 0"), 1 << PROFILE_BITS
+    means = _language_means(full)
+    if means is None:
         return Topics({}, np.zeros(size), np.empty((0, size)))
-    x, langs = np.array([v.values for v in table["x"]], np.float64), np.array(table["lang"].to_pylist(), object)
-    out = Topics({g: x[langs == g].mean(0) for g in sorted(set(langs))}, x.mean(0), np.empty((0, size)))
-    out.centres = k_means(out.less_language(x, langs.tolist()), k)
+    out = Topics(*means, np.empty((0, size)))
+    out.centres = _k_means(full, out, k)
     return out
 
 
-def _marks(batch: pa.RecordBatch, topics) -> pa.RecordBatch:
-    get = lambda c: batch.column(batch.schema.get_field_index(c))
-    words, x = profiles(texts_of(batch))
-    names = topics.value.of(words, x, get("lang").to_pylist())
-    return pa.RecordBatch.from_arrays([get("doc_id"), get("source"), get("lang"), pa.array(names, pa.string()), pa.array(words, pa.int64())], ["doc_id", *AXES, "tokens"])
+def fit_topics(docs: DataFrame, k: int = TOPICS) -> Topics:
+    """Fitted on all rows with words."""
+    scratch = Scratch(docs.sparkSession)
+    out = _fitted_topics(_profiled(docs, scratch), k)
+    scratch.drop("profiles")
+    return out
 
 
-def _marked(docs: DataFrame, topics: Topics, scratch: Scratch) -> DataFrame:
-    """doc_id, source, lang, topic and tokens of every row, written."""
-    shared = docs.sparkSession.sparkContext.broadcast(topics)  # centres, and means of the sample's languages
-    rows = docs.select(F.col("doc_id").cast("long"), _text("source").alias("source"), _text("lang").alias("lang"), F.col("text").cast("string").alias("text"))
-    return scratch.put(rows.mapInArrow(map_slices(partial(_marks, topics=shared)), "doc_id long, source string, lang string, topic string, tokens long"), "marks")
+def _marks(batches, topics):
+    for batch in _slices(batches):
+        get = lambda c: batch.column(batch.schema.get_field_index(c))  # noqa: E731, B023
+        names = topics.value.of(get("words").to_numpy(), profile(_read_counts(batch)), get("lang").to_pylist())
+        yield pa.RecordBatch.from_arrays([get("doc_id"), get("source"), get("lang"), pa.array(names, pa.string()), get("words")], ["doc_id", *AXES, "tokens"])
+
+
+def _marked(docs: DataFrame, topics: Topics | None, scratch: Scratch) -> tuple[DataFrame, Topics]:
+    """doc_id, source, lang, topic and tokens of every row, written; and the topics, fitted where there are none."""
+    profiled = _profiled(docs, scratch)
+    topics = topics or _fitted_topics(profiled)
+    shared = docs.sparkSession.sparkContext.broadcast(topics)  # centres, and RARE means at most
+    out = scratch.put(profiled.drop("hash").mapInArrow(partial(_marks, topics=shared), "doc_id long, source string, lang string, topic string, tokens long"), "marks")
+    scratch.drop("profiles")
+    return out, topics
 
 
 def _append_topic(batches, topics, field: int):
@@ -269,7 +389,7 @@ def _fitted_on_executors(cells: DataFrame, wishes: dict, budget: float, scratch:
 def mixing_weights(docs: DataFrame, targets: dict | None = None, budget: float = BUDGET, temper: float = TEMPER, seed: str = "mix", max_cells: int = MAX_CELLS, topics: Topics | None = None, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, source, lang, topic, tokens, weight (the fitted share of the cell), probability and kept of every row."""
     scratch = Scratch(docs.sparkSession)
-    marked = _marked(docs, topics or fit_topics(docs), scratch)
+    marked, _ = _marked(docs, topics, scratch)
     cells = _fitted(marked, targets, budget, temper, max_cells, scratch, rounds)
     return marked.join(cells, list(AXES)).select("doc_id", *AXES, "tokens", "weight", "probability", (uniform(seed) < F.col("probability")).alias("kept"))
 
@@ -277,8 +397,8 @@ def mixing_weights(docs: DataFrame, targets: dict | None = None, budget: float =
 def sample(docs: DataFrame, targets: dict | None = None, budget: float = BUDGET, temper: float = TEMPER, seed: str = "mix", max_cells: int = MAX_CELLS, topics: Topics | None = None, rounds: int = ROUNDS) -> DataFrame:
     """The documents taken, in their own columns. A second pass finds the topics again, which is less work than to write all rows or join them by id."""
     scratch = Scratch(docs.sparkSession)
-    topics = topics or fit_topics(docs)
-    cells = _fitted(_marked(docs, topics, scratch), targets, budget, temper, max_cells, scratch, rounds).select(*AXES, "probability")
+    found, topics = _marked(docs, topics, scratch)
+    cells = _fitted(found, targets, budget, temper, max_cells, scratch, rounds).select(*AXES, "probability")
     shared = docs.sparkSession.sparkContext.broadcast(topics)
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), _text("source").alias("source"), _text("lang").alias("lang"), uniform(seed).alias("_u"))
     schema = T.StructType([*rows.schema.fields, T.StructField("topic", T.StringType())])

@@ -193,3 +193,22 @@ def test_odd_cases(spark):
     assert mixing.mixing_weights(cases.empty(spark)).count() == 0 and mixing.sample(cases.empty(spark)).count() == 0
     blank = spark.createDataFrame([(1, None, None, None)], "doc_id bigint, text string, lang string, source string")
     assert mixing.mixing_weights(blank).first().tokens == 0
+
+
+def test_topics_are_fitted_on_all_rows(spark):
+    """The means and the centres are those of all rows, whatever the partitions; more rows than any sample, and repeated ones."""
+    kinds = ["red green blue", "one two three four", "sun moon"]
+    rows = [(i if i % 9 else None, " ".join([kinds[i % 3]] * (1 + i % 4)) + f" w{i % 50}", ["en", "fr"][i % 5 == 0], "s") for i in range(3000)]
+    rows += [(i, "late words only here", "en", "s") for i in range(3000, 6000)] + [(9000, "", "en", "s"), (9001, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    topics = mixing.fit_topics(df.repartition(5), 4)
+    again = mixing.fit_topics(df.repartition(2, "text"), 4)
+    assert np.array_equal(topics.centres, again.centres) and np.array_equal(topics.mean, again.mean)
+    own = [r for r in rows if r[1]]
+    x, langs = mixing.profiles([r[1].encode() for r in own])[1], np.array([r[2] for r in own])
+    for g in ("en", "fr"):
+        assert np.allclose(topics.means[g], x[langs == g].mean(0), atol=1e-6)
+    y = topics.less_language(x, langs.tolist())
+    near = mixing.nearest(y, topics.centres)
+    assert len(topics.centres) == 4 and all(np.allclose(topics.centres[i], y[near == i].mean(0), atol=1e-6) for i in range(4))
+    assert list(np.bincount(near)) == sorted(np.bincount(near), reverse=True)
