@@ -25,6 +25,8 @@ from quarrymill.llm.common import Scratch, read
 LIMIT = 64 * 1024 * 1024
 BITS = 60
 SPREAD_BITS = 5
+#: Lengths of prefixes that are summed together.
+STEP = 4
 
 
 def hash_bits() -> F.Column:
@@ -32,11 +34,25 @@ def hash_bits() -> F.Column:
     return F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, BITS // 4), 16, 10).cast("long")
 
 
-def _leaves(sums: DataFrame, low: int, high: int, limit: int) -> DataFrame:
-    """(fine, depth, size): for each prefix of ``high`` bits the shortest of its prefixes, from ``low`` bits on, that fits."""
-    up = sums.select("fine", "size", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("depth")).withColumn("prefix", F.expr(f"shiftright(fine, {high} - depth)"))
-    fits = up.groupBy("depth", "prefix").agg(F.sum("size").alias("total")).where(F.col("total") <= limit)
-    return up.join(fits, ["depth", "prefix"]).groupBy("fine").agg(F.min("depth").alias("depth"), F.min_by("total", "depth").alias("shard_bytes"))
+def _leaves(sums: DataFrame, low: int, high: int, limit: int, scratch: Scratch) -> DataFrame:
+    """(fine, depth, shard_bytes): for each prefix of ``high`` bits the shortest of its prefixes, from ``low`` bits on, that fits.
+
+    From the top, some lengths at a time: sums by the longest prefix of a step are repeated for the step's lengths only, and what is too large at that prefix goes
+    on to the next step. The first step has all lengths whose sums are few beside those of ``high`` bits.
+    """
+    left, out = sums.select("fine", "size"), None
+    while True:
+        at = next(b for b in (high - 2 * STEP, high - STEP, high) if b >= low)
+        level = scratch.put(left.groupBy(F.shiftright("fine", high - at).alias("at")).agg(F.sum("size").alias("size")), f"level{at}")
+        up = level.select("at", "size", F.explode(F.sequence(F.lit(low), F.lit(at))).alias("depth")).withColumn("prefix", F.expr(f"shiftright(at, {at} - depth)"))
+        fits = up.groupBy("depth", "prefix").agg(F.sum("size").alias("total")).where(F.col("total") <= limit)
+        leaves = up.join(fits, ["depth", "prefix"]).groupBy("at").agg(F.min("depth").alias("depth"), F.min_by("total", "depth").alias("shard_bytes"))
+        placed = scratch.put(left.withColumn("at", F.shiftright("fine", high - at)).join(leaves, "at", "left").drop("at"), f"placed{at}")
+        found = placed.where("depth IS NOT NULL").select("fine", "depth", "shard_bytes")
+        out = found if out is None else out.unionByName(found)
+        if at == high:
+            return out
+        left, low = placed.where("depth IS NULL").select("fine", "size"), at + 1
 
 
 def assign(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
@@ -59,7 +75,7 @@ def _assigned(sized: DataFrame, limit: int, scratch: Scratch, keys: tuple[str, .
     while True:
         here = left.withColumn("fine", F.shiftright(F.col("_h"), BITS - high))
         sums = scratch.put(here.groupBy("fine").agg(F.sum("n_bytes").alias("size"), F.min("_h").alias("_lo"), F.max("_h").alias("_hi")), f"sums{high}")
-        leaves = scratch.put(_leaves(sums, low, high, limit), f"leaves{high}")
+        leaves = scratch.put(_leaves(sums, low, high, limit, scratch), f"leaves{high}")
         found = here.join(leaves, "fine").drop("fine").withColumn("page", F.lit(0).cast("long"))
         out = found if out is None else out.unionByName(found)
         over = scratch.put(sums.join(leaves, "fine", "left_anti"), f"over{high}")

@@ -212,3 +212,19 @@ def test_topics_are_fitted_on_all_rows(spark):
     near = mixing.nearest(y, topics.centres)
     assert len(topics.centres) == 4 and all(np.allclose(topics.centres[i], y[near == i].mean(0), atol=1e-6) for i in range(4))
     assert list(np.bincount(near)) == sorted(np.bincount(near), reverse=True)
+
+
+def test_sums_are_repeated_for_few_lengths(spark, monkeypatch):
+    """Not each sum for each length of a prefix: small limits have nearly as many sums as documents."""
+    rows = [(i, "x" * (3000 if i == 7 else i * 37 % 200)) for i in range(3000)]
+    sizes, put = {}, sharding.Scratch.put
+    monkeypatch.setattr(sharding.Scratch, "put", lambda self, df, name: (out := put(self, df, name), sizes.__setitem__(name, out.count()))[0])
+    out = sharding.assign(spark.createDataFrame(rows, "doc_id bigint, text string"), 3000).collect()
+    monkeypatch.undo()
+    levels = sorted((int(k[5:]), n) for k, n in sizes.items() if k.startswith("level"))
+    repeated = sum(n * (at - before) for (at, n), before in zip(levels, [-1, *(at for at, _ in levels)]))
+    assert len(levels) > 2 and repeated < 6 * len(rows)
+    few = [r for r in out if r.doc_id < 60]
+    bits = [(f"{int(hashlib.md5(str(i).encode()).hexdigest()[:15], 16):060b}", len(t)) for i, t in rows]
+    assert len(out) == 3000 and all(r.shard_bytes == sum(n for b, n in bits if b.startswith(r.prefix)) <= 3000 for r in few)
+    assert all(r.depth == 0 or sum(n for b, n in bits if b.startswith(r.prefix[:-1])) > 3000 for r in few)
