@@ -5,8 +5,10 @@ shapes, repetition; then a learned tanh layer), a gated attention network weighs
 labels alone, and the weighted mean of the passages' codes gets the score (Ilse, Tomczak, Welling: Attention-based deep
 multiple instance learning). Only the text enters a score.
 
-The model is fitted on the driver on a bounded sample: at most ``rows`` labelled documents, chosen by a hash of their ids, of which those
-are taken in turn whose passages, all of them, still fit in ``most`` passages together. Scoring reads every passage of every document.
+The model is fitted on every passage of every labelled document outside the test fold. One pass reads the texts and writes their features
+(76 bytes a passage); those of labelled documents are put together in blocks by a hash of their ids, and each epoch is a pass over the blocks. A block's
+sums are rounded to integers, so that the model doesn't depend on partitions; where the passages are few (``LOCAL``), the driver makes the passes over the
+blocks, by the same code to the same model. Scoring reads every passage of every document.
 
 Defined results: null text is empty text, one passage without words, and has a score; equal texts have equal scores;
 labels that are null are ignored, and repeated labels of one document are averaged; of different texts under one labelled id the one of least hash is
@@ -30,9 +32,10 @@ from quarrymill.llm.words import WordHashes, mix, word_hashes
 
 PASSAGE = 100
 THRESHOLD = 0.7
-#: Bounds of the sample that the model is fitted on: documents, and their passages together (76 bytes each).
-TRAIN_ROWS = 3_000
-TRAIN_PASSAGES = 200_000
+#: Documents of a block, about; passages (76 bytes each) up to which the driver makes the passes over the blocks.
+BLOCK, LOCAL = 256, 100_000
+#: Blocks are added up in units of 2**-UNIT.
+UNIT = 24
 HIDDEN, GATE, EPOCHS = 16, 8, 200
 
 _cache = WordHashes()
@@ -128,20 +131,59 @@ def gradients(w: dict[str, np.ndarray], x: np.ndarray, first: np.ndarray, y: np.
     return {"c": f["bag"].T @ d, "b": np.array([d.sum()]), "a": (f["t"] * f["g"]).T @ d_raw, "V": f["code"].T @ d_t, "U": f["code"].T @ d_g, "E": x.T @ d_code, "e": d_code.sum(0)}
 
 
-def fit(x: np.ndarray, first: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Model:
-    """Adam over all bags at once, with weight decay; the same data give the same model."""
-    if not len(y) or y.min() == y.max():
-        return Model(np.zeros(FEATURES), np.ones(FEATURES), {}, float(y.mean()) if len(y) else 0.5)
-    x = x.astype(np.float64)
-    mean, scale = x.mean(0), x.std(0) + 0.02
-    x = (x - mean) / scale
+def _blocks_of(batches):
+    """(features, offsets, labels) of each block."""
+    for batch in batches:
+        columns = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("x", "sizes", "y"))
+        for x, sizes, y in zip(*columns):
+            x = np.frombuffer(x, "<f4").reshape(-1, FEATURES).astype(np.float64)
+            yield x, np.cumsum([0, *np.frombuffer(sizes, "<i8")]), np.frombuffer(y, "<f8")
+
+
+def _added(batches, sums):
+    """One row for a task: ``sums`` (of features, offsets, labels) of its blocks, in units."""
+    total = 0
+    for block in _blocks_of(batches):
+        total = total + np.rint(sums(*block) * (1 << UNIT)).astype(np.int64)
+    if not np.isscalar(total):
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.int64()))], ["sums"])
+
+
+def _feature_sums(x, first, y) -> np.ndarray:
+    return x.sum(0)
+
+
+def _square_sums(x, first, y, mean) -> np.ndarray:
+    return ((x - mean) ** 2).sum(0)
+
+
+def _gradient_sums(x, first, y, model) -> np.ndarray:
+    """Not the mean but the sum of all documents' gradients, the weights in order of their names."""
+    d = gradients(model.weights, (x - model.mean) / model.scale, first, y)
+    return np.concatenate([d[k].ravel() for k in sorted(d)]) * len(y)
+
+
+def fit(blocks: DataFrame, n_docs: int, n_passages: int, epochs: int = EPOCHS, local: int = LOCAL, seed: int = 7) -> Model:
+    """Adam over all bags at once, with weight decay; the same data give the same model. A task sends one row an epoch, of a number for each weight."""
+    here = blocks.toArrow().to_batches() if n_passages <= local else None
+
+    def summed(sums) -> np.ndarray:
+        run = partial(_added, sums=sums)
+        rows = [r["sums"].to_pylist()[0] for r in run(here)] if here else [r["sums"] for r in blocks.mapInArrow(run, "sums array<long>").collect()]
+        return np.array(rows, object).sum(0).astype(np.float64) / (1 << UNIT)
+
+    mean = summed(_feature_sums) / n_passages
+    scale = np.sqrt(summed(partial(_square_sums, mean=mean)) / n_passages) + 0.02
     r = np.random.default_rng(seed)
     init = lambda *shape: r.normal(0, shape[0] ** -0.5, shape)
-    w = {"E": init(x.shape[1], HIDDEN), "e": np.zeros(HIDDEN), "V": init(HIDDEN, GATE), "U": init(HIDDEN, GATE), "a": init(GATE), "c": init(HIDDEN), "b": np.zeros(1)}
+    w = {"E": init(FEATURES, HIDDEN), "e": np.zeros(HIDDEN), "V": init(HIDDEN, GATE), "U": init(HIDDEN, GATE), "a": init(GATE), "c": init(HIDDEN), "b": np.zeros(1)}
     m, v = ({k: np.zeros_like(z) for k, z in w.items()} for _ in range(2))
+    names = sorted(w)
+    ends = np.cumsum([w[k].size for k in names])[:-1]
     for i in range(1, epochs + 1):
-        for k, d in gradients(w, x, first, y).items():
-            d = d + 1e-4 * w[k] * (k != "b")
+        parts = np.split(summed(partial(_gradient_sums, model=Model(mean, scale, w))) / n_docs, ends)
+        for k, d in zip(names, parts):
+            d = d.reshape(w[k].shape) + 1e-4 * w[k] * (k != "b")
             m[k] = 0.9 * m[k] + 0.1 * d
             v[k] = 0.999 * v[k] + 0.001 * d * d
             w[k] = w[k] - 0.03 * (m[k] / (1 - 0.9**i)) / (np.sqrt(v[k] / (1 - 0.999**i)) + 1e-8)
@@ -153,10 +195,15 @@ def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def learned_labels(labels: DataFrame, target: str) -> DataFrame:
+    """(doc_id, y) of every labelled document outside the test fold."""
+    own = labels.select(F.col("doc_id").cast("long"), F.col(target).cast("double").alias("y")).where("doc_id is not null and y is not null")
+    return own.where(~held_out()).groupBy("doc_id").agg(F.avg("y").alias("y"))
+
+
 def training_ids(labels: DataFrame, target: str, rows: int) -> DataFrame:
     """(doc_id, y) of at most ``rows`` labelled documents outside the test fold, chosen by a hash of their ids."""
-    own = labels.select(F.col("doc_id").cast("long"), F.col(target).cast("double").alias("y")).where("doc_id is not null and y is not null")
-    own = own.where(~held_out()).groupBy("doc_id").agg(F.avg("y").alias("y"))
+    own = learned_labels(labels, target)
     return own.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(rows)
 
 
@@ -184,23 +231,35 @@ def within(sample: DataFrame, most: int) -> DataFrame:
     return sample.join(F.broadcast(sample.sparkSession.createDataFrame(taken, "doc_id long")), "doc_id", "left_semi")
 
 
-def _training(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _featured(batch: pa.RecordBatch) -> pa.RecordBatch:
     x, first = passages(texts_of(batch))
-    rows = [x[a:b].ravel() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+    rows = [x[a:b].astype("<f4").tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
     get = lambda n: batch.column(batch.schema.get_field_index(n))
-    return pa.RecordBatch.from_arrays([get("doc_id"), get("y"), pa.array(np.diff(first), pa.int64()), pa.array(rows, pa.list_(pa.float32()))], ["doc_id", "y", "size", "x"])
+    return pa.RecordBatch.from_arrays([get("doc_id"), get("h"), pa.array(np.diff(first), pa.int64()), pa.array(rows, pa.binary())], ["doc_id", "h", "size", "x"])
+
+
+def _block(rows: pa.Table) -> pa.Table:
+    rows = rows.sort_by("doc_id")
+    y, sizes = (rows[c].to_numpy().astype(t).tobytes() for c, t in (("y", "<f8"), ("size", "<i8")))
+    return pa.table({"y": pa.array([y], pa.binary()), "sizes": pa.array([sizes], pa.binary()), "x": pa.array([b"".join(rows["x"].to_pylist())], pa.binary())})
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most: int = TRAIN_PASSAGES) -> Model:
+def train(docs: DataFrame, labels: DataFrame, epochs: int = EPOCHS, local: int = LOCAL) -> Model:
     scratch = Scratch(docs.sparkSession)
-    ids = scratch.put(training_ids(labels, "quality", rows), "ids")
-    sample = labelled_texts(docs, ids).select("doc_id", "y", "text")
-    sample = scratch.put(sample.mapInArrow(map_slices(_training), "doc_id long, y double, size long, x array<float>"), "sample")
-    table = within(sample, most).toArrow().sort_by([("doc_id", "ascending")])
-    scratch.drop("ids", "sample")
-    bags = [np.asarray(v.values, np.float32).reshape(-1, FEATURES) for v in table["x"]]
-    first = np.cumsum([0, *map(len, bags)])
-    return fit(np.concatenate(bags) if bags else np.empty((0, FEATURES)), first, table["y"].to_numpy())
+    texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).where("doc_id is not null").where(~held_out())
+    features = texts.withColumn("h", F.xxhash64("text")).mapInArrow(map_slices(_featured), "doc_id long, h long, size long, x binary")
+    features = scratch.put(features, "features")
+    one = features.groupBy("doc_id").agg(F.min(F.struct("h", "size", "x")).alias("_b")).select("doc_id", "_b.size", "_b.x")
+    bags = scratch.put(one.join(learned_labels(labels, "quality").hint("merge"), "doc_id"), "bags")  # labels grow with the documents, so they aren't broadcast
+    n, low, high, size = bags.agg(F.count("y"), F.min("y"), F.max("y"), F.sum("size")).first()
+    if not n or low == high:
+        model = Model(np.zeros(FEATURES), np.ones(FEATURES), {}, low if n else 0.5)
+    else:
+        keyed = bags.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n // BLOCK + 1)))
+        blocks = scratch.put(keyed.groupBy("block").applyInArrow(_block, "y binary, sizes binary, x binary"), "blocks")
+        model = fit(blocks, n, size, epochs, local)
+    scratch.drop("features", "bags", "blocks")
+    return model
 
 
 def _scored(batch: pa.RecordBatch, model) -> pa.RecordBatch:

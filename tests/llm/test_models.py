@@ -45,6 +45,37 @@ def test_quality_without_labels(spark):
     assert quality.score_documents(cases.empty(spark), quality.train(docs, labels.limit(0))).count() == 0
 
 
+def test_quality_learns_from_every_labelled_document(spark):
+    """More labelled documents than any sample, one of many passages: the model is that of a plain fit to all of them, on the driver and on executors, whatever the partitions."""
+    good = lambda i: i % 3 > 0
+    rows = [(i, " ".join([f"word{i % 7}" if good(i) else "WORD!!"] * (1 + i % 11)) + f" n{i}") for i in range(4400)]
+    rows += [(4400, "word " * 5_000), (4400, "other text"), (None, "no id")] + [(4401, "same again")] * 3
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marks = [(i, int(good(i))) for i in range(4403)] + [(1, 0), (None, 1), (7, None)]
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int")
+    own = sorted((r.doc_id, r.text) for r in docs.where("doc_id < 4400 or text = 'same again'").distinct().where(~quality.held_out()).collect())
+    two = [x.text for x in docs.where("doc_id = 4400").where(~quality.held_out()).selectExpr("text", "xxhash64(text) h").orderBy("h").limit(1).collect()]
+    own = sorted(own + [(4400, t) for t in two])
+    x, first = quality.passages([t.encode() for _, t in own])
+    x = x.astype(np.float64)
+    assert len(own) > 3_200
+    whole = quality.train(docs, labels)
+    assert np.allclose(whole.mean, x.mean(0), atol=1e-6) and np.allclose(whole.scale, x.std(0) + 0.02, atol=1e-6)
+    here, there = quality.train(docs.repartition(5), labels, epochs=3), quality.train(docs.repartition(2, "text"), labels.repartition(3), epochs=3, local=0)
+    y = np.array([0.5 if i == 1 else float(good(i)) for i, _ in own])
+    r = np.random.default_rng(7)
+    shapes = {"E": (quality.FEATURES, quality.HIDDEN), "V": (quality.HIDDEN, quality.GATE), "U": (quality.HIDDEN, quality.GATE), "a": (quality.GATE,), "c": (quality.HIDDEN,)}
+    w = {k: r.normal(0, s[0] ** -0.5, s) for k, s in shapes.items()} | {"e": np.zeros(quality.HIDDEN), "b": np.zeros(1)}
+    m, v = ({k: 0.0 for k in w} for _ in range(2))
+    for i in range(1, 4):
+        for k, d in quality.gradients(w, (x - x.mean(0)) / (x.std(0) + 0.02), first, y).items():
+            d = d + 1e-4 * w[k] * (k != "b")
+            m[k], v[k] = 0.9 * m[k] + 0.1 * d, 0.999 * v[k] + 0.001 * d * d
+            w[k] = w[k] - 0.03 * (m[k] / (1 - 0.9**i)) / (np.sqrt(v[k] / (1 - 0.999**i)) + 1e-8)
+    for k in w:
+        assert np.allclose(here.weights[k], w[k], atol=1e-4) and np.allclose(here.weights[k], there.weights[k], atol=1e-9), k
+
+
 def test_attention_gradients():
     r = np.random.default_rng(0)
     x, first, y = r.normal(size=(7, quality.FEATURES)), np.array([0, 3, 4, 7]), np.array([1.0, 0.0, 1.0])
